@@ -411,7 +411,8 @@ def scored(spark, sf) -> DataFrame:
     "eval_metrics",
     f"""{O_SCORED} SELECT plan__is_promo, count(*) AS rows, {o.rnd(f"sqrt(avg(({RATE} - p) * ({RATE} - p)))")} AS rmse,
 {o.rnd(f"avg(abs({RATE} - p))")} AS mae, {o.rnd(f"100 * avg(CASE WHEN {RATE} <> 0 THEN abs(({RATE} - p) / {RATE}) END)")} AS mape,
-{o.rnd(f"1 - sum(({RATE} - p) * ({RATE} - p)) / (var_pop({RATE}) * count({RATE}))")} AS r2 FROM s GROUP BY plan__is_promo""",
+CASE WHEN var_pop({RATE}) = 0 THEN CASE WHEN sum(({RATE} - p) * ({RATE} - p)) = 0 THEN 1.0 ELSE 0.0 END
+ELSE {o.rnd(f"1 - sum(({RATE} - p) * ({RATE} - p)) / (var_pop({RATE}) * count({RATE}))")} END AS r2 FROM s GROUP BY plan__is_promo""",
 )
 def eval_metrics(spark, sf):
     return plain(metrics.evaluate(scored(spark, sf), RATE, "p", ["plan__is_promo"]))
@@ -506,9 +507,9 @@ def fixed(spark, sf, step, promo: bool) -> DataFrame:
 
 @query(
     "prediction_status",
-    f"""SELECT brand, {O_STATUS} AS avg_net_billings_365_days_model, count(*) AS n,
-{o.rnd("sum(round(CASE WHEN predicted THEN p0 ELSE avg_net_billings_365_days END, 6))")} AS filled
-FROM ({o_fixed(BILLING_365, True)}) GROUP BY ALL""",
+    f"""SELECT brand, {O_STATUS} AS avg_net_billings_365_days_model, count(*) AS n, {o.rnd("min(filled)")} AS least,
+{o.rnd("max(filled)")} AS most FROM (SELECT *, CASE WHEN predicted THEN p0 ELSE avg_net_billings_365_days END AS filled
+FROM ({o_fixed(BILLING_365, True)})) GROUP BY ALL""",
 )
 def prediction_status(spark, sf):
     rows = fixed(spark, sf, BILLING_365, True)
@@ -519,7 +520,7 @@ def prediction_status(spark, sf):
     )
     return plain(
         out.groupBy("brand", BILLING_365.status_column).agg(
-            F.count("*").alias("n"), F.sum(F.round(target, 6)).alias("filled")
+            F.count("*").alias("n"), F.min(target).alias("least"), F.max(target).alias("most")
         )
     )
 

@@ -9,33 +9,54 @@ wanted ranks, not on the rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
+FEW = 10_000  # so many candidate values are fetched and sorted directly
 
 
-def order_statistics(rows: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks per name. ``rows`` has (name, value) without NULL or NaN values."""
+def order_statistics(
+    rows: DataFrame, ranks: Callable[[int], list[int]], few: int = FEW
+) -> dict[str, list[float]]:
+    """Values per name at the 0-based ``ranks`` of its row count, in the order of the ranks.
+
+    ``rows`` has (name, value) without NULL or NaN values.
+    """
     spark = rows.sparkSession
-    bounds = {
-        r["name"]: (r["lo"], r["hi"])
-        for r in rows.groupBy("name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-    }
-    open_targets = {(n, k): (k, *bounds[n]) for n, ks in ranks.items() for k in set(ks)}
+    extent = rows.groupBy("name").agg(
+        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    wanted: dict[str, list[int]] = {}
+    open_targets = {}  # (name, rank) -> rank within the bracket, bracket, rows in it
+    for r in extent.collect():
+        wanted[r["name"]] = ranks(r["n"])
+        for rank in set(wanted[r["name"]]):
+            open_targets[r["name"], rank] = (rank, r["lo"], r["hi"], r["n"])
     found: dict[tuple[str, int], float] = {}
     while True:
-        found.update({t: lo for t, (_, lo, hi) in open_targets.items() if lo == hi})
+        found.update({t: lo for t, (_, lo, hi, _) in open_targets.items() if lo == hi})
         open_targets = {t: v for t, v in open_targets.items() if v[1] != v[2]}
         if not open_targets:
-            return found
+            return {name: [found[name, rank] for rank in ranks_] for name, ranks_ in wanted.items()}
         targets = spark.createDataFrame(
-            [(n, k, left, float(lo), float(hi)) for (n, k), (left, lo, hi) in open_targets.items()],
+            [(n, k, left, float(lo), float(hi)) for (n, k), (left, lo, hi, _) in open_targets.items()],
             "name string, rank bigint, left bigint, lo double, hi double",
         )
         # one row per wanted rank, so the broadcast is bounded by the caller's request
         inside = rows.join(F.broadcast(targets), "name").filter(F.col("value").between(F.col("lo"), F.col("hi")))
+        if sum(v[3] for v in open_targets.values()) <= few:
+            candidates: dict[tuple[str, int], list[float]] = {}
+            for r in inside.select("name", "rank", "value").collect():
+                candidates.setdefault((r["name"], r["rank"]), []).append(r["value"])
+            open_targets = {
+                t: (0, value, value, 1)
+                for t, (left, *_) in open_targets.items()
+                for value in [sorted(candidates[t])[left]]
+            }
+            continue
         position = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
         bins = (
             inside.withColumn("bin", F.least(position, F.lit(BINS - 1)))
@@ -46,9 +67,9 @@ def order_statistics(rows: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple
         hits = (
             bins.withColumn("upto", upto)
             .filter((F.col("left") < F.col("upto")) & (F.col("left") >= F.col("upto") - F.col("n")))
-            .select("name", "rank", (F.col("left") - F.col("upto") + F.col("n")).alias("left"), "lo", "hi")
+            .select("name", "rank", (F.col("left") - F.col("upto") + F.col("n")).alias("left"), "lo", "hi", "n")
         )
-        open_targets = {(r["name"], r["rank"]): (r["left"], r["lo"], r["hi"]) for r in hits.collect()}
+        open_targets = {(r["name"], r["rank"]): (r["left"], r["lo"], r["hi"], r["n"]) for r in hits.collect()}
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -60,12 +81,10 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def medians_of(rows: DataFrame) -> dict[str, float]:
+def medians_of(rows: DataFrame, few: int = FEW) -> dict[str, float]:
     """Median per name; with an even count the mean of the two middle values."""
-    counts = {r["name"]: r["n"] for r in rows.groupBy("name").agg(F.count("*").alias("n")).collect()}
-    ranks = {name: [(n - 1) // 2, n // 2] for name, n in counts.items()}
-    values = order_statistics(rows, ranks)
-    return {name: (values[name, lo] + values[name, hi]) / 2 for name, (lo, hi) in ranks.items()}
+    middle = order_statistics(rows, lambda n: [(n - 1) // 2, n // 2], few)
+    return {name: (low + high) / 2 for name, (low, high) in middle.items()}
 
 
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -80,11 +99,10 @@ def holdout(df: DataFrame, order, share: float = 0.1, flag: str = "_test") -> Da
     shuffle of the rows and does not depend on how they are partitioned.
     """
     numbered = df.select(F.lit("order").alias("name"), order.cast("double").alias("value"))
-    n = numbered.count()
-    if n == 0:
+    found = order_statistics(numbered, lambda n: [math.ceil(share * n) - 1])
+    if not found:
         return df.withColumn(flag, F.lit(False))
-    rank = math.ceil(share * n) - 1
-    threshold = order_statistics(numbered, {"order": [rank]})["order", rank]
+    threshold = found["order"][0]
     return df.withColumn(flag, order.cast("double") <= F.lit(threshold))
 
 

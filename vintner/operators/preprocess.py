@@ -85,10 +85,9 @@ class Fitted:
         encoded = [f"_e{i}" for i in range(len(labels))]
         if labels:
             indexed = [f"_i{i}" for i in range(len(labels))]
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [self.categories[c] for c in names.categorical], list(labels), indexed, handleInvalid="keep"
-            )
-            out = indexer.transform(out)
+            for (label, name), index in zip(labels.items(), indexed):
+                indexer = StringIndexerModel.from_labels(self.categories[name], label, index, handleInvalid="keep")
+                out = indexer.transform(out)
             # the extra index for unseen values is the last one, which is dropped: all zeros
             out = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True).fit(out).transform(out)
             out = out.drop(*labels, *indexed)

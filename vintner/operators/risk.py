@@ -19,6 +19,7 @@ from vintner.functions.dates import since_local_date
 from vintner.functions.safe import label_missing, ratio
 from vintner.functions.text import card_network, joined, merchant_label, transaction_id, unquoted_id
 from vintner.operators.joins import spread_left_join
+from vintner.sources.storage import cut
 
 FRAUD, DISPUTE, SETTLEMENT = "fraud", "dispute", "settlement"
 
@@ -257,15 +258,16 @@ def _add_ratios(counts: DataFrame, totals: DataFrame, on: list[str]) -> DataFram
     ``totals`` has one row per level, so its size is fixed by the configuration and it is broadcast.
     ``delta_percentage`` is the quotient of both ratios. A group without settlements has no ratio.
     """
-    return (
-        counts.join(F.broadcast(totals), on)
-        .withColumn("ratio", ratio(F.col("fraud_disputes_count"), F.col("settled_count")))
-        .withColumns(
-            {
-                "delta": F.col("ratio") - F.col("global_ratio"),
-                "delta_percentage": ratio(F.col("ratio"), F.col("global_ratio")),
-            }
-        )
+    return _with_deltas(counts.join(F.broadcast(totals), on))
+
+
+def _with_deltas(counts: DataFrame) -> DataFrame:
+    rated = counts.withColumn("ratio", ratio(F.col("fraud_disputes_count"), F.col("settled_count")))
+    return rated.withColumns(
+        {
+            "delta": F.col("ratio") - F.col("global_ratio"),
+            "delta_percentage": ratio(F.col("ratio"), F.col("global_ratio")),
+        }
     )
 
 
@@ -328,37 +330,57 @@ def risk_combinations(
     combos: list[list[str]] | None = None,
     dimensions=RISK_DIMENSIONS,
     min_bad_count: int = MIN_BAD_COUNT,
+    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Reports for many combinations of dimensions, by default all pairs.
 
-    Events are first reduced to distinct dimension tuples, since grouping sets multiply their input.
+    Most groups of a large combination fall below the threshold, so they are never built. Events are
+    reduced to distinct dimension tuples and stored; then only tuples with bad events are counted per
+    64-bit group key, and only groups whose key passes the threshold are aggregated in full. Two groups
+    that share a key can only let too much through, and the exact count filters again.
+
+    A combination is a bit mask; exploding masks does what grouping sets do, with generated code whose
+    size does not grow with the number of combinations. Every event lies in one group of each
+    combination, so the global ratio is the same for all.
     """
     combos = combos or level_combinations(dimensions, 2, 2)
-    tuples = events.groupBy(*dimensions).agg(*_bad_and_good())
-    # grouping_id has one bit per dimension from the left, 1 where the dimension is rolled up
-    width = len(dimensions)
-    full = (1 << width) - 1
+    bit = {d: 1 << i for i, d in enumerate(dimensions)}
+    name_of = {sum(bit[d] for d in combo): "-".join(combo).upper() for combo in combos}
 
-    def gid(combo):
-        return full - sum(1 << (width - 1 - list(dimensions).index(d)) for d in combo)
+    def used(dimension):
+        return F.col("_mask").bitwiseAND(bit[dimension]) != 0
 
-    used = [F.col(d) for d in dimensions]
+    tuples = cut(events.groupBy(*dimensions).agg(*_bad_and_good()))
+    global_ratio = tuples.agg(ratio(F.sum("fraud_disputes_count"), F.sum("settled_count"))).first()[0]
+
+    masked = {d: F.when(used(d), F.col(d)) for d in dimensions}
+    placed = tuples.withColumn("_mask", F.explode(F.lit(list(name_of)))).withColumn(
+        "_key", F.xxhash64("_mask", *masked.values())
+    )
+    over = F.col("fraud_disputes_count") > min_bad_count
+    passing = cut(
+        placed.filter(F.col("fraud_disputes_count") > 0)
+        .groupBy("_key")
+        .agg(F.sum("fraud_disputes_count").alias("fraud_disputes_count"))
+        .filter(over)
+        .select("_key")
+    )
+    # 8 bytes a row: broadcast up to a known size, joined by a shuffle beyond it
+    small = passing.count() <= broadcast_rows
+    kept = placed.join(F.broadcast(passing) if small else passing, "_key", "left_semi")
     counts = (
-        tuples.groupingSets([[F.col(d) for d in combo] for combo in combos], *used)
-        .agg(
-            F.grouping_id().alias("gid"),
-            F.sum("fraud_disputes_count").alias("fraud_disputes_count"),
-            F.sum("settled_count").alias("settled_count"),
-        )
+        kept.withColumns(masked)
+        .groupBy("_mask", *dimensions)
+        .agg(*[F.sum(n).alias(n) for n in ("fraud_disputes_count", "settled_count")])
+        .filter(over)
     )
-    # label after the aggregate: one string per group, not one per row and grouping set
-    names = F.create_map(*[x for combo in combos for x in (F.lit(gid(combo)), F.lit("-".join(combo).upper()))])
-    parts = [
-        F.when(F.col("gid").bitwiseAND(1 << (width - 1 - i)) == 0, label_missing(F.col(d).cast("string"), d))
-        for i, d in enumerate(dimensions)
-    ]
-    labelled = counts.withColumns({"level": names[F.col("gid").cast("int")], "_value": joined(*parts)})
-    return _thresholded(labelled, min_bad_count, F.col("_value"))
+    # label after the aggregate: one string per group, not one per row and combination
+    names = F.create_map(*[F.lit(x) for item in name_of.items() for x in item])
+    parts = [F.when(used(d), label_missing(F.col(d).cast("string"), d)) for d in dimensions]
+    rated = counts.withColumns(
+        {"level": names[F.col("_mask")], "value": joined(*parts), "global_ratio": F.lit(global_ratio).cast("double")}
+    )
+    return _with_deltas(rated).select(*_REPORT)
 
 
 def _thresholded(counts: DataFrame, min_bad_count: int, value: Column) -> DataFrame:
