@@ -6,13 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BUCKETS = 1 << 16
+
+
 def hot_keys(df: DataFrame, key: str, share: int = 1000, min_rows: int = 100_000) -> DataFrame:
-    """Keys that hold at least 1/``share`` of the keyed rows. At most ``share`` keys can."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows"))
-    return counts.filter(
-        (F.col("_rows") >= min_rows) & (F.col("_rows") * share >= total.scalar())
-    ).select(key)
+    """Keys that hold at least 1/``share`` of the keyed rows. At most ``share`` keys can.
+
+    Rows are counted per hash bucket first, which shuffles a fixed number of rows; single keys are
+    counted only inside buckets that are large enough to hide a hot one.
+    """
+    keyed = df.select(key).filter(F.col(key).isNotNull())
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+    rows = F.count("*").alias("_rows")
+    sizes = keyed.groupBy(bucket.alias("_bucket")).agg(rows)
+    total = sizes.agg(F.sum("_rows")).scalar()
+    is_large = (F.col("_rows") >= min_rows) & (F.col("_rows") * share >= total)
+    large = sizes.filter(is_large).select("_bucket")  # at most ``share`` buckets
+    inside = keyed.withColumn("_bucket", bucket).join(F.broadcast(large), "_bucket", "left_semi")
+    return inside.groupBy(key).agg(rows).filter(is_large).select(key)
 
 
 def spread_left_join(
@@ -20,7 +31,8 @@ def spread_left_join(
     right: DataFrame,
     key: str,
     keys_of: DataFrame | None = None,
-    distinct: bool = False,
+    distinct: list | None = None,
+    slice_by: list[str] | None = None,
     salts: int = 64,
     share: int = 1000,
     min_rows: int = 100_000,
@@ -33,12 +45,15 @@ def spread_left_join(
     Left rows without a key match nothing; they are spread by a hash instead of meeting in one task.
 
     The hot-key frame is broadcast: it has at most ``share`` rows. ``keys_of`` may name a cheaper
-    frame with the same keys as ``right`` to find them in. ``distinct`` drops duplicate rows within
-    the placement of the join: equal rows always share a slice.
+    frame with the same keys as ``right`` to find them in.
+
+    ``distinct`` selects these columns and drops duplicates without another shuffle. That is exact when
+    rows that become equal share a slice: ``slice_by`` names the right columns that decide it (default
+    all), and they must survive the selection.
     """
     hot = hot_keys(right if keys_of is None else keys_of, key, share, min_rows).withColumn("_hot", F.lit(True))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)).cast("int")
+    slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in slice_by or right.columns]), F.lit(salts)).cast("int")
     salted_right = (
         right.filter(F.col(key).isNotNull())
         .join(F.broadcast(hot), key, "left")
@@ -57,9 +72,9 @@ def spread_left_join(
         .withColumn("_hot", is_hot)
         .withColumn("_salt", F.explode(visits))
     )
-    result = (
-        salted_left.join(salted_right, [key, "_salt"], "left")
-        .filter(~F.col("_hot") | F.coalesce(F.col("_matched"), F.lit(False)))
-        .drop("_hot", "_matched")
+    result = salted_left.join(salted_right, [key, "_salt"], "left").filter(
+        ~F.col("_hot") | F.coalesce(F.col("_matched"), F.lit(False))
     )
-    return (result.distinct() if distinct else result).drop("_salt")
+    if distinct is not None:
+        return result.select(*distinct, "_salt").distinct().drop("_salt")
+    return result.drop("_hot", "_matched", "_salt")

@@ -202,11 +202,9 @@ def events_by_reference(events: DataFrame, transactions: DataFrame, enriched: Da
     keyed = events.withColumn("txn_id", transaction_id(F.col("ref_txn_id")))
     attributes = enriched.withColumnRenamed("id", "txn_id").drop("payment_processor_id", "option_card_network")
     keys = transactions.select(F.col("id").alias("txn_id"))
-    count = F.when(F.col("txn_id").isNull(), 0).otherwise(1).cast("bigint")
-    return (
-        spread_left_join(keyed, attributes, "txn_id", keys_of=keys, distinct=True)
-        .withColumn("count", count)
-        .select(*EVENT_COLUMNS)
+    count = F.when(F.col("txn_id").isNull(), 0).otherwise(1).cast("bigint").alias("count")
+    return spread_left_join(
+        keyed, attributes, "txn_id", keys_of=keys, distinct=[*EVENT_COLUMNS[:-1], count]
     )
 
 
@@ -226,14 +224,17 @@ def events_by_processor_id(events: DataFrame, transactions: DataFrame, enriched:
     )
     attributes = enriched.withColumnsRenamed({"payment_processor_id": "ref_txn_id", "id": "txn_id"})
     keys = transactions.select(F.col("payment_processor_id").alias("ref_txn_id"))
-    network = F.when(F.col("type") == SETTLEMENT, F.col("option_card_network")).otherwise(F.col("card_network"))
-    # txn_id is part of every row, so two rows that differ only in dropped columns cannot arise
-    # unless a transaction id repeats; the last distinct covers that.
-    return (
-        spread_left_join(events, attributes, "ref_txn_id", keys_of=keys)
-        .withColumns({"card_network": network, "sku_type_slug": F.when(F.col("_sells_sku"), F.col("sku_type_slug"))})
-        .select(*EVENT_COLUMNS)
-        .distinct()
+    derived = {
+        "card_network": F.when(F.col("type") == SETTLEMENT, F.col("option_card_network")).otherwise(F.col("card_network")),
+        "sku_type_slug": F.when(F.col("_sells_sku"), F.col("sku_type_slug")),
+    }
+    return spread_left_join(
+        events,
+        attributes,
+        "ref_txn_id",
+        keys_of=keys,
+        distinct=[derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS],
+        slice_by=["txn_id"],
     )
 
 
