@@ -1,0 +1,61 @@
+import datetime as dt
+
+import pytest
+
+from vintner.operators.feature_registry import FeatureRegistry
+
+
+def views(spark):
+    spine = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, s string")
+    fv = spark.createDataFrame([(1, 10), (None, 30)], "k int, x int")
+    return spine, fv
+
+
+def test_dataset_needs_entity_spine_and_views(spark):
+    spine, fv = views(spark)
+    registry = FeatureRegistry("T")
+    with pytest.raises(ValueError, match="No entities"):
+        registry.set_feature_view(fv, 1)
+    with pytest.raises(ValueError, match="Spine"):
+        registry.get_dataset()
+    registry.set_spine(spine)
+    with pytest.raises(ValueError, match="Feature views"):
+        registry.get_dataset()
+
+
+def test_left_join_on_entity_keys(spark):
+    spine, fv = views(spark)
+    registry = FeatureRegistry("T")
+    registry.set_spine(spine)
+    entity = registry.set_entity(["k"])
+    assert entity.name == "T_ENTITY"
+    view = registry.set_feature_view(fv, 1)
+    assert (view.name, view.version) == ("T_FV", "V1")
+    rows = sorted(map(tuple, registry.get_dataset().collect()), key=str)
+    assert rows == [(1, "a", 10), (2, "b", None), (None, "c", None)]
+
+
+def test_missing_key_recreate_overwrite_and_duplicates(spark):
+    spine, fv = views(spark)
+    registry = FeatureRegistry("T")
+    registry.set_entity(["k"], name="E")
+    with pytest.raises(ValueError, match="join keys"):
+        registry.set_feature_view(spine.select("s"), 1)
+    first = registry.set_feature_view(fv, 1, name="V")
+    assert registry.set_feature_view(fv.limit(0), 1, name="V", overwrite=False) is first
+    assert registry.duplicate_keys("V", 1).isEmpty()
+    registry.set_feature_view(fv.union(fv), 2, name="V")
+    assert registry.duplicate_keys("V", 2).count() == 2
+    registry.set_entity(["k"], name="E", recreate=True)
+    assert registry.views == {}
+
+
+def test_stored_views_and_zoneless_timestamps(spark, folder):
+    frame = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "k int, ts timestamp")
+    registry = FeatureRegistry("T", folder)
+    registry.set_spine(frame.select("k"))
+    registry.set_entity(["k"])
+    view = registry.set_feature_view(frame, 1, name="V")
+    assert dict(view.frame.dtypes)["ts"] == "timestamp_ntz"
+    assert spark.read.parquet(f"{folder}/V/V1").count() == 1
+    assert registry.get_dataset().count() == 1

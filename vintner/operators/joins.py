@@ -49,7 +49,7 @@ def spread_left_join(
 
     ``distinct`` selects these columns and drops duplicates without another shuffle. That is exact when
     rows that become equal share a slice: ``slice_by`` names the right columns that decide it (default
-    all), and they must survive the selection.
+    all), and these must survive the selection, as must what tells left rows without a key apart.
     """
     hot = hot_keys(right if keys_of is None else keys_of, key, share, min_rows).withColumn("_hot", F.lit(True))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))

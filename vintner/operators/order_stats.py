@@ -10,31 +10,54 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
-FEW = 10_000  # so many candidate values are fetched and sorted directly
+FEW = 100_000  # so many candidate values are fetched and sorted directly
+
+
+@dataclass(frozen=True)
+class Extent:
+    """What one aggregate tells about a column: all rows, rows with a value, and their moments."""
+
+    rows: int
+    n: int
+    lo: float | None
+    hi: float | None
+    mean: float | None
+    variance: float | None
+
+
+def extents(rows: DataFrame) -> dict[str, Extent]:
+    """Extent per name of a (name, value) frame."""
+    value = F.col("value")
+    found = rows.groupBy("name").agg(
+        F.count("*"), F.count(value), F.min(value), F.max(value), F.avg(value), F.var_pop(value)
+    )
+    return {name: Extent(*rest) for name, *rest in found.collect()}
 
 
 def order_statistics(
-    rows: DataFrame, ranks: Callable[[int], list[int]], few: int = FEW
+    rows: DataFrame,
+    ranks: Callable[[int], list[int]],
+    known: dict[str, Extent] | None = None,
+    few: int = FEW,
 ) -> dict[str, list[float]]:
-    """Values per name at the 0-based ``ranks`` of its row count, in the order of the ranks.
+    """Values per name at the 0-based ranks that ``ranks`` gives for its number of values.
 
-    ``rows`` has (name, value) without NULL or NaN values.
+    ``rows`` has (name, value); NULL values are ignored, a name without values is absent. NaN is not
+    allowed. Pass ``known`` extents to save a pass.
     """
     spark = rows.sparkSession
-    extent = rows.groupBy("name").agg(
-        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
     wanted: dict[str, list[int]] = {}
     open_targets = {}  # (name, rank) -> rank within the bracket, bracket, rows in it
-    for r in extent.collect():
-        wanted[r["name"]] = ranks(r["n"])
-        for rank in set(wanted[r["name"]]):
-            open_targets[r["name"], rank] = (rank, r["lo"], r["hi"], r["n"])
+    for name, extent in (known or extents(rows)).items():
+        if extent.n:
+            wanted[name] = ranks(extent.n)
+            open_targets.update({(name, k): (k, extent.lo, extent.hi, extent.n) for k in wanted[name]})
     found: dict[tuple[str, int], float] = {}
     while True:
         found.update({t: lo for t, (_, lo, hi, _) in open_targets.items() if lo == hi})
@@ -73,25 +96,18 @@ def order_statistics(
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(name, value) rows of numeric columns, without NULLs."""
-    return (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], columns, "name", "value")
-        .filter(F.col("value").isNotNull())
-    )
+    """(name, value) rows of numeric columns."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "name", "value")
 
 
-def medians_of(rows: DataFrame, few: int = FEW) -> dict[str, float]:
+def medians_of(
+    rows: DataFrame, known: dict[str, Extent] | None = None, few: int = FEW
+) -> dict[str, float]:
     """Median per name; with an even count the mean of the two middle values."""
-    middle = order_statistics(rows, lambda n: [(n - 1) // 2, n // 2], few)
+    middle = order_statistics(rows, lambda n: [(n - 1) // 2, n // 2], known, few)
     return {name: (low + high) / 2 for name, (low, high) in middle.items()}
 
 
-def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Median per column; a column without values is absent."""
-    return medians_of(long_values(df, columns)) if columns else {}
-
-
 def holdout(df: DataFrame, order, share: float = 0.1, flag: str = "_test") -> DataFrame:
     """Flag exactly ceil(share x rows) rows: those with the smallest ``order`` values.
 

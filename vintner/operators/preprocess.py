@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -9,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintner.operators.order_stats import medians
+from vintner.operators.order_stats import extents, long_values, medians_of
 
 UNKNOWN = "unknown"
 RARE = "infrequent_sklearn"  # fixed value: label of the bucket of rare categories
@@ -129,29 +130,30 @@ def frequent_categories(counts: DataFrame, max_categories: int) -> DataFrame:
 
 
 def numeric_statistics(df: DataFrame, columns: list[str], impute: str):
-    """Fill value, mean and population spread of each column after filling."""
+    """Fill value, mean and population spread of each column after filling.
+
+    Moments of the filled column follow from those of its values and the number of gaps.
+    """
+    if impute not in ("median", "mean", "constant"):
+        raise ValueError(f"unknown imputation {impute!r}")
     if not columns:
         return {}, {}, {}
-    numbers = [F.col(c).cast("double") for c in columns]
+    rows = long_values(df, columns)
+    known = extents(rows)
+    with_values = {c: e for c, e in known.items() if e.n}
     if impute == "median":
-        fill = medians(df, columns)
+        fill = medians_of(rows, with_values)
     elif impute == "mean":
-        row = df.agg(*[F.avg(x).alias(c) for x, c in zip(numbers, columns)]).first().asDict()
-        fill = {c: v for c, v in row.items() if v is not None}
-    elif impute == "constant":
-        fill = {c: 0.0 for c in columns}
+        fill = {c: e.mean for c, e in with_values.items()}
     else:
-        raise ValueError(f"unknown imputation {impute!r}")
-    kept = [c for c in columns if c in fill]
-    if not kept:
-        return {}, {}, {}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in kept}
-    row = df.agg(
-        *[F.avg(x).alias(f"m_{c}") for c, x in filled.items()],
-        *[F.stddev_pop(x).alias(f"s_{c}") for c, x in filled.items()],
-    ).first()
-    mean = {c: row[f"m_{c}"] for c in kept}
-    spread = {c: row[f"s_{c}"] or 1.0 for c in kept}
+        fill = {c: 0.0 for c in columns}
+    mean, spread = {}, {}
+    for c in fill:
+        e = known[c]
+        gaps, centre = e.rows - e.n, e.mean if e.n else 0.0
+        mean[c] = (e.n * centre + gaps * fill[c]) / e.rows
+        squares = e.n * ((e.variance or 0.0) + (centre - mean[c]) ** 2) + gaps * (fill[c] - mean[c]) ** 2
+        spread[c] = math.sqrt(squares / e.rows) or 1.0
     return fill, mean, spread
 
 

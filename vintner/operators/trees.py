@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ from vintner.config import Z_95, TreeParams
 from vintner.operators import preprocess
 from vintner.operators.metrics import interval, residual_spread
 
+ROWS_PER_TASK = 20_000
+
 
 @dataclass
 class Model:
@@ -51,11 +54,22 @@ def _fit_target(prepared: DataFrame, target: str, names: list[str], params: Tree
 
 
 def fit(
-    train: DataFrame, targets: list[str], inputs: preprocess.Inputs, params: TreeParams = TreeParams()
+    train: DataFrame,
+    targets: list[str],
+    inputs: preprocess.Inputs,
+    params: TreeParams = TreeParams(),
+    n_rows: int | None = None,
 ) -> tuple[preprocess.Fitted, list[Model]]:
-    """One model per target on shared features; the fits run side by side as separate Spark jobs."""
+    """One model per target on shared features; the fits run side by side as separate Spark jobs.
+
+    Every tree takes several passes over the rows. ``n_rows``, where known, keeps a small training set
+    from being spread over more tasks than it can fill.
+    """
     fitted = preprocess.fit(train, inputs)
-    prepared = fitted.transform(train).select("features", *targets).persist()
+    prepared = fitted.transform(train).select("features", *targets)
+    if n_rows is not None:
+        prepared = prepared.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
+    prepared = prepared.persist()
     try:
         prepared.count()
         with ThreadPoolExecutor(len(targets)) as pool:

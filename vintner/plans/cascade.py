@@ -148,7 +148,7 @@ class CascadeRun:
             result = frame.withColumn(step.status_column, masks.status(F.lit(False), masks.training_mask(step, settings)))
             n_predicted = 0
         else:
-            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees)
+            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees, counts["_train"])
             yhat = {t: f"_yhat{i}" for i, t in enumerate(step.targets)}
             scored = trees.predict(flagged, fitted, models, yhat)
             bounds = [n + suffix for n in yhat.values() for suffix in ("", "_lower", "_upper")]
@@ -173,7 +173,7 @@ class CascadeRun:
         order = key_hash(self.level.keys, self.settings.split_seed)
         split = holdout(train, order, self.settings.test_share)
         fit_on, test = split.filter(~F.col("_test")), split.filter("_test")
-        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees)
+        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees, n_train)
         scored = trees.predict(test, fitted, models).persist()
         values = self._step_values(step, is_promo, inputs)
         split_rows, importance_rows = [], []
