@@ -19,6 +19,7 @@ from vintner.config import FORECAST_DAYS, FORECAST_TARGETS, MIN_GROUP_SIZE, Z_80
 from vintner.operators.ltv import blackout_days, large_groups
 
 YEAR, WEEK = 365.25, 7.0
+MULTIPLICATIVE_ROUNDS = 5
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,8 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
     x = np.asarray(x, float).reshape(len(days), -1)
     future_x = np.asarray(future_x, float).reshape(len(future_days), -1)
     centre, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale == 0, 1.0, scale)
+    # a regressor that never moved in training says nothing about the days ahead
+    scale = np.where(scale <= 1e-9 * (1 + np.abs(centre)), np.inf, scale)
 
     def parts(at, regressors):
         t = (at - start) / span
@@ -77,23 +79,22 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
         season = np.hstack([_fourier(at, YEAR, yearly), _fourier(at, WEEK, weekly), (regressors - centre) / scale])
         return trend, season
 
-    noise = max(z.std(), 1e-9) ** 2 * 0.01
+    noise = max(z.std(), 0.01 * np.abs(z).mean(), 1e-6) ** 2 * 0.01
     trend, season = parts(days, x)
     trend_penalty = np.r_[1e-8, 1e-8, np.full(n_knots, noise / model.changepoint_scale**2)]
     season_penalty = np.full(season.shape[1], noise / 10.0**2 + 1e-8)
+    both = _ridge(np.hstack([trend, season]), z, np.r_[trend_penalty, season_penalty])
+    trend_fit, season_fit = both[: trend.shape[1]], both[trend.shape[1] :]
     if model.multiplicative:
-        trend_fit = _ridge(trend, z, trend_penalty)
-        level = trend @ trend_fit
-        safe = np.where(np.abs(level) < 1e-9, 1e-9, level)
-        season_fit = _ridge(season, z / safe - 1, season_penalty)
-
-        def raw(a, b):
-            return (a @ trend_fit) * (1 + b @ season_fit)
-    else:
-        both = _ridge(np.hstack([trend, season]), z, np.r_[trend_penalty, season_penalty])
-
-        def raw(a, b):
-            return np.hstack([a, b]) @ both
+        # y = trend x (1 + season): each factor in turn, given the other
+        for _ in range(MULTIPLICATIVE_ROUNDS):
+            level = trend @ trend_fit
+            season_fit = _ridge(season * level[:, None], z - level, season_penalty)
+            trend_fit = _ridge(trend * (1 + season @ season_fit)[:, None], z, trend_penalty)
+
+    def raw(a, b):
+        level, swing = a @ trend_fit, b @ season_fit
+        return level * (1 + swing) if model.multiplicative else level + swing
 
     spread = Z_80 * np.std(z - raw(trend, season))
     centre_line = raw(*parts(future_days, future_x))

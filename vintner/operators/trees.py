@@ -74,7 +74,7 @@ def fit(
         prepared.count()
         with ThreadPoolExecutor(len(targets)) as pool:
             jobs = [
-                pool.submit(inheritable_thread_target(_fit_target), prepared, t, fitted.feature_names, params)
+                pool.submit(inheritable_thread_target(train.sparkSession)(_fit_target), prepared, t, fitted.feature_names, params)
                 for t in targets
             ]
             return fitted, [job.result() for job in jobs]

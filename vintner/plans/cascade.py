@@ -95,7 +95,7 @@ class CascadeRun:
         start = cut(numeric)
         with ThreadPoolExecutor(2) as pool:
             chains = [
-                pool.submit(inheritable_thread_target(self._chain), start, is_promo) for is_promo in (True, False)
+                pool.submit(inheritable_thread_target(self.spark)(self._chain), start, is_promo) for is_promo in (True, False)
             ]
             promo, regular = [chain.result() for chain in chains]
         return promo.unionByName(regular, allowMissingColumns=True).withColumn("model_id", F.lit(self.model_id))
