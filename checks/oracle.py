@@ -136,7 +136,7 @@ FROM ({GROSS}) GROUP BY GROUPING SETS ({sets})"""
 
 
 def plain(sql: str, **columns: str) -> str:
-    """Doubles rounded and dates as text, whatever the inner query is."""
+    """Some columns replaced, whatever the inner query is."""
     return f"""SELECT * REPLACE ({", ".join(f"{v} AS {k}" for k, v in columns.items())}) FROM
 (SELECT * FROM ({sql}))"""
 
@@ -144,20 +144,10 @@ def plain(sql: str, **columns: str) -> str:
 MONTH = "strftime(cohort_month, '%Y-%m-%d')"
 
 
-def cohort(sql: str, doubles: list[str]) -> str:
-    return plain(sql, cohort_month=MONTH, **{d: rnd(d) for d in doubles})
+def cohort(sql: str) -> str:
+    return plain(sql, cohort_month=MONTH)
 
 
-RETENTION_RATES = ["promo_activation_rate_excl_retries", "first_rebill_rate_excl_retries"]
-SPINE_DOUBLES = [f"{c.canceled_column(n)}_rate" for n in c.EARLY_DAYS] + [
-    f"avg_{who}_{kind}" for who in ("promo", "recurring") for kind in ("days", "price")
-] + [f"promo_to_recurring_{kind}_ratio" for kind in ("days", "price")]
-TOTALS = [c.billings_column(n) for n in c.BILLING_DAYS]
-AVERAGES = [c.avg_billings_column(n) for n in c.BILLING_DAYS]
-CROSS_RATES = [c.cross_sell_rate_column(n) for n in c.EARLY_DAYS]
-DATASET_DOUBLES = SPINE_DOUBLES + RETENTION_RATES + ["avg_cross_sell_price"]
-CLEAN_DOUBLES = DATASET_DOUBLES + AVERAGES + CROSS_RATES
-
 # --- payment risk --------------------------------------------------------------------------------
 
 TRANSACTIONS = f"""SELECT o_orderkey AS id, 'bt' || o_orderkey AS payment_processor_id, r_name AS brand_slug,
@@ -221,8 +211,8 @@ def ratios(counts: str, head: str, minimum: int | None) -> str:
     return f"""WITH counts AS ({counts}),
 totals AS (SELECT level, {ratio("sum(fraud_disputes_count)", "sum(settled_count)")} AS g FROM counts GROUP BY level),
 rated AS (SELECT c.*, {ratio("fraud_disputes_count", "settled_count")} AS r, g FROM counts c JOIN totals USING (level) {where})
-SELECT {head}, fraud_disputes_count, settled_count, {rnd("r")} AS ratio, {rnd("g")} AS global_ratio,
-{rnd("r - g")} AS delta, {rnd("r / g")} AS delta_percentage FROM rated"""
+SELECT {head}, fraud_disputes_count, settled_count, r AS ratio, g AS global_ratio,
+r - g AS delta, r / g AS delta_percentage FROM rated"""
 
 
 def risk_all(minimum: int) -> str:
@@ -287,12 +277,11 @@ CAST(count(DISTINCT CASE WHEN canceled THEN customer_id END) AS DOUBLE) / count(
     return f"WITH b AS ({BILLINGS}) " + " UNION ALL ".join(parts)
 
 
-LTV_DOUBLES = ["canceled_day_1", *[f"ltv_{m}mo" for m in LTV_MONTHS]]
 LTV_DAY = "strftime(acquisition_date, '%Y-%m-%d')"
 
 
 def ltv_plain(sql: str) -> str:
-    return plain(sql, acquisition_date=LTV_DAY, **{d: rnd(d) for d in LTV_DOUBLES})
+    return plain(sql, acquisition_date=LTV_DAY)
 
 
 DAILY = """SELECT event_type, CAST(ts AS DATE) AS ds, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS y

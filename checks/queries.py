@@ -45,10 +45,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, doubles rounded, dates as text."""
+def plain(df: DataFrame, digits: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Decimals as doubles, dates as text, and doubles rounded where their value depends on the order
+    of a floating-point sum. A quotient of exact sums is the same in every engine and stays as it is."""
     decimals = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
-    return dates.day_text(safe.rounded(df.withColumns({d: F.col(d).cast("double") for d in decimals})))
+    out = dates.day_text(df.withColumns({d: F.col(d).cast("double") for d in decimals}))
+    if digits is None:
+        return out
+    doubles = [f.name for f in out.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return out.withColumns({c_: F.round(c_, digits) for c_ in columns or doubles})
 
 
 def clean(spark, sf, level: Level = BRAND) -> DataFrame:
@@ -68,11 +73,11 @@ def _spine(level):
     return run
 
 
-query("cohort_spine", o.cohort(o.spine(BRAND), o.SPINE_DOUBLES))(_spine(BRAND))
-query("cohort_spine_campaign", o.cohort(o.spine(CAMPAIGN), o.SPINE_DOUBLES))(_spine(CAMPAIGN))
+query("cohort_spine", o.cohort(o.spine(BRAND)))(_spine(BRAND))
+query("cohort_spine_campaign", o.cohort(o.spine(CAMPAIGN)))(_spine(CAMPAIGN))
 
 
-@query("levels_all", o.cohort(o.levels_all(), o.SPINE_DOUBLES))
+@query("levels_all", o.cohort(o.levels_all()))
 def levels_all(spark, sf):
     gross = src.gross_add_metrics(spark, sf)
     return plain(cohorts.cohort_spine_all_levels(gross, src.AS_OF, src.START, src.EXCLUDED_BRAND))
@@ -89,33 +94,33 @@ def spine_preview(spark, sf):
     return plain(top)
 
 
-@query("retention_view", o.cohort(o.retention(SKU_TYPE), o.RETENTION_RATES))
+@query("retention_view", o.cohort(o.retention(SKU_TYPE)))
 def retention_view(spark, sf):
     return plain(cohorts.retention_view(src.retention_metrics(spark, sf), SKU_TYPE))
 
 
-@query("billing_view", o.cohort(o.billing(SKU_TYPE), o.TOTALS))
+@query("billing_view", o.cohort(o.billing(SKU_TYPE)))
 def billing_view(spark, sf):
     return plain(cohorts.billing_view(src.billing_metrics(spark, sf), SKU_TYPE))
 
 
-@query("cross_sell_view", o.cohort(o.cross_sell(SKU_TYPE), ["avg_cross_sell_price"]))
+@query("cross_sell_view", o.cohort(o.cross_sell(SKU_TYPE)))
 def cross_sell_view(spark, sf):
     return plain(cohorts.cross_sell_view(src.cross_sell_metrics(spark, sf), SKU_TYPE))
 
 
-@query("cohort_dataset", o.cohort(o.dataset(CHANNEL), o.DATASET_DOUBLES + o.TOTALS))
+@query("cohort_dataset", o.cohort(o.dataset(CHANNEL)))
 def cohort_dataset(spark, sf):
     sources = src.cohort_sources(spark, sf)
     return plain(dataset_plan.cohort_dataset(sources, CHANNEL, src.AS_OF, src.START, src.EXCLUDED_BRAND))
 
 
-@query("cohort_dataset_clean", o.cohort(o.clean(BRAND), o.CLEAN_DOUBLES))
+@query("cohort_dataset_clean", o.cohort(o.clean(BRAND)))
 def cohort_dataset_clean(spark, sf):
     return plain(clean(spark, sf))
 
 
-@query("cohort_dataset_campaign", o.cohort(o.clean(CAMPAIGN), o.CLEAN_DOUBLES))
+@query("cohort_dataset_campaign", o.cohort(o.clean(CAMPAIGN)))
 def cohort_dataset_campaign(spark, sf):
     return plain(clean(spark, sf, CAMPAIGN))
 
@@ -268,7 +273,7 @@ LTV_TWO = o.ltv([2])
 
 @query(
     "ltv_group_gate",
-    f"""WITH x AS ({LTV_TWO}) SELECT * REPLACE ({o.LTV_DAY} AS acquisition_date, {", ".join(f"{o.rnd(d)} AS {d}" for d in o.LTV_DOUBLES)})
+    f"""WITH x AS ({LTV_TWO}) SELECT * REPLACE ({o.LTV_DAY} AS acquisition_date)
 FROM (SELECT x.* FROM x SEMI JOIN (SELECT brand, acquisition_sku_bucket FROM x GROUP BY ALL HAVING sum(cohort_size) > 50)
 USING (brand, acquisition_sku_bucket))""",
 )
@@ -279,7 +284,7 @@ def ltv_group_gate(spark, sf):
 
 @query(
     "blackout_filter",
-    f"""WITH x AS ({LTV_TWO}) SELECT brand, acquisition_sku_bucket, {o.LTV_DAY} AS acquisition_date, {o.rnd("ltv_3mo")} AS ltv_3mo
+    f"""WITH x AS ({LTV_TWO}) SELECT brand, acquisition_sku_bucket, {o.LTV_DAY} AS acquisition_date, ltv_3mo
 FROM (SELECT *, max(acquisition_date) OVER (PARTITION BY brand, acquisition_sku_bucket) AS last FROM x)
 WHERE acquisition_date <= last - INTERVAL 135 DAY""",
 )
@@ -313,7 +318,7 @@ def impute_median(spark, sf):
     fill, _, _ = preprocess.numeric_statistics(train, NUMERIC, "median")
     fills = spark.createDataFrame(list(fill.items()), "name string, fill double")
     missing = train.select(*[F.col(n).isNull().cast("bigint").alias(n) for n in NUMERIC]).unpivot([], NUMERIC, "name", "m")
-    return plain(fills.join(missing.groupBy("name").agg(F.sum("m").alias("missing")), "name"))
+    return plain(fills.join(missing.groupBy("name").agg(F.sum("m").alias("missing")), "name"), 9)
 
 
 @query(
@@ -329,7 +334,7 @@ def impute_median(spark, sf):
 def scale_standard(spark, sf):
     data = storage.cut(clean(spark, sf).select(*BRAND.keys, *NUMERIC))
     fitted = preprocess.fit(_training(data), preprocess.Inputs([], NUMERIC))
-    return plain(data.select(*BRAND.keys, *[fitted.scaled(n).alias(n) for n in NUMERIC]))
+    return plain(data.select(*BRAND.keys, *[fitted.scaled(n).alias(n) for n in NUMERIC]), 9)
 
 
 @query(
@@ -386,13 +391,13 @@ SELECT strftime(cohort_month, '%Y-%m-%d') AS ds, {o.rnd("(coalesce(avg_promo_day
 CAST(CASE WHEN gross_add__type = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS "cat__gross_add__type_F",
 CAST(CASE WHEN gross_add__type = 'O' THEN 1 ELSE 0 END AS DOUBLE) AS "cat__gross_add__type_O",
 CAST(CASE WHEN gross_add__type = 'P' THEN 1 ELSE 0 END AS DOUBLE) AS "cat__gross_add__type_P",
-{o.rnd("avg_net_billings_90_days")} AS y FROM d, s""",
+avg_net_billings_90_days AS y FROM d, s""",
 )
 def time_series_frame(spark, sf):
     data = storage.cut(clean(spark, sf).select("cohort_month", "avg_promo_days", "gross_add__type", "avg_net_billings_90_days"))
     inputs = preprocess.Inputs(["gross_add__type"], ["avg_promo_days"], impute="constant")
     frame = preprocess.time_series_frame(data, preprocess.fit(data, inputs), "cohort_month", "avg_net_billings_90_days")
-    return plain(frame)
+    return plain(frame, 9, ["num__avg_promo_days"])
 
 
 # --- evaluation on a fixed predictor -------------------------------------------------------------
@@ -415,7 +420,7 @@ CASE WHEN var_pop({RATE}) = 0 THEN CASE WHEN sum(({RATE} - p) * ({RATE} - p)) =
 ELSE {o.rnd(f"1 - sum(({RATE} - p) * ({RATE} - p)) / (var_pop({RATE}) * count({RATE}))")} END AS r2 FROM s GROUP BY plan__is_promo""",
 )
 def eval_metrics(spark, sf):
-    return plain(metrics.evaluate(scored(spark, sf), RATE, "p", ["plan__is_promo"]))
+    return plain(metrics.evaluate(scored(spark, sf), RATE, "p", ["plan__is_promo"]), 9)
 
 
 @query(
@@ -432,16 +437,16 @@ def prediction_interval(spark, sf):
     out = rows.join(spread, "plan__is_promo").select(
         *BRAND.keys, F.col("p").alias("yhat"), lower.alias("yhat_lower"), upper.alias("yhat_upper")
     )
-    return plain(out)
+    return plain(out, 9)
 
 
 @query(
     "prediction_summary",
-    f"""SELECT o_orderpriority, count(*) AS rows, {o.rnd("avg(o_totalprice)")} AS mean, {o.rnd("median(o_totalprice)")} AS median,
-{o.rnd("min(o_totalprice)")} AS min, {o.rnd("max(o_totalprice)")} AS max FROM orders GROUP BY o_orderpriority""",
+    f"""SELECT o_orderpriority, count(*) AS rows, {o.rnd("avg(o_totalprice)", 4)} AS mean, {o.rnd("median(o_totalprice)", 4)} AS median,
+min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders GROUP BY o_orderpriority""",
 )
 def prediction_summary(spark, sf):
-    return plain(metrics.prediction_summary(src.table(spark, sf, "orders"), "o_orderpriority", "o_totalprice"))
+    return plain(metrics.prediction_summary(src.table(spark, sf, "orders"), "o_orderpriority", "o_totalprice"), 4, ["mean", "median"])
 
 
 # --- masks, statuses and filled counts -----------------------------------------------------------
@@ -507,8 +512,8 @@ def fixed(spark, sf, step, promo: bool) -> DataFrame:
 
 @query(
     "prediction_status",
-    f"""SELECT brand, {O_STATUS} AS avg_net_billings_365_days_model, count(*) AS n, {o.rnd("min(filled)")} AS least,
-{o.rnd("max(filled)")} AS most FROM (SELECT *, CASE WHEN predicted THEN p0 ELSE avg_net_billings_365_days END AS filled
+    f"""SELECT brand, {O_STATUS} AS avg_net_billings_365_days_model, count(*) AS n, {o.rnd("min(filled)", 6)} AS least,
+{o.rnd("max(filled)", 6)} AS most FROM (SELECT *, CASE WHEN predicted THEN p0 ELSE avg_net_billings_365_days END AS filled
 FROM ({o_fixed(BILLING_365, True)})) GROUP BY ALL""",
 )
 def prediction_status(spark, sf):
@@ -521,22 +526,23 @@ def prediction_status(spark, sf):
     return plain(
         out.groupBy("brand", BILLING_365.status_column).agg(
             F.count("*").alias("n"), F.min(target).alias("least"), F.max(target).alias("most")
-        )
+        ),
+        6,
     )
 
 
 @query(
     "backfill_counts",
-    f"""SELECT {O_KEYS}, {o.rnd("CASE WHEN predicted THEN p0 ELSE first_rebill_rate_excl_retries END")} AS first_rebill_rate_excl_retries,
-{o.rnd("CASE WHEN predicted THEN p0 * survived_promo_activations_excl_retries ELSE survived_first_rebills_excl_retries END")} AS survived_first_rebills_excl_retries,
-{o.rnd("CASE WHEN predicted THEN survived_promo_activations_excl_retries ELSE eligible_first_rebills END")} AS eligible_first_rebills
+    f"""SELECT {O_KEYS}, {o.rnd("CASE WHEN predicted THEN p0 ELSE first_rebill_rate_excl_retries END", 6)} AS first_rebill_rate_excl_retries,
+{o.rnd("CASE WHEN predicted THEN p0 * survived_promo_activations_excl_retries ELSE survived_first_rebills_excl_retries END", 6)} AS survived_first_rebills_excl_retries,
+{o.rnd("CASE WHEN predicted THEN survived_promo_activations_excl_retries ELSE eligible_first_rebills END", 6)} AS eligible_first_rebills
 FROM ({o_fixed(FIRST_REBILL, True)})""",
 )
 def backfill_counts(spark, sf):
     rows = fixed(spark, sf, FIRST_REBILL, True)
     filled = masks.fill_back(FIRST_REBILL, True, F.col("predicted"), {FIRST_REBILL.targets[0]: F.col("p0")})
     out = rows.select(*BRAND.keys, *[value.cast("double").alias(name) for name, value in filled.items()])
-    return plain(out)
+    return plain(out, 6)
 
 
 @query(
@@ -572,7 +578,7 @@ def predictions_long(spark, sf):
         {f"p{i}_{side}": F.col(f"p{i}") + shift for i in range(2) for side, shift in (("lower", -0.1), ("upper", 0.1))}
     )
     yhat = {t: f"p{i}" for i, t in enumerate(DAY_3.targets)}
-    return plain(masks.predictions_long(bounded, DAY_3, BRAND.keys, "gross_adds", yhat))
+    return plain(masks.predictions_long(bounded, DAY_3, BRAND.keys, "gross_adds", yhat), 9, ["yhat", "yhat_lower", "yhat_upper"])
 
 
 def _o_dashboard() -> str:
@@ -589,7 +595,7 @@ def _o_dashboard() -> str:
         "promo_price": "avg_promo_price",
     }
     totals = {c.total_billings_column(n): c.avg_billings_column(n) for n in c.BILLING_DAYS}
-    products = ", ".join(f"{o.rnd(f'{x} * gross_adds')} AS {name}" for name, x in {**derived, **totals}.items())
+    products = ", ".join(f"{x} * gross_adds AS {name}" for name, x in {**derived, **totals}.items())
     return f"""SELECT {O_KEYS}, predicted AS is_predicted, gross_adds, {", ".join(counts)}, {products}
 FROM ({o_fixed(BILLING_365, True)})"""
 
@@ -658,10 +664,11 @@ def cascade_stored_predictions(spark, sf):
 @query(
     "trend_fit",
     f"""SELECT r_name, {o.rnd("regr_slope(y, date_diff('day', DATE '1970-01-01', ds))")} AS slope,
-{o.rnd("regr_intercept(y, date_diff('day', DATE '1970-01-01', ds))")} AS intercept FROM ({o.MONTHLY}) GROUP BY r_name""",
+{o.rnd("regr_intercept(y, date_diff('day', DATE '1970-01-01', ds))", 4)} AS intercept FROM ({o.MONTHLY}) GROUP BY r_name""",
 )
 def trend_fit(spark, sf):
-    return plain(forecasting.linear_trend(src.monthly_series(spark, sf), ["r_name"]))
+    trend = forecasting.linear_trend(src.monthly_series(spark, sf), ["r_name"])
+    return plain(plain(trend, 9, ["slope"]), 4, ["intercept"])
 
 
 O_CALENDAR = """SELECT event_type, CAST(unnest(generate_series(lo, hi + INTERVAL 480 DAY, INTERVAL 1 DAY)) AS DATE) AS ds
@@ -703,7 +710,7 @@ def forecast_regressors(spark, sf):
 
 @query(
     "forecast_with_actuals",
-    f"""{O_FORECAST} SELECT event_type, {O_DAY}, round(yhat, 4) AS yhat, {o.rnd("y")} AS actuals
+    f"""{O_FORECAST} SELECT event_type, {O_DAY}, round(yhat, 4) AS yhat, y AS actuals
 FROM (SELECT event_type, ds, yhat, y FROM f FULL JOIN d USING (event_type, ds))""",
 )
 def forecast_with_actuals(spark, sf):
@@ -714,7 +721,7 @@ def forecast_with_actuals(spark, sf):
 
 @query(
     "forecast_onto_history",
-    f"""{O_FORECAST} SELECT event_type, {O_DAY}, {o.rnd("y")} AS y, round(yhat, 4) AS yhat
+    f"""{O_FORECAST} SELECT event_type, {O_DAY}, y, round(yhat, 4) AS yhat
 FROM (SELECT event_type, ds, yhat, y FROM d LEFT JOIN f USING (event_type, ds))""",
 )
 def forecast_onto_history(spark, sf):
@@ -797,7 +804,7 @@ def collector_flush(spark, sf):
     return plain(sinks.read(spark, sink.path("spine")))
 
 
-@query("dataset_cache", o.cohort(o.clean(BRAND), o.CLEAN_DOUBLES))
+@query("dataset_cache", o.cohort(o.clean(BRAND)))
 def dataset_cache(spark, sf):
     """Second load of a level reads what the first one stored."""
     folder = storage.scratch_path(spark, "cache")
