@@ -17,7 +17,7 @@ from vintner import config as c
 from vintner.config import CascadeSettings, Level, TreeParams
 from vintner.functions import dates, safe, text
 from vintner.operators import cohort_masks as masks
-from vintner.operators import cohorts, forecasting, ltv, metrics, order_stats, preprocess, risk, trees
+from vintner.operators import cohorts, forecasting, ltv, metrics, order_stats, preprocess, risk, seasonal, trees
 from vintner.plans import cascade as cascade_plan
 from vintner.plans import cohort_dataset as dataset_plan
 from vintner.plans import load_store, ltv_forecast, risk_report
@@ -729,6 +729,18 @@ def forecast_onto_history(spark, sf):
     return plain(ltv.onto_history(series, forecast.withColumn("yhat", F.round("yhat", 4)), ["event_type"]))
 
 
+@query("seasonal_regression")
+def seasonal_regression(spark, sf):
+    """One model of the 90-day average over all cohorts, with preprocessed features as regressors."""
+    target = "avg_net_billings_90_days"
+    data = storage.cut(clean(spark, sf))
+    inputs = preprocess.Inputs(BRAND.categories, list(c.BASE_REGRESSORS), impute="constant")
+    frame = preprocess.time_series_frame(data, preprocess.fit(data, inputs), "cohort_month", target)
+    features = [n for n in frame.columns if n not in ("ds", "y")]
+    fitted = seasonal.fit_seasonal(frame, features)
+    return fitted.predict(frame).select("ds", "y", "yhat", "yhat_lower", "yhat_upper")
+
+
 @query("group_forecast")
 def group_forecast(spark, sf):
     """Monthly orders per region with a year ahead, next to the actual values."""

@@ -37,10 +37,12 @@ def label_missing(value: Column, name: str) -> Column:
     return F.coalesce(value, F.lit(f"MISSING_{name.upper()}"))
 
 
-def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round the double columns of a report."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
+def same_keys(left: str, right: str, keys: list[str]) -> Column:
+    """Equality of the keys of two aliased frames, NULL equal to NULL."""
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return condition
 
 
 def upper_names(df: DataFrame) -> DataFrame:

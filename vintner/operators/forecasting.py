@@ -41,9 +41,7 @@ CASCADE_MODEL = SeriesModel(
 
 
 def _ridge(design: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    return np.linalg.lstsq(
-        np.vstack([design, np.diag(np.sqrt(penalty))]), np.concatenate([y, np.zeros(len(penalty))]), rcond=None
-    )[0]
+    return np.linalg.solve(design.T @ design + np.diag(penalty), design.T @ y)
 
 
 def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
@@ -120,8 +118,8 @@ def group_forecast(
 ) -> DataFrame:
     """History and ``horizon`` further points per group: ds, yhat, yhat_lower, yhat_upper, error.
 
-    ``series`` has the keys, ``ds`` and ``y``, one row per date. A group that cannot be fitted yields
-    one row with the reason.
+    ``series`` has the keys, ``ds`` and ``y``; several rows of a day count as their mean, so that a group
+    is never longer than its calendar. A group that cannot be fitted yields one row with the reason.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -147,8 +145,8 @@ def group_forecast(
         return out
 
     schema = _schema(series, keys, "ds date, yhat double, yhat_lower double, yhat_upper double, error string")
-    slim = series.select(*keys, F.to_date("ds").alias("ds"), F.col("y").cast("double").alias("y"))
-    return slim.groupBy(*keys).applyInPandas(keyed, schema)
+    daily = series.groupBy(*keys, F.to_date("ds").alias("ds")).agg(F.avg(F.col("y").cast("double")).alias("y"))
+    return daily.groupBy(*keys).applyInPandas(keyed, schema)
 
 
 def cascade_forecast(

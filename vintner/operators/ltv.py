@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from vintner.config import FORECAST_DAYS, LTV_LEVELS, LTV_MONTHS, MIN_GROUP_SIZE
-from vintner.functions.safe import ratio
+from vintner.functions.safe import ratio, same_keys
 from vintner.functions.text import digits_in
 
 # fixed values: amounts added and subtracted
@@ -77,11 +76,7 @@ def ltv_cohorts(billings: DataFrame, depths=None, months=LTV_MONTHS, levels=LTV_
 def large_groups(cohorts: DataFrame, keys: list[str], min_size: int = MIN_GROUP_SIZE) -> DataFrame:
     """Cohort rows of groups whose sizes add up to more than ``min_size``."""
     sizes = cohorts.groupBy(*keys).agg(F.sum("cohort_size").alias("_size")).filter(F.col("_size") > min_size)
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    condition = same[0]
-    for other in same[1:]:
-        condition = condition & other
-    return cohorts.alias("a").join(sizes.alias("b"), condition, "left_semi")
+    return cohorts.alias("a").join(sizes.alias("b"), same_keys("a", "b", keys), "left_semi")
 
 
 def blackout_days(target: str) -> int:
@@ -90,13 +85,15 @@ def blackout_days(target: str) -> int:
 
 
 def before_blackout(series: DataFrame, keys: list[str], target: str, date: str = "ds") -> DataFrame:
-    """Rows old enough for the target. A series has one row per day, which bounds the window."""
-    last = F.max(date).over(Window.partitionBy(*keys))
-    return (
-        series.withColumn("_last", last)
-        .filter(F.col(date) <= F.date_sub("_last", blackout_days(target)))
-        .drop("_last")
-    )
+    """Rows old enough for the target, counted back from the last day of their group.
+
+    The last day is an aggregate joined back, not a window: a window would bring a whole group into
+    one task.
+    """
+    last = series.groupBy(*keys).agg(F.max(date).alias("_last"))
+    same_group = same_keys("a", "b", keys)
+    old_enough = F.col(f"a.{date}") <= F.date_sub("b._last", blackout_days(target))
+    return series.alias("a").join(last.alias("b"), same_group & old_enough, "left_semi")
 
 
 # --- series and their calendars ------------------------------------------------------------------

@@ -366,9 +366,10 @@ def risk_combinations(
         .filter(over)
         .select("_key")
     )
-    # 8 bytes a row: broadcast up to a known size, joined by a shuffle beyond it
+    # 8 bytes a row: used to prune up to a known size; beyond it nothing is pruned, since shuffling the
+    # placed tuples to the keys would cost more than aggregating all of them
     small = passing.count() <= broadcast_rows
-    kept = placed.join(F.broadcast(passing) if small else passing, "_key", "left_semi")
+    kept = placed.join(F.broadcast(passing), "_key", "left_semi") if small else placed
     counts = (
         kept.withColumns(masked)
         .groupBy("_mask", *dimensions)

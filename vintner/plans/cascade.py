@@ -79,8 +79,9 @@ class CascadeRun:
     def run(self) -> DataFrame:
         """Run the cascade and store its results; a failure is recorded and raised again."""
         try:
+            self.dataset = cut(self.dataset)
             self._collect(SPINE_DATA, self.dataset)
-            result = self.cascade()
+            result = self._both_chains()
             self._collect(RAW_RESULTS, result)
         except Exception as problem:
             self._finish("FAILED", str(problem))
@@ -89,10 +90,14 @@ class CascadeRun:
         return result
 
     def cascade(self) -> DataFrame:
-        """All steps over both partitions. Rows whose promo flag is unknown belong to neither."""
+        """All steps over both partitions, without storing anything but checkpoints."""
+        self.dataset = cut(self.dataset)
+        return self._both_chains()
+
+    def _both_chains(self) -> DataFrame:
+        """Rows whose promo flag is unknown belong to neither chain."""
         measures = [f.name for f in self.dataset.schema.fields if isinstance(f.dataType, T.NumericType)]
-        numeric = nan_to_null(self.dataset.withColumns({m: F.col(m).cast("double") for m in measures}))
-        start = cut(numeric)
+        start = nan_to_null(self.dataset.withColumns({m: F.col(m).cast("double") for m in measures}))
         with ThreadPoolExecutor(2) as pool:
             chains = [
                 pool.submit(inheritable_thread_target(self.spark)(self._chain), start, is_promo) for is_promo in (True, False)
