@@ -235,6 +235,15 @@ def processor_events_union(spark, sf):
     return events(spark, sf, with_worldpay=True)
 
 
+@query(
+    "reference_coverage",
+    f"""SELECT processor, type, count(DISTINCT ref_txn_id) AS "references",
+count(DISTINCT CASE WHEN txn_id IS NULL THEN ref_txn_id END) AS without_id FROM ({o.events(True)}) GROUP BY processor, type""",
+)
+def reference_coverage(spark, sf):
+    return risk.reference_coverage(events(spark, sf, with_worldpay=True))
+
+
 @query("risk_ratio", o.risk_one("card_network"))
 def risk_ratio(spark, sf):
     return plain(risk.risk_ratios(events(spark, sf), ["card_network"]))
@@ -268,6 +277,11 @@ def ltv_hierarchy(spark, sf):
     return plain(ltv.ltv_cohorts(src.customer_billings(spark, sf)))
 
 
+@query("ltv_report", o.ltv_plain(f"SELECT * FROM ({o.ltv([3])}) ORDER BY acquisition_date, cohort_size DESC"))
+def ltv_report(spark, sf):
+    return plain(ltv.ltv_report(src.customer_billings(spark, sf), 3))
+
+
 LTV_TWO = o.ltv([2])
 
 

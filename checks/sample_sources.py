@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ MIN_BAD_COUNT = 500
 RISK_START = dt.date(1996, 1, 1)
 
 
+@lru_cache(maxsize=64)  # listing a folder and reading its footer takes longer than planning
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

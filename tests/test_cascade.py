@@ -114,6 +114,17 @@ def test_failure_is_recorded_and_raised(spark, folder):
     assert read(spark, f"{folder}/BRAND_SPINE_DATA.parquet").count() == data.count()
 
 
+def test_job_from_sources(spark, folder):
+    settings = CascadeSettings(min_cohort_size=5, trees=TREES, steps=(STEPS[8],), evaluate=False)
+    sources = src.cohort_sources(spark, "/root/testdata/sf0.001")
+    out = plan.run_cascade(
+        sources, src.AS_OF, src.START, make_sink("csv", folder), LEVEL, settings, cache_folder=f"{folder}/cache"
+    )
+    stored = spark.read.option("header", True).csv(f"{folder}/BRAND_{plan.RAW_RESULTS}.csv")
+    assert stored.count() == out.count() > 0
+    assert spark.read.parquet(f"{folder}/cache/BRAND.parquet").count() == out.count()
+
+
 def test_dashboard_totals(stored):
     _, _, result, _ = stored
     out = plan.dashboard_dataset(result, LEVEL, SETTINGS)

@@ -31,6 +31,13 @@ def test_csv_append_by_position(spark, folder):
         sink.write("t", frame(spark).select("k"), overwrite=False)
 
 
+def test_csv_renders_lists_and_records(spark, folder):
+    sink = sinks.make_sink("csv", folder)
+    sink.write("n", spark.createDataFrame([(["a", "b"], (1, True))], "l array<string>, r struct<x: int, y: boolean>"))
+    stored = spark.read.option("header", True).csv(sink.path("n")).first()
+    assert tuple(stored) == ('["a","b"]', '{"x":1,"y":true}')
+
+
 def test_table_sink(spark):
     sink = sinks.make_sink("table", spark=spark)
     rows = [(dt.datetime(2024, 1, 2, 3), dt.date(2024, 1, 2), 1)]

@@ -104,6 +104,13 @@ def _day_numbers(dates: pd.Series) -> np.ndarray:
     return pd.to_datetime(dates).to_numpy().astype("datetime64[D]").astype(float)
 
 
+def _spread_groups(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Place groups over all shuffle partitions. Fitting is heavy on little data, and partitions sized
+    by bytes would put thousands of groups into one task."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 def _schema(df: DataFrame, keys: list[str], rest: str) -> str:
     types = dict(df.dtypes)
     return ", ".join([f"`{k}` {types[k]}" for k in keys] + [rest])
@@ -146,7 +153,7 @@ def group_forecast(
 
     schema = _schema(series, keys, "ds date, yhat double, yhat_lower double, yhat_upper double, error string")
     daily = series.groupBy(*keys, F.to_date("ds").alias("ds")).agg(F.avg(F.col("y").cast("double")).alias("y"))
-    return daily.groupBy(*keys).applyInPandas(keyed, schema)
+    return _spread_groups(daily, keys).groupBy(*keys).applyInPandas(keyed, schema)
 
 
 def cascade_forecast(
@@ -186,7 +193,7 @@ def cascade_forecast(
 
     predicted = ", ".join(f"{t}_predicted double" for t in targets)
     schema = ", ".join(f"`{n}` {t}" for n, t in cohorts.dtypes) + f", error string, {predicted}"
-    return cohorts.groupBy(*keys).applyInPandas(run, schema)
+    return _spread_groups(cohorts, keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def forecast_groups(cohorts: DataFrame, levels, targets=FORECAST_TARGETS, min_size: int = MIN_GROUP_SIZE) -> DataFrame:

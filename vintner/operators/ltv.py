@@ -73,6 +73,11 @@ def ltv_cohorts(billings: DataFrame, depths=None, months=LTV_MONTHS, levels=LTV_
     )
 
 
+def ltv_report(billings: DataFrame, depth: int = len(LTV_LEVELS)) -> DataFrame:
+    """Cohorts of one prefix by day, largest first."""
+    return ltv_cohorts(billings, [depth]).orderBy("acquisition_date", F.desc("cohort_size"))
+
+
 def large_groups(cohorts: DataFrame, keys: list[str], min_size: int = MIN_GROUP_SIZE) -> DataFrame:
     """Cohort rows of groups whose sizes add up to more than ``min_size``."""
     sizes = cohorts.groupBy(*keys).agg(F.sum("cohort_size").alias("_size")).filter(F.col("_size") > min_size)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -157,9 +159,8 @@ def numeric_statistics(df: DataFrame, columns: list[str], impute: str):
     return fill, mean, spread
 
 
-def fit(train: DataFrame, inputs: Inputs) -> Fitted:
-    """Learn all statistics from the training rows; what reaches the driver is as small as the model."""
-    fill, mean, spread = numeric_statistics(train, inputs.numeric, inputs.impute)
+def encoded_categories(train: DataFrame, inputs: Inputs):
+    """Sorted labels to encode per column, and per column the rare training labels as a frame."""
     categories: dict[str, list[str]] = {c: [] for c in inputs.categorical}
     rare: dict[str, DataFrame] = {}
     if inputs.categorical:
@@ -179,6 +180,16 @@ def fit(train: DataFrame, inputs: Inputs) -> Fitted:
             categories[row["name"]].append(row["label"])
         for name in categories:
             categories[name] = sorted(categories[name]) + [RARE] * (name in rare)
+    return categories, rare
+
+
+def fit(train: DataFrame, inputs: Inputs) -> Fitted:
+    """Learn all statistics from the training rows; what reaches the driver is as small as the model."""
+    in_thread = inheritable_thread_target(train.sparkSession)
+    with ThreadPoolExecutor(2) as pool:
+        labels = pool.submit(in_thread(encoded_categories), train, inputs)
+        numbers = pool.submit(in_thread(numeric_statistics), train, inputs.numeric, inputs.impute)
+        (categories, rare), (fill, mean, spread) = labels.result(), numbers.result()
     seen: dict[str, list[bool]] = {}
     if inputs.boolean:
         row = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in inputs.boolean]).first()

@@ -238,6 +238,14 @@ def events_by_processor_id(events: DataFrame, transactions: DataFrame, enriched:
     )
 
 
+def reference_coverage(events: DataFrame) -> DataFrame:
+    """Distinct references per processor and type, and how many of them have no readable or known id."""
+    known = events.groupBy("processor", "type", "ref_txn_id").agg(F.count("txn_id").alias("_known"))
+    return known.groupBy("processor", "type").agg(
+        F.count("*").alias("references"), F.count_if(F.col("_known") == 0).alias("without_id")
+    )
+
+
 def clean_networks(events: DataFrame) -> DataFrame:
     return events.withColumn("card_network", card_network(F.col("card_network")))
 

@@ -26,6 +26,7 @@ from vintner.operators import trees
 from vintner.operators.metrics import evaluate
 from vintner.operators.order_stats import holdout, key_hash
 from vintner.operators.preprocess import Inputs
+from vintner.plans.cohort_dataset import CohortSources, load_clean_dataset
 from vintner.sources.sinks import ResultCollector
 from vintner.sources.storage import cut
 
@@ -236,6 +237,21 @@ class CascadeRun:
             self.collector.flush(self.sink)
 
 
+def run_cascade(
+    sources: CohortSources,
+    as_of: dt.date,
+    start: dt.date,
+    sink=None,
+    level: Level = c.LEVELS[-1],
+    settings: CascadeSettings = CascadeSettings(),
+    excluded_brand: str | None = None,
+    cache_folder: str | None = None,
+) -> DataFrame:
+    """Load and clean the dataset of a level, by default the finest, and run the cascade on it."""
+    dataset = load_clean_dataset(sources, as_of, start, level, excluded_brand, cache_folder)
+    return CascadeRun(level, dataset, sink, settings).run()
+
+
 def dashboard_dataset(result: DataFrame, level: Level, settings: CascadeSettings = CascadeSettings()) -> DataFrame:
     """Result rows for a dashboard: predicted or not, averages and rates turned back into totals."""
     statuses = [s.status_column for s in settings.steps if s.status_column in result.columns]
