@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,12 +18,13 @@ def hot_keys(df: DataFrame, key: str, share: int = 1000, min_rows: int = 100_000
     keyed = df.select(key).filter(F.col(key).isNotNull())
     bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
     rows = F.count("*").alias("_rows")
-    sizes = keyed.groupBy(bucket.alias("_bucket")).agg(rows)
-    total = sizes.agg(F.sum("_rows")).scalar()
-    is_large = (F.col("_rows") >= min_rows) & (F.col("_rows") * share >= total)
-    large = sizes.filter(is_large).select("_bucket")  # at most ``share`` buckets
-    inside = keyed.withColumn("_bucket", bucket).join(F.broadcast(large), "_bucket", "left_semi")
-    return inside.groupBy(key).agg(rows).filter(is_large).select(key)
+    is_large = (F.col("_rows") >= min_rows) & (F.col("_rows") * share >= F.col("_total"))
+    # this window sees one row per bucket
+    total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
+    sizes = keyed.groupBy(bucket.alias("_bucket")).agg(rows).withColumn("_total", total)
+    large = sizes.filter(is_large).select("_bucket", "_total")  # at most ``share`` rows
+    inside = keyed.withColumn("_bucket", bucket).join(F.broadcast(large), "_bucket")
+    return inside.groupBy(key).agg(rows, F.max("_total").alias("_total")).filter(is_large).select(key)
 
 
 def spread_left_join(
