@@ -161,6 +161,15 @@ def test_hot_processor_id_gives_the_same_events(spark, monkeypatch):
     assert sorted(map(str, run(found).collect())) == plainly
 
 
+def test_events_are_read_once(spark):
+    report = risk.risk_all_levels(sample(spark), ordered=False)
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    ratios = risk.risk_ratios(sample(spark).repartition(2), ["bin"])
+    ratios.collect()
+    final = ratios._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1
+
+
 def test_report_caches_events_and_writes(spark, folder):
     from vintner.sources.sinks import make_sink
 

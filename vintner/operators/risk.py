@@ -324,7 +324,8 @@ def risk_all_levels(
         .groupBy("level", "value")
         .agg(F.sum("bad").alias("fraud_disputes_count"), F.sum("good").alias("settled_count"))
     )
-    report = _thresholded(counts, min_bad_count, F.coalesce("value", F.concat(F.lit("MISSING_"), F.upper("level"))))
+    # rows and totals both come from the counts; stored, the events behind them are read only once
+    report = _thresholded(cut(counts), min_bad_count, F.coalesce("value", F.concat(F.lit("MISSING_"), F.upper("level"))))
     position = F.array_position(F.array(*[F.lit(d.upper()) for d in dimensions]), F.col("level"))
     return report.orderBy(position, F.col("delta_percentage").desc_nulls_first()) if ordered else report
 
