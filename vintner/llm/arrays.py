@@ -97,24 +97,29 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v
 
 
-def shingle_hashes(words: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text, first word) of every run of ``size`` words; a shorter text is one run of all its words."""
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    total = np.zeros(n, dtype=np.uint64)
-    last = np.minimum(np.searchsorted(text, text, side="right") - 1, n - 1)
-    at = np.arange(n)
-    for k in range(size):
-        here = np.minimum(at + k, n - 1)
-        same = at + k <= last
-        total += np.where(same, mixed(words[here] + _FACTORS[k]), np.uint64(0))
-        if k == 0:
-            continue
-        total = mixed(total)
-    first = np.searchsorted(text, text, side="left")
-    full = (at + size - 1 <= last) | (at == first)
-    return total[full], text[full], at[full]
+def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, first word) of every run of ``size`` words; a shorter text is one run of all its words.
+
+    ``counts`` has the number of words of every text, ``words`` their hashes one text after the other.
+    """
+    n, ends = len(words), np.cumsum(counts)
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = np.zeros(0, np.int64)
+    out = np.zeros(0, np.uint64)
+    if n >= size:
+        at = np.flatnonzero(np.arange(n - size + 1) + size <= ends[text[: n - size + 1]])
+        out = _runs(words, at, size)
+    for k in range(1, size):
+        short = ends[counts == k] - k
+        at, out = np.concatenate([at, short]), np.concatenate([out, _runs(words, short, k)])
+    return out, text[at], at
+
+
+def _runs(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    out = words[at]
+    for k in range(1, size):
+        out = (out ^ (out >> np.uint64(29))) * _FACTORS[k] + words[at + k]
+    return mixed(out)
 
 
 def distinct_pairs(text: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

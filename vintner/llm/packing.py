@@ -8,7 +8,9 @@ its place by its length and its rank among the pieces of that length.
 Exact complements come first. For the longest length left, the gap to the capacity is looked up among
 single lengths, sums of two and sums of three lengths; a combination that fills the gap exactly is used
 as often as the pieces at hand allow. What no combination completes is placed by best fit, longest
-first: into the open sequence with the smallest gap that is large enough, or into a new one.
+first: into the open sequence with the smallest gap that is large enough, or into a new one. Exact fits
+that spend the short pieces leave long ones without company, so several ways to spend them are planned
+(they cost milliseconds each, whatever the number of documents) and the one with the fewest sequences is used.
 """
 
 from __future__ import annotations
@@ -81,43 +83,58 @@ class Complements:
         found = np.flatnonzero((self.left[high] >= need_high) & (self.left[total - high] >= need_low))
         return None if not len(found) else (int(high[found[0]]), int(total - high[found[0]]))
 
-    def fill(self, length: int, gap: int) -> tuple[int, ...] | None:
-        """One, two or three lengths that fill the gap beside a piece of ``length``, or None."""
-        if gap < len(self.left) and self.left[gap] >= 1 + (gap == length):
+    def fill(self, length: int, gap: int, most: int, least: int) -> tuple[int, ...] | None:
+        """Up to ``most`` (1 to 3) lengths that fill the gap beside a piece of ``length``, or None.
+
+        Sums of two and three lengths use none below ``least``.
+        """
+        if self.left[gap] >= 1 + (gap == length):
             return (gap,)
-        if gap >= 2 and (pair := self._pair(gap, length)):
-            return pair
-        for first in np.flatnonzero(self.left[: max(gap - 1, 0)])[::-1]:
-            first = int(first)
-            if first * 3 < gap:
-                break
-            if pair := self._pair(gap - first, length):
-                combination = (first, *pair)
-                if self._usable((length, *combination)):
-                    return combination
-        return None
+        held, self.left[:least] = self.left[:least].copy(), 0
+        try:
+            if most >= 2 and gap >= 2 and (pair := self._pair(gap, length)):
+                return pair
+            for first in np.flatnonzero(self.left[: max(gap - 1, 0)])[::-1] if most >= 3 else ():
+                first = int(first)
+                if first * 3 < gap:
+                    break
+                if (pair := self._pair(gap - first, length)) and self._usable((length, first, *pair)):
+                    return (first, *pair)
+            return None
+        finally:
+            self.left[:least] = held
+
+
+#: Ways to plan, of which the one with the fewest sequences is taken: how many lengths may fill a gap, and
+#: the shortest length that sums use (shorter ones stay for the best fit, which needs them at the end).
+WAYS = [(1, 1), *((most, least) for most in (2, 3) for least in (1, 16, 128, 200, 256, 320))]
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns and how often each is used; all pieces counted are placed, no pattern is over the capacity."""
+    plans = [_plan(counts, capacity, most, least * capacity // CAPACITY) for most, least in WAYS]
+    return min(plans, key=lambda p: sum(uses for _, uses in p))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int, least: int) -> list[tuple[tuple[int, ...], int]]:
     at_hand = Complements(counts, capacity)
     patterns: list[tuple[tuple[int, ...], int]] = []
     if at_hand.left[capacity]:
         patterns.append(((capacity,), int(at_hand.left[capacity])))
         at_hand.left[capacity] = 0
-    rest: list[tuple[int, int]] = []
-    for length in range(capacity - 1, 0, -1):
-        while at_hand.left[length] and (others := at_hand.fill(length, capacity - length)):
-            pattern = (length, *others)
-            uses = at_hand._usable(pattern)
-            for x in pattern:
-                at_hand.left[x] -= uses
-            patterns.append((pattern, uses))
-        if at_hand.left[length]:
-            rest.append((length, int(at_hand.left[length])))
-            at_hand.left[length] = 0
+    for up_to in range(1, most + 1):
+        for length in range(capacity - 1, 0, -1):
+            while at_hand.left[length] and (
+                others := at_hand.fill(length, capacity - length, up_to, min(least, length))
+            ):
+                pattern = (length, *others)
+                uses = at_hand._usable(pattern)
+                for x in pattern:
+                    at_hand.left[x] -= uses
+                patterns.append((pattern, uses))
     open_: list[tuple[int, tuple[int, ...], int]] = []  # gap, lengths, how many; by gap
-    for length, n in rest:
+    for length in range(capacity - 1, 0, -1):
+        n = int(at_hand.left[length])
         while n:
             k = bisect_left(open_, (length,))
             if k == len(open_):
