@@ -2,14 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintner.llm import quality_svm, toxicity_chain
+from vintner.llm.decontamination import contaminated
 from vintner.llm.packing import pack
 from vintner.llm.shared import table
+from vintner.llm.simhash_dedup import classes
 from vintner.llm.token_counts import counts_after_edits
 from vintner.llm.training_order import materialise, read_shards
 
+#: Least score of a document that is predicted to be good.
+GOOD = 0.3
+
+
+def held_out(doc_id: Column) -> Column:
+    """Whether no model may learn from the label of this document."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+
+
+def op1_quality_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_svm.fit(docs, training_labels(spark, sf_dir), "quality")
+    scored = quality_svm.with_scores(docs, model).drop("text")
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents"))
+
 
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence with its slot and place, its checksum taken from the shard read back."""
@@ -18,6 +49,13 @@ def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.drop("ids", "path")
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity_chain.fit(docs, training_labels(spark, sf_dir))
+    scored = toxicity_chain.with_categories(docs, chain).drop("text")
+    return scored.withColumn("toxic", F.col("p_toxic") >= toxicity_chain.THRESHOLD)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -26,9 +64,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_after_edits(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_quality_svm": op1_quality_svm,
+    "op2_simhash": op2_simhash,
     "op6_training_order": op6_training_order,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}

@@ -42,11 +42,12 @@ SELECTED = 2048
 #: Fewest toxic rows of the sample with a feature, and least statistic of its association with the label.
 LEAST_ROWS = 3
 LEAST_G = 12.0
-PENALTY = 1e-4
-STEPS = 300
+PENALTY = 1e-5
+STEPS = 500
 FOLDS = 3
 LIMIT = 15.0
-THRESHOLD = 0.5
+#: A row of either label is equally likely in the sample, so this asks for some doubt only.
+THRESHOLD = 0.3
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
