@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from vintner.llm import quality_svm, toxicity_chain
 from vintner.llm.decontamination import contaminated
+from vintner.llm.html_main_text import extract
 from vintner.llm.packing import pack
 from vintner.llm.shared import table
 from vintner.llm.simhash_dedup import classes
 from vintner.llm.token_counts import counts_after_edits
 from vintner.llm.training_order import materialise, read_shards
+from vintner.llm.warc import archive_and_read
 
 #: Least score of a document that is predicted to be good.
 GOOD = 0.3
@@ -42,6 +44,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence with its slot and place, its checksum taken from the shard read back."""
     written = materialise(table(spark, sf_dir, "documents"))
@@ -71,10 +81,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_svm": op1_quality_svm,
     "op2_simhash": op2_simhash,
+    "op3_html_main_text": op3_html_main_text,
+    "op5_warc": op5_warc,
     "op6_training_order": op6_training_order,
     "op7_toxicity_chain": op7_toxicity_chain,
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first
+            FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f
+    """,
+}
