@@ -27,7 +27,7 @@ from vintner.llm import tokens
 from vintner.llm.arrays import mixed
 from vintner.llm.shared import appended, new_folder, stored
 
-STRIDE = 128
+STRIDE = 256
 KEY = 42
 ROUNDS = 6
 #: A text has at most 2**31 bytes, an id covers at least one, and the end id is one more.
