@@ -9,6 +9,7 @@ from vintner.llm import quality_svm, toxicity_chain
 from vintner.llm.decontamination import contaminated
 from vintner.llm.html_main_text import extract
 from vintner.llm.packing import pack
+from vintner.llm.robust_outliers import judged
 from vintner.llm.shared import table
 from vintner.llm.simhash_dedup import classes
 from vintner.llm.token_counts import counts_after_edits
@@ -48,6 +49,10 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(table(spark, sf_dir, "pages"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op1_quality_svm": op1_quality_svm,
     "op2_simhash": op2_simhash,
     "op3_html_main_text": op3_html_main_text,
+    "op4_robust_outliers": op4_robust_outliers,
     "op5_warc": op5_warc,
     "op6_training_order": op6_training_order,
     "op7_toxicity_chain": op7_toxicity_chain,
