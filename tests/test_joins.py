@@ -26,15 +26,15 @@ def expected():
 
 def test_hot_keys_are_those_above_the_share(spark):
     _, right = frames(spark)
-    assert [r[0] for r in hot_keys(right, "k", share=4, min_rows=10).collect()] == ["hot"]
-    assert hot_keys(right, "k", share=4, min_rows=10_000).count() == 0
-    assert hot_keys(right, "k", share=2, min_rows=1).count() == 0
+    assert [r[0] for r in hot_keys(right, "k", share=4).collect()] == ["hot"]
+    assert hot_keys(right, "k", share=2).count() == 0
+    assert hot_keys(spark.range(5), "id").count() == 0
 
 
 def test_join_equals_a_plain_left_join(spark):
     left, right = frames(spark)
-    for salts, min_rows in ((5, 10), (64, 10), (5, 10**9)):
-        joined = spread_left_join(left, right, "k", salts=salts, share=10, min_rows=min_rows)
+    for salts, share in ((5, 10), (64, 10), (5, 1)):
+        joined = spread_left_join(left, right, "k", salts=salts, share=share)
         assert joined.columns == ["k", "l", "r", "note"]
         assert sorted(map(tuple, joined.collect()), key=str) == expected()
 
@@ -42,7 +42,7 @@ def test_join_equals_a_plain_left_join(spark):
 def test_distinct_keeps_one_row_per_selected_tuple(spark):
     left, right = frames(spark)
     joined = spread_left_join(
-        left, right, "k", salts=5, share=10, min_rows=10, distinct=[F.col("k"), F.col("l"), F.col("note")], slice_by=["note"]
+        left, right, "k", salts=5, share=10, distinct=[F.col("k"), F.col("l"), F.col("note")], slice_by=["note"]
     )
     assert sorted(map(tuple, joined.collect()), key=str) == sorted({(k, x, n) for k, x, _, n in expected()}, key=str)
 
@@ -53,7 +53,7 @@ def test_hot_rows_land_in_many_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = spread_left_join(left, right, "k", salts=16, min_rows=100)
+        joined = spread_left_join(left, right, "k", salts=16)
         placed = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

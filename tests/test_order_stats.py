@@ -19,20 +19,34 @@ COLUMNS = {
 }
 
 
-@pytest.mark.parametrize("few", [0, 100, o.FEW])
-def test_medians_match_a_sort(spark, few):
-    rows = [(name, v) for name, values in COLUMNS.items() for v in values] + [("normal", None), ("empty", None)]
+@pytest.mark.parametrize("at_once", [10, 200, o.SORTED_AT_ONCE])
+def test_medians_match_a_sort(spark, at_once):
+    rows = [(name, v) for name, values in COLUMNS.items() for v in values]
+    rows += [("normal", None), ("normal", math.nan), ("empty", None)] + [(None, v) for v in (1.0, 2.0, 9.0)]
     df = spark.createDataFrame(rows, "name string, value double").repartition(4)
-    found = o.medians_of(df, few=few)
-    assert found == {name: statistics.median(values) for name, values in COLUMNS.items()}
+    found = {r["name"]: r["median"] for r in o.medians_of(df, at_once).collect()}
+    assert found == {name: statistics.median(values) for name, values in COLUMNS.items()} | {None: 2.0}
 
 
-@pytest.mark.parametrize("few", [0, o.FEW])
-def test_any_rank(spark, few):
+@pytest.mark.parametrize("at_once", [10, o.SORTED_AT_ONCE])
+def test_any_rank(spark, at_once):
     values = COLUMNS["hot"]
     df = spark.createDataFrame([("a", v) for v in values], "name string, value double")
     ranks = [0, 1, 250, 500, 999, 1000]
-    assert o.order_statistics(df, lambda n: ranks, few=few)["a"] == [sorted(values)[r] for r in ranks]
+    found = o.order_statistics(df, lambda n: [F.lit(r) for r in ranks], at_once).orderBy("i").collect()
+    assert [r["value"] for r in found] == [sorted(values)[r] for r in ranks]
+
+
+def test_infinities_are_values(spark):
+    values = [math.inf, 1.0, 2.0, -math.inf, math.inf] * 30
+    df = spark.createDataFrame([("a", v) for v in values], "name string, value double")
+    assert o.medians_of(df, 10).first()["median"] == 2.0
+    assert o.medians_of(df.filter("value > 2")).first()["median"] == math.inf
+
+
+def test_rows_without_an_order_are_in_the_rest(spark):
+    df = spark.createDataFrame([(None,), (1.0,), (2.0,)], "x double")
+    assert sorted(o.holdout(df, F.col("x"), 0.5).collect(), key=str) == [(1.0, True), (2.0, False), (None, False)]
 
 
 @pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 997])

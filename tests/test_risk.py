@@ -67,8 +67,7 @@ def test_levels_come_in_order_and_add_up(spark):
         assert rated == sorted(rated, reverse=True)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
-def test_combinations_match_brute_force(spark, broadcast_rows):
+def test_combinations_match_brute_force(spark):
     stream = q.events(spark, SF).cache()
     rows = stream.collect()
     combos = risk.level_combinations(RISK_DIMENSIONS, 2, 3) + [list(RISK_DIMENSIONS)]
@@ -86,7 +85,7 @@ def test_combinations_match_brute_force(spark, broadcast_rows):
         for key, n in groups.items()
         if n > minimum
     }
-    report = risk.risk_combinations(stream, combos, min_bad_count=minimum, broadcast_rows=broadcast_rows).collect()
+    report = risk.risk_combinations(stream, combos, min_bad_count=minimum).collect()
     assert {(r["level"], r["value"], r["fraud_disputes_count"], r["settled_count"]) for r in report} == expected
     assert len(report) == len(expected) > 0
     total = sum(bad["PROCESSOR-BIN"].values()) / sum(good["PROCESSOR-BIN"].values())
@@ -156,7 +155,7 @@ def test_hot_processor_id_gives_the_same_events(spark, monkeypatch):
     plainly = sorted(map(str, run(found).collect()))
     original = risk.spread_left_join
     monkeypatch.setattr(
-        risk, "spread_left_join", lambda *a, **k: original(*a, **k, salts=5, share=10, min_rows=10)
+        risk, "spread_left_join", lambda *a, **k: original(*a, **k, salts=5, share=10)
     )
     assert sorted(map(str, run(found).collect())) == plainly
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 16
 
 
-def hot_keys(df: DataFrame, key: str, share: int = 1000, min_rows: int = 100_000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: int = 1000) -> DataFrame:
     """Keys that hold at least 1/``share`` of the keyed rows. At most ``share`` keys can.
 
     Rows are counted per hash bucket first, which shuffles a fixed number of rows; single keys are
@@ -18,7 +18,8 @@ def hot_keys(df: DataFrame, key: str, share: int = 1000, min_rows: int = 100_000
     keyed = df.select(key).filter(F.col(key).isNotNull())
     bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS))
     rows = F.count("*").alias("_rows")
-    is_large = (F.col("_rows") >= min_rows) & (F.col("_rows") * share >= F.col("_total"))
+    # a key of a single row is not worth a salt, whatever its share
+    is_large = (F.col("_rows") > 1) & (F.col("_rows") * share >= F.col("_total"))
     # this window sees one row per bucket
     total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
     sizes = keyed.groupBy(bucket.alias("_bucket")).agg(rows).withColumn("_total", total)
@@ -36,7 +37,6 @@ def spread_left_join(
     slice_by: list[str] | None = None,
     salts: int = 64,
     share: int = 1000,
-    min_rows: int = 100_000,
 ) -> DataFrame:
     """``left.join(right, key, 'left')`` with salted hot and NULL keys. ``key`` exists on both sides.
 
@@ -52,7 +52,7 @@ def spread_left_join(
     rows that become equal share a slice: ``slice_by`` names the right columns that decide it (default
     all), and these must survive the selection, as must what tells left rows without a key apart.
     """
-    hot = hot_keys(right if keys_of is None else keys_of, key, share, min_rows).withColumn("_hot", F.lit(True))
+    hot = hot_keys(right if keys_of is None else keys_of, key, share).withColumn("_hot", F.lit(True))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in slice_by or right.columns]), F.lit(salts)).cast("int")
     salted_right = (

@@ -45,9 +45,10 @@ def prediction_summary(df: DataFrame, name: str, value: str) -> DataFrame:
     rows = df.select(F.col(name).alias("name"), F.col(value).cast("double").alias("value")).filter(
         F.col("value").isNotNull()
     )
-    middle = medians_of(rows)
-    middles = df.sparkSession.createDataFrame(list(middle.items()), "name string, median double")
+    middles = medians_of(rows).withColumnRenamed("name", "_name")
     summary = rows.groupBy("name").agg(
         F.count("*").alias("rows"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    return summary.join(middles, "name").withColumnRenamed("name", name)
+    # A NULL name is a group like others.
+    both = summary.join(middles, F.col("name").eqNullSafe(F.col("_name")), "left")
+    return both.select(F.col("name").alias(name), "rows", "mean", "min", "max", "median")

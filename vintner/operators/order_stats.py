@@ -1,22 +1,25 @@
 """Exact order statistics without gathering a column in one task.
 
-``median`` as an aggregate merges every distinct value of a column into one buffer. Here the range of
-values around each wanted rank is cut into bins, the bins are counted everywhere, and the search goes
-on inside the bin that holds the rank. Shuffled and collected data depend on the number of bins and of
-wanted ranks, not on the rows.
+``median`` as an aggregate merges every distinct value of a column into one buffer. Here the range
+around each wanted rank is narrowed by quantile sketches until few rows are left in it, and only these are
+ranked. Everything stays a frame, whatever the number of names.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-FEW = 100_000  # so many candidate values are fetched and sorted directly
+from vintner.sources.storage import cut
+
+GRID = 256
+ACCURACY = 10_000
+#: Narrowing goes on while a range holds more rows than one task should sort.
+SORTED_AT_ONCE = 1_000_000
+_LOWEST, _HIGHEST = float("-inf"), float("inf")
 
 
 @dataclass(frozen=True)
@@ -25,74 +28,73 @@ class Extent:
 
     rows: int
     n: int
-    lo: float | None
-    hi: float | None
     mean: float | None
     variance: float | None
 
 
 def extents(rows: DataFrame) -> dict[str, Extent]:
-    """Extent per name of a (name, value) frame."""
+    """Extent per name of a (name, value) frame with few names, such as the columns of a model."""
     value = F.col("value")
-    found = rows.groupBy("name").agg(
-        F.count("*"), F.count(value), F.min(value), F.max(value), F.avg(value), F.var_pop(value)
-    )
+    found = rows.groupBy("name").agg(F.count("*"), F.count(value), F.avg(value), F.var_pop(value))
     return {name: Extent(*rest) for name, *rest in found.collect()}
 
 
 def order_statistics(
-    rows: DataFrame,
-    ranks: Callable[[int], list[int]],
-    known: dict[str, Extent] | None = None,
-    few: int = FEW,
-) -> dict[str, list[float]]:
-    """Values per name at the 0-based ranks that ``ranks`` gives for its number of values.
-
-    ``rows`` has (name, value); NULL values are ignored, a name without values is absent. NaN is not
-    allowed. Pass ``known`` extents to save a pass.
+    rows: DataFrame, ranks: Callable[[Column], list[Column]], at_once: int = SORTED_AT_ONCE
+) -> DataFrame:
+    """(name, i, value): per name the values at the 0-based ranks ``ranks`` gives for its number of values.
+
+    ``rows`` has (name, value). NULL and NaN are not values; infinities are, and NULL is a name like
+    others. A name without values is absent.
     """
-    spark = rows.sparkSession
-    wanted: dict[str, list[int]] = {}
-    open_targets = {}  # (name, rank) -> rank within the bracket, bracket, rows in it
-    for name, extent in (known or extents(rows)).items():
-        if extent.n:
-            wanted[name] = ranks(extent.n)
-            open_targets.update({(name, k): (k, extent.lo, extent.hi, extent.n) for k in wanted[name]})
-    found: dict[tuple[str, int], float] = {}
+    values = rows.select("name", F.col("value").cast("double").alias("value")).filter("value IS NOT NULL AND NOT isnan(value)")
+    sizes = values.groupBy("name").agg(F.count("*").alias("n"))
+    wanted = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("n"))])).alias("i", "rank")
+    state = sizes.select(
+        F.col("name").alias("_name"), "n", wanted, F.lit(_LOWEST).alias("lo"), F.lit(_HIGHEST).alias("hi")
+    )
+    state = cut(state)
     while True:
-        found.update({t: lo for t, (_, lo, hi, _) in open_targets.items() if lo == hi})
-        open_targets = {t: v for t, v in open_targets.items() if v[1] != v[2]}
-        if not open_targets:
-            return {name: [found[name, rank] for rank in ranks_] for name, ranks_ in wanted.items()}
-        targets = spark.createDataFrame(
-            [(n, k, left, float(lo), float(hi)) for (n, k), (left, lo, hi, _) in open_targets.items()],
-            "name string, rank bigint, left bigint, lo double, hi double",
+        largest = state.filter("lo < hi").agg(F.max("n")).first()[0]
+        if largest is None or largest <= at_once:
+            break
+        state, before = _narrowed(values, state), largest
+        if (state.filter("lo < hi").agg(F.max("n")).first()[0] or 0) * 2 > before:
+            break  # one value fills the range: its rows are one row once they are counted
+    counted = _inside(values, state).groupBy("_name", "i", "rank", "value").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("_name", "i").orderBy("value"))
+    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    return counted.withColumn("upto", upto).filter(hit).select(F.col("_name").alias("name"), "i", "value")
+
+
+def _inside(values: DataFrame, state: DataFrame) -> DataFrame:
+    held = values.join(state.drop("n"), F.col("name").eqNullSafe(F.col("_name")))
+    return held.filter(F.col("value").between(F.col("lo"), F.col("hi"))).drop("name")
+
+
+def _narrowed(values: DataFrame, state: DataFrame) -> DataFrame:
+    """The ranges between two quantiles around each rank, with the ranks and counts inside them."""
+    keys = ["_name", "i"]
+    quantiles = F.percentile_approx("value", [k / GRID for k in range(GRID + 1)], ACCURACY).alias("grid")
+    grids = _inside(values, state).groupBy(*keys).agg(quantiles, F.count("*").alias("n"))
+    same = lambda a, b: F.col(f"{a}._name").eqNullSafe(F.col(f"{b}._name")) & (F.col(f"{a}.i") == F.col(f"{b}.i"))
+    both = state.alias("s").join(grids.alias("g"), same("s", "g")).select("s._name", "s.i", "s.rank", "s.lo", "s.hi", "g.n", "g.grid")
+    # Sketches are exact to a ten thousandth of the rows: the margin is ten times that, and two ranks.
+    margin = F.col("n") / 1000 + 2
+    low = F.floor((F.col("rank") - margin) / F.col("n") * GRID).cast("int")
+    high = F.ceil((F.col("rank") + 1 + margin) / F.col("n") * GRID).cast("int")
+    narrow = cut(
+        both.withColumns({"_a": F.get("grid", low), "_b": F.get("grid", high)}).select(
+            "_name", "i", "rank", F.coalesce("_a", "lo").alias("lo"), F.coalesce("_b", "hi").alias("hi"),
+            F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
         )
-        # one row per wanted rank, so the broadcast is bounded by the caller's request
-        inside = rows.join(F.broadcast(targets), "name").filter(F.col("value").between(F.col("lo"), F.col("hi")))
-        if sum(v[3] for v in open_targets.values()) <= few:
-            candidates: dict[tuple[str, int], list[float]] = {}
-            for r in inside.select("name", "rank", "value").collect():
-                candidates.setdefault((r["name"], r["rank"]), []).append(r["value"])
-            open_targets = {
-                t: (0, value, value, 1)
-                for t, (left, *_) in open_targets.items()
-                for value in [sorted(candidates[t])[left]]
-            }
-            continue
-        position = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
-        bins = (
-            inside.withColumn("bin", F.least(position, F.lit(BINS - 1)))
-            .groupBy("name", "rank", "left", "bin")
-            .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        )
-        upto = F.sum("n").over(Window.partitionBy("name", "rank").orderBy("bin"))
-        hits = (
-            bins.withColumn("upto", upto)
-            .filter((F.col("left") < F.col("upto")) & (F.col("left") >= F.col("upto") - F.col("n")))
-            .select("name", "rank", (F.col("left") - F.col("upto") + F.col("n")).alias("left"), "lo", "hi", "n")
-        )
-        open_targets = {(r["name"], r["rank"]): (r["left"], r["lo"], r["hi"], r["n"]) for r in hits.collect()}
+    )
+    held = values.join(narrow, F.col("name").eqNullSafe(F.col("_name"))).filter("value BETWEEN _lo AND _hi")
+    return cut(
+        held.groupBy("_name", "i", "lo", "hi", "rank")
+        .agg(F.count_if(F.col("value") < F.col("lo")).alias("_below"), F.count_if(F.col("value").between(F.col("lo"), F.col("hi"))).alias("n"))
+        .select("_name", "n", "i", (F.col("rank") - F.col("_below")).alias("rank"), "lo", "hi")
+    )
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -100,26 +102,26 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "name", "value")
 
 
-def medians_of(
-    rows: DataFrame, known: dict[str, Extent] | None = None, few: int = FEW
-) -> dict[str, float]:
-    """Median per name; with an even count the mean of the two middle values."""
-    middle = order_statistics(rows, lambda n: [(n - 1) // 2, n // 2], known, few)
-    return {name: (low + high) / 2 for name, (low, high) in middle.items()}
+def medians_of(rows: DataFrame, at_once: int = SORTED_AT_ONCE) -> DataFrame:
+    """(name, median); with an even count the mean of the two middle values."""
+    middle = order_statistics(rows, lambda n: [F.floor((n - 1) / 2), F.floor(n / 2)], at_once)
+    low, high = (F.max(F.when(F.col("i") == k, F.col("value"))) for k in (0, 1))
+    return middle.groupBy("name").agg(F.when(low == high, low).otherwise((low + high) / 2).alias("median"))
 
 
-def holdout(df: DataFrame, order, share: float = 0.1, flag: str = "_test") -> DataFrame:
-    """Flag exactly ceil(share x rows) rows: those with the smallest ``order`` values.
+def holdout(df: DataFrame, order: Column, share: float = 0.1, flag: str = "_test") -> DataFrame:
+    """Flag the ceil(share x rows) rows with the smallest ``order`` values, and rows that tie with the last one.
 
-    ``order`` is a repeatable number per row, such as a seeded hash of its keys. The split needs no
-    shuffle of the rows and does not depend on how they are partitioned.
+    ``order`` is a repeatable number per row, such as a seeded hash of its keys; rows without one come
+    last and are not flagged. The split needs no shuffle of the rows and does not depend on how they
+    are partitioned.
     """
-    numbered = df.select(F.lit("order").alias("name"), order.cast("double").alias("value"))
-    found = order_statistics(numbered, lambda n: [math.ceil(share * n) - 1])
-    if not found:
+    number = order.cast("double")
+    numbered = df.select(F.lit("order").alias("name"), number.alias("value"))
+    found = order_statistics(numbered, lambda n: [F.ceil(F.lit(share) * n) - 1]).first()
+    if found is None:
         return df.withColumn(flag, F.lit(False))
-    threshold = found["order"][0]
-    return df.withColumn(flag, order.cast("double") <= F.lit(threshold))
+    return df.withColumn(flag, F.coalesce(number <= F.lit(found["value"]), F.lit(False)))
 
 
 def key_hash(keys: list[str], seed: int):

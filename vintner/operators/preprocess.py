@@ -144,7 +144,7 @@ def numeric_statistics(df: DataFrame, columns: list[str], impute: str):
     known = extents(rows)
     with_values = {c: e for c, e in known.items() if e.n}
     if impute == "median":
-        fill = medians_of(rows, with_values)
+        fill = {r["name"]: r["median"] for r in medians_of(rows).collect()}  # one row per column
     elif impute == "mean":
         fill = {c: e.mean for c, e in with_values.items()}
     else:

@@ -340,7 +340,6 @@ def risk_combinations(
     combos: list[list[str]] | None = None,
     dimensions=RISK_DIMENSIONS,
     min_bad_count: int = MIN_BAD_COUNT,
-    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Reports for many combinations of dimensions, by default all pairs.
 
@@ -375,12 +374,9 @@ def risk_combinations(
         .filter(over)
         .select("_key")
     )
-    # 8 bytes a row: used to prune up to a known size; beyond it nothing is pruned, since shuffling the
-    # placed tuples to the keys would cost more than aggregating all of them
-    small = passing.count() <= broadcast_rows
-    kept = placed.join(F.broadcast(passing), "_key", "left_semi") if small else placed
+    # no hint: Spark broadcasts the stored keys where their measured size allows it
     counts = (
-        kept.withColumns(masked)
+        placed.join(passing, "_key", "left_semi").withColumns(masked)
         .groupBy("_mask", *dimensions)
         .agg(*[F.sum(n).alias(n) for n in ("fraud_disputes_count", "settled_count")])
         .filter(over)
