@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from vintner import config as c
 from vintner.config import CascadeSettings, Level, TreeParams
 from vintner.functions import dates, safe, text
 from vintner.operators import cohort_masks as masks
-from vintner.operators import cohorts, forecasting, ltv, metrics, order_stats, preprocess, risk, seasonal, trees
+from vintner.operators import cohorts, dashboard, forecasting, ltv, metrics, order_stats, preprocess, risk, seasonal, trees
 from vintner.plans import cascade as cascade_plan
 from vintner.plans import cohort_dataset as dataset_plan
 from vintner.plans import load_store, ltv_forecast, risk_report
@@ -611,16 +612,17 @@ def _o_dashboard() -> str:
     totals = {c.total_billings_column(n): c.avg_billings_column(n) for n in c.BILLING_DAYS}
     products = ", ".join(f"{x} * gross_adds AS {name}" for name, x in {**derived, **totals}.items())
     return f"""SELECT {O_KEYS}, predicted AS is_predicted, gross_adds, {", ".join(counts)}, {products}
-FROM ({o_fixed(BILLING_365, True)})"""
+FROM (SELECT * FROM ({o_fixed(BILLING_365, True)}) UNION ALL BY NAME SELECT * FROM ({o_fixed(BILLING_365, False)}))"""
 
 
 @query("dashboard_dataset", _o_dashboard())
 def dashboard_dataset(spark, sf):
-    rows = fixed(spark, sf, BILLING_365, True)
-    result = rows.withColumn(
-        BILLING_365.status_column, masks.status(F.col("predicted"), F.col("trained"))
-    )
-    return plain(cascade_plan.dashboard_dataset(result, BRAND, SETTINGS))
+    """Both partitions, with the statuses of two steps."""
+    halves = [fixed(spark, sf, BILLING_365, promo) for promo in (True, False)]
+    rows = halves[0].unionByName(halves[1], allowMissingColumns=True)
+    predicted, trained = F.col("predicted"), F.col("trained")
+    steps = {BILLING_365.status_column: masks.status(predicted, trained), DAY_3.status_column: masks.status(F.lit(False), trained)}
+    return plain(dashboard.dashboard_rows(rows.withColumns(steps), BRAND))
 
 
 # --- trees and cascade (no SQL equivalent) -------------------------------------------------------
@@ -634,6 +636,37 @@ def _fit(spark, sf, step, promo=True):
     return rows, fitted, models
 
 
+ONE_TREE = TreeParams(trees=1, depth=8, row_share=1.0, column_share=1.0)
+
+
+def _group_means(spark, sf, step):
+    """One full tree over one category: every prediction is the mean of the brand's training rows."""
+    rows = storage.cut(safe.nan_to_null(clean(spark, sf)))
+    inputs = preprocess.Inputs(["brand"], [])
+    fitted, models = trees.fit(rows.filter(masks.training_mask(step, SETTINGS)), list(step.targets), inputs, ONE_TREE)
+    return trees.predict(rows, fitted, models)
+
+
+def _o_group_means(step) -> str:
+    means = ", ".join(f"avg({t}) AS {t}_yhat" for t in step.targets)
+    trained = f"{step.maturity} >= {src.MIN_COHORT_SIZE} AND " + " AND ".join(f"{t} IS NOT NULL" for t in step.targets)
+    rounded = ", ".join(f"round({t}_yhat, 6) AS {t}_yhat" for t in step.targets)
+    return f"""WITH d AS ({o.clean(BRAND)}), m AS (SELECT brand, {means} FROM d WHERE {trained} GROUP BY brand)
+SELECT {O_KEYS}, {rounded} FROM d JOIN m USING (brand)"""
+
+
+@query("gbt_group_mean", _o_group_means(BILLING_365))
+def gbt_group_mean(spark, sf):
+    names = [f"{t}_yhat" for t in BILLING_365.targets]
+    return plain(_group_means(spark, sf, BILLING_365).select(*BRAND.keys, *names), 6, names)
+
+
+@query("gbt_multi_group_mean", _o_group_means(DAY_3))
+def gbt_multi_group_mean(spark, sf):
+    names = [f"{t}_yhat" for t in DAY_3.targets]
+    return plain(_group_means(spark, sf, DAY_3).select(*BRAND.keys, *names), 6, names)
+
+
 @query("gbt_predict")
 def gbt_predict(spark, sf):
     rows, fitted, models = _fit(spark, sf, BILLING_365)
@@ -809,11 +842,16 @@ def sink_csv_append(spark, sf):
 @query(
     "sink_table_columns",
     f"""SELECT {o.MONTH} AS "COHORT_MONTH", plan__is_promo AS "PLAN__IS_PROMO", gross_add__type AS "GROSS_ADD__TYPE",
-brand AS "BRAND", gross_adds AS "GROSS_ADDS" FROM ({o.spine(BRAND)}) WHERE plan__is_promo""",
+brand AS "BRAND", gross_adds AS "GROSS_ADDS" FROM ({o.spine(BRAND)})""",
 )
 def sink_table_columns(spark, sf):
-    """The columns a table sink writes: upper-case names, dates as text."""
-    return dates.day_text(safe.upper_names(_halves(spark, sf)[0]))
+    """A managed table, overwritten and then appended to: upper-case names, dates as text."""
+    name = f"vintner_{uuid.uuid4().hex}"
+    sink = sinks.make_sink("table", spark=spark)
+    first, second = _halves(spark, sf)
+    sink.write(name, first)
+    sink.write(name, second, overwrite=False)
+    return sinks.read(spark, name)
 
 
 @query(
@@ -822,11 +860,8 @@ def sink_table_columns(spark, sf):
 )
 def collector_flush(spark, sf):
     sink = sinks.make_sink("parquet", storage.scratch_path(spark, "collector"))
-    collector = sinks.ResultCollector()
     first, second = _halves(spark, sf)
-    for frame in (first, second, second.limit(0)):
-        collector.add("spine", frame)
-    collector.flush(sink)
+    sinks.append_all({"spine": [first, second, second.limit(0)]}, sink)
     return plain(sinks.read(spark, sink.path("spine")))
 
 
@@ -840,6 +875,23 @@ def dataset_cache(spark, sf):
     return plain(frame)
 
 
+def _two_dates() -> str:
+    early = o.cohort(o.clean(BRAND)).replace(str(src.AS_OF), "1999-01-01")
+    late = o.cohort(o.clean(BRAND))
+    return f"SELECT 'late' AS loaded, * FROM ({late}) UNION ALL SELECT 'early' AS loaded, * FROM ({early})"
+
+
+@query("dataset_cache_two_dates", _two_dates())
+def dataset_cache_two_dates(spark, sf):
+    """Two dates through one folder are two entries."""
+    folder = storage.scratch_path(spark, "cache")
+    sources = src.cohort_sources(spark, sf)
+    load = lambda day: dataset_plan.load_clean_dataset(sources, day, src.START, BRAND, src.EXCLUDED_BRAND, folder)
+    late, early = load(src.AS_OF), load(dt.date(1999, 1, 1))
+    rows = late.withColumn("loaded", F.lit("late")).unionByName(early.withColumn("loaded", F.lit("early")))
+    return plain(rows)
+
+
 @query("load_and_store", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def load_and_store(spark, sf):
     sink = sinks.make_sink("parquet", storage.scratch_path(spark, "raw"))

@@ -7,6 +7,7 @@ from vintner import config as c
 from vintner.config import STEPS, CascadeSettings, Level, TreeParams
 from vintner.operators import cohort_masks as m
 from vintner.plans import cascade as plan
+from vintner.operators.dashboard import dashboard_rows
 from vintner.sources.sinks import make_sink, read
 
 SF = "/root/testdata/sf0.01"
@@ -101,7 +102,7 @@ def test_nothing_to_learn_or_predict(spark):
     run = plan.CascadeRun(LEVEL, data, settings=none)
     statuses = {r[0] for r in run.cascade().select(STEPS[8].status_column).distinct().collect()}
     assert statuses <= {c.TRAINED, c.BYPASSED}
-    assert f"BRAND_{plan.PREDICT_RESULTS}" not in run.collector.pending_names
+    assert f"BRAND_{plan.PREDICT_RESULTS}" not in run.outputs
 
 
 def test_failure_is_recorded_and_raised(spark, folder):
@@ -122,12 +123,12 @@ def test_job_from_sources(spark, folder):
     )
     stored = spark.read.option("header", True).csv(f"{folder}/BRAND_{plan.RAW_RESULTS}.csv")
     assert stored.count() == out.count() > 0
-    assert spark.read.parquet(f"{folder}/cache/BRAND.parquet").count() == out.count()
+    assert spark.read.parquet(f"{folder}/cache/BRAND-*.parquet").count() == out.count()
 
 
 def test_dashboard_totals(stored):
     _, _, result, _ = stored
-    out = plan.dashboard_dataset(result, LEVEL, SETTINGS)
+    out = dashboard_rows(result, LEVEL)
     assert out.columns[: 2 + len(LEVEL.keys)] == ["model_id", *LEVEL.keys, "is_predicted"]
     both = out.join(result.select(*LEVEL.keys, "avg_net_billings_365_days"), LEVEL.keys)
     wrong = F.abs(F.col("total_net_billings_365_days") - F.col("avg_net_billings_365_days") * F.col("gross_adds")) > 1e-6

@@ -7,6 +7,9 @@ from checks.compare import connect, difference
 from checks.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
+# Queries whose thresholds let nothing through at the smallest size.
+LARGER = "/root/testdata/sf0.01"
+NEED_MORE = {"ltv_group_gate", "null_targets", "predictions_long"}
 
 
 @pytest.fixture(scope="module")
@@ -14,11 +17,16 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(NEED_MORE))
+def test_query_matches_sql_on_more_rows(spark, name):
+    assert difference(spark, connect(LARGER), LARGER, name) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - NEED_MORE))
 def test_query_matches_sql(spark, db, name):
-    assert difference(spark, db, SF, name) in (None, "no rows on either side")
+    assert difference(spark, db, SF, name) is None
 
 
 def test_entry_points(spark):
     assert entry_points.entry(spark).count() > 0
-    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) == set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) >= set(QUERIES)

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import os
+
 import pytest
 
 from vintner.plans.load_store import load_and_store
@@ -60,24 +62,16 @@ def test_sink_arguments(kind, message):
         sinks.make_sink(kind)
 
 
-def test_collector_batches_by_name(spark, folder):
+def test_frames_of_a_destination_are_one_append(spark):
     written = []
 
     class Recorder:
         def write(self, name, df, overwrite=True):
             written.append((name, df.count(), df.columns, overwrite))
 
-    collector = sinks.ResultCollector()
-    collector.add("a", frame(spark))
-    collector.add("a", frame(spark, [(3, 1.0)], "k int, w double"))
-    collector.add("empty", frame(spark).limit(0))
-    assert collector.pending_count == 2 and collector.pending_names == ["a", "empty"]
-    collector.flush(Recorder())
+    more = frame(spark, [(3, 1.0)], "k int, w double")
+    sinks.append_all({"a": [frame(spark), more], "empty": [frame(spark).limit(0)]}, Recorder())
     assert written == [("a", 3, ["k", "v", "w"], False)]
-    assert collector.pending_count == 0
-    collector.add("b", frame(spark))
-    collector.clear()
-    assert collector.pending_names == []
 
 
 def test_cache_builds_once_and_repairs_half_written_folders(spark, folder):
@@ -92,11 +86,22 @@ def test_cache_builds_once_and_repairs_half_written_folders(spark, folder):
     assert len(calls) == 1
     cache.load_through(spark, folder, "k", build, enabled=False)
     assert len(calls) == 2
-    frame(spark, [(7, "x")]).write.parquet(f"{folder}/half.parquet")
-    import os
-
-    os.remove(f"{folder}/half.parquet/_SUCCESS")
-    assert cache.load_through(spark, folder, "half", build).count() == 2
+    stored = f"{folder}/k-{cache.fingerprint([])}.parquet"
+    os.remove(f"{stored}/_SUCCESS")
+    assert cache.load_through(spark, folder, "k", build).count() == 2
+    assert len(calls) == 3
+
+
+def test_cache_tells_arguments_and_sources_apart(spark, folder):
+    frame(spark).write.parquet(f"{folder}/source")
+    source = spark.read.parquet(f"{folder}/source")
+    load = lambda source, **args: cache.load_through(spark, folder, "k", lambda: source, sources=[source], **args)
+    first = load(source, day=1).inputFiles()
+    assert load(spark.read.parquet(f"{folder}/source"), day=1).inputFiles() == first
+    assert load(source, day=2).inputFiles() != first
+    assert load(source.filter("k = 1"), day=1).count() == 1
+    frame(spark, [(9, "z")]).write.mode("overwrite").parquet(f"{folder}/source")
+    assert [r["k"] for r in load(spark.read.parquet(f"{folder}/source"), day=1).collect()] == [9]
 
 
 def test_load_and_store(spark, folder):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -15,8 +14,6 @@ from vintner.config import Z_95, TreeParams
 from vintner.operators import preprocess
 from vintner.operators.metrics import interval, residual_spread
 
-ROWS_PER_TASK = 20_000
-
 
 @dataclass
 class Model:
@@ -58,18 +55,17 @@ def fit(
     targets: list[str],
     inputs: preprocess.Inputs,
     params: TreeParams = TreeParams(),
-    n_rows: int | None = None,
 ) -> tuple[preprocess.Fitted, list[Model]]:
     """One model per target on shared features; the fits run side by side as separate Spark jobs.
 
-    Every tree takes several passes over the rows. ``n_rows``, where known, keeps a small training set
-    from being spread over more tasks than it can fill.
+    Row sampling goes by partition and position, so the rows are dealt by a hash of their values over
+    ``params.partitions`` partitions and sorted there: the model depends on rows, parameters and seed alone,
+    not on the layout they arrive in. Raise the number for a training set that is large for so many tasks.
     """
     fitted = preprocess.fit(train, inputs)
-    prepared = fitted.transform(train).select("features", *targets)
-    if n_rows is not None:
-        prepared = prepared.coalesce(max(1, math.ceil(n_rows / ROWS_PER_TASK)))
-    prepared = prepared.persist()
+    placed = train.withColumn("_order", F.xxhash64(*train.columns)).repartition(params.partitions, "_order")
+    prepared = fitted.transform(placed).select("_order", "features", *targets)
+    prepared = prepared.sortWithinPartitions("_order", *targets).drop("_order").persist()
     try:
         prepared.count()
         with ThreadPoolExecutor(len(targets)) as pool:

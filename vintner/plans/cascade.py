@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from vintner import config as c
 from vintner.config import CascadeSettings, Level, Step
-from vintner.functions.safe import certain, nan_to_null
+from vintner.functions.safe import nan_to_null
 from vintner.functions.text import record_id
 from vintner.operators import cohort_masks as masks
 from vintner.operators import trees
@@ -27,7 +28,7 @@ from vintner.operators.metrics import evaluate
 from vintner.operators.order_stats import holdout, key_hash
 from vintner.operators.preprocess import Inputs
 from vintner.plans.cohort_dataset import CohortSources, load_clean_dataset
-from vintner.sources.sinks import ResultCollector
+from vintner.sources.sinks import append_all
 from vintner.sources.storage import cut
 
 log = logging.getLogger(__name__)
@@ -73,7 +74,7 @@ class CascadeRun:
         self.dataset = dataset
         self.model_id = str(uuid.uuid4())
         self.created_at = dt.datetime.now(dt.timezone.utc)
-        self.collector = ResultCollector()
+        self.outputs: dict[str, list[DataFrame]] = defaultdict(list)
 
     # --- run -------------------------------------------------------------------------------------
 
@@ -154,7 +155,7 @@ class CascadeRun:
             result = frame.withColumn(step.status_column, masks.status(F.lit(False), masks.training_mask(step, settings)))
             n_predicted = 0
         else:
-            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees, counts["_train"])
+            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees)
             yhat = {t: f"_yhat{i}" for i, t in enumerate(step.targets)}
             scored = trees.predict(flagged, fitted, models, yhat)
             bounds = [n + suffix for n in yhat.values() for suffix in ("", "_lower", "_upper")]
@@ -175,11 +176,15 @@ class CascadeRun:
     def _evaluate(self, step: Step, is_promo: bool, train: DataFrame, inputs: Inputs, n_train: int) -> None:
         """Hold out a tenth of the training rows, fit on the rest, store metrics and importances."""
         if n_train < 2 * MIN_TRAINING_ROWS:
+            # too few rows for two parts: recorded without a result
+            values = self._step_values(step, is_promo, inputs)
+            rows = [(*values, target, n_train, 0, None) for target in step.targets]
+            self._collect(SPLIT_METADATA, self._rows(rows, _SPLIT_SCHEMA, step, is_promo))
             return
         order = key_hash(self.level.keys, self.settings.split_seed)
         split = holdout(train, order, self.settings.test_share)
         fit_on, test = split.filter(~F.col("_test")), split.filter("_test")
-        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees, n_train)
+        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees)
         scored = trees.predict(test, fitted, models).persist()
         values = self._step_values(step, is_promo, inputs)
         split_rows, importance_rows = [], []
@@ -218,7 +223,7 @@ class CascadeRun:
         return self.spark.createDataFrame(rows, schema).withColumn("id", self._step_id(step, is_promo))
 
     def _collect(self, table: str, frame: DataFrame) -> None:
-        self.collector.add(f"{self.level.name}_{table}", frame)
+        self.outputs[f"{self.level.name}_{table}"].append(frame)
 
     def _finish(self, status: str, message: str | None = None) -> None:
         done = dt.datetime.now(dt.timezone.utc)
@@ -232,9 +237,10 @@ class CascadeRun:
             message,
             (done - self.created_at).total_seconds(),
         )
-        self.collector.add(MODEL_METADATA, self.spark.createDataFrame([row], _RUN_SCHEMA))
+        self.outputs[MODEL_METADATA].append(self.spark.createDataFrame([row], _RUN_SCHEMA))
         if self.sink is not None:
-            self.collector.flush(self.sink)
+            append_all(self.outputs, self.sink)
+            self.outputs.clear()
 
 
 def run_cascade(
@@ -250,36 +256,3 @@ def run_cascade(
     """Load and clean the dataset of a level, by default the finest, and run the cascade on it."""
     dataset = load_clean_dataset(sources, as_of, start, level, excluded_brand, cache_folder)
     return CascadeRun(level, dataset, sink, settings).run()
-
-
-def dashboard_dataset(result: DataFrame, level: Level, settings: CascadeSettings = CascadeSettings()) -> DataFrame:
-    """Result rows for a dashboard: predicted or not, averages and rates turned back into totals."""
-    statuses = [s.status_column for s in settings.steps if s.status_column in result.columns]
-    is_predicted = F.lit(False)
-    for name in statuses:
-        is_predicted = is_predicted | certain(F.col(name) == c.PREDICTED)
-    gross = F.col(c.GROSS_ADDS)
-    totals = {
-        c.total_billings_column(n): F.col(c.avg_billings_column(n)) * gross
-        for n in c.BILLING_DAYS
-        if c.avg_billings_column(n) in result.columns
-    }
-    derived = {}
-    for name in (*c.BASE_REGRESSORS, *c.PROMO_REGRESSORS):
-        if name in result.columns and (name.startswith("avg_") or name.endswith("_rate")):
-            derived[name.removeprefix("avg_").removesuffix("_rate")] = F.col(name) * gross
-    counts = [c.matured_column(1), c.canceled_column(1), c.cross_sell_column(1)]
-    for step in settings.steps:
-        counts += [step.maturity, *step.filled]
-    counts = [n for n in dict.fromkeys(counts) if n in result.columns]
-    # a count that exists as a column is taken as it is, the product of its rate is left out
-    derived = {n: v for n, v in derived.items() if n not in counts}
-    return result.select(
-        *(["model_id"] if "model_id" in result.columns else []),
-        *level.keys,
-        is_predicted.alias("is_predicted"),
-        c.GROSS_ADDS,
-        *counts,
-        *[derived[n].alias(n) for n in sorted(derived)],
-        *[totals[n].alias(n) for n in sorted(totals)],
-    )

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from vintner.config import COHORT_MONTH, LEVELS, Level
+from vintner.config import LEVELS, Level
 from vintner.operators.cohorts import billing_view, clean_dataset, cohort_spine, cross_sell_view, retention_view
-from vintner.operators.feature_registry import FeatureRegistry
+from vintner.operators.features import View, dataset, store_dataset, store_view
 from vintner.sources.cache import load_through
 
 
@@ -36,12 +36,16 @@ def cohort_dataset(
     excluded_brand: str | None = None,
     folder: str | None = None,
 ) -> DataFrame:
-    registry = FeatureRegistry("COHORT", folder, COHORT_MONTH)
-    registry.set_spine(cohort_spine(sources.gross_adds, level, as_of, start, excluded_brand))
-    registry.set_entity(level.keys, name=f"{level.name}_ENTITY", recreate=True)
-    for name, (view, source) in VIEWS.items():
-        registry.set_feature_view(view(getattr(sources, source), level), 1, name=f"{level.name}_{name}")
-    return registry.get_dataset()
+    """Spine and views at one level; with a folder, views and dataset are stored there.
+
+    The views are aggregates by their keys, so none can hold a key twice and none is tested for it.
+    """
+    spine = cohort_spine(sources.gross_adds, level, as_of, start, excluded_brand)
+    views = [View(f"{level.name}_{name}", make(getattr(sources, source), level)) for name, (make, source) in VIEWS.items()]
+    if folder:
+        views = [store_view(view, folder, replace_stored=True) for view in views]
+    rows = dataset(spine, views, level.keys)
+    return store_dataset(rows, folder, "COHORT_DATASET") if folder else rows
 
 
 def load_clean_dataset(
@@ -52,10 +56,17 @@ def load_clean_dataset(
     excluded_brand: str | None = None,
     cache_folder: str | None = None,
 ) -> DataFrame:
-    """Cleaned dataset; with a cache folder, the joined dataset is stored once per level."""
-    spark = sources.gross_adds.sparkSession
-
-    def build():
-        return cohort_dataset(sources, level, as_of, start, excluded_brand)
-
-    return clean_dataset(load_through(spark, cache_folder, level.name, build, enabled=cache_folder is not None))
+    """Cleaned dataset; with a cache folder, the joined dataset is stored once per level, arguments and sources."""
+    stored = load_through(
+        sources.gross_adds.sparkSession,
+        cache_folder,
+        level.name,
+        lambda: cohort_dataset(sources, level, as_of, start, excluded_brand),
+        enabled=cache_folder is not None,
+        sources=[sources.gross_adds, sources.retention, sources.billing, sources.cross_sell],
+        columns=level.columns,
+        as_of=as_of,
+        start=start,
+        excluded_brand=excluded_brand,
+    )
+    return clean_dataset(stored)

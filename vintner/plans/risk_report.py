@@ -79,7 +79,7 @@ def risk_report(
     sink=None,
     **exclusions,
 ) -> DataFrame:
-    """Report over the last six months; events are cached by start date when a folder is given."""
+    """Report over the last six months; events are cached by start date, sources and exclusions when a folder is given."""
     start = months_back(as_of, 6)
     spark = sources.transactions.sparkSession
     events = load_through(
@@ -88,6 +88,8 @@ def risk_report(
         start.isoformat(),
         lambda: processor_events(sources, risk.ReportWindow(start), **exclusions),
         enabled=cache_folder is not None,
+        sources=list(vars(sources).values()),
+        **exclusions,
     )
     report = risk.risk_all_levels(events, min_bad_count=min_bad_count)
     if sink is not None:

@@ -12,6 +12,8 @@ SETTINGS = {
     # Split a skewed join even where the aggregate behind it then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints go when the frames they belong to are no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
