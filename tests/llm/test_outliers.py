@@ -1,0 +1,87 @@
+"""Base counts against plain ones, estimates against concentration steps in numpy."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from vintner.llm import robust_outliers as o
+from vintner.llm.queries import op4_robust_outliers
+
+SPACES = " \t\n\x0b\f\r"
+
+
+def plain_counts(text):
+    words = [w for w in re.split(f"[{SPACES}]+", text or "") if w]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if x.strip(SPACES)]
+    return (len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
+
+
+def test_counts(spark):
+    rng = random.Random(1)
+    texts = [None, "", " ", "\n\n", "\x0b\f\r\t ", "a\n a\na\n\n", "a b c d e a b c d e", "x " * 50, "é ü\xa0b 日本 #*$%&|<>", "\x1c \x85 w"]
+    texts += ["".join(rng.choice(["a", "b", "c ", " ", "\n", "# ", "d e f g h ", "\t"]) for _ in range(rng.randint(0, 120))) for _ in range(150)]
+    rows = o.base_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [tuple(r)[2:] for r in rows] == [plain_counts(t) for t in texts]
+
+
+def spread(x):
+    floors = np.array(list(o.FLOORS.values()))
+    return x.mean(axis=0), np.cov(x.T, bias=True).reshape(o._P, o._P) * o.HALF_SPREAD + np.diag(floors**2)
+
+
+def log_det(x):
+    return np.linalg.slogdet(spread(x)[1])[1]
+
+
+def test_estimates_are_as_concentrated_as_those_of_many_random_starts(spark):
+    rng = np.random.default_rng(2)
+    good = rng.normal([6, 1.8, 0.05, 0.2, 0.1], [0.8, 0.05, 0.03, 0.3, 0.08], (60, 5))
+    bad = rng.normal([4, 1.2, 0.9, 0.0, 0.0], 0.05, (25, 5))
+    x = np.concatenate([good, bad])
+    frame = spark.createDataFrame([(0, *map(float, r)) for r in x], ["g", *o._NAMES])
+    row = o.estimates(frame, "g").collect()[0]
+    factor = np.zeros((5, 5))
+    for i in range(5):
+        for j in range(i + 1):
+            factor[i, j] = row[f"l{i}{j}"]
+    found = 2 * np.log(np.diag(factor)).sum()
+    h, best = (len(x) + o._P + 1) // 2, np.inf
+    for _ in range(100):
+        near = x[rng.choice(len(x), 8, replace=False)]
+        for _ in range(30):
+            mean, cov = spread(near)
+            far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            near = x[np.argsort(far)[:h]]
+        best = min(best, log_det(near))
+    assert found <= best + 0.05
+    mean, cov = np.array([row[f"m{i}"] for i in range(5)]), factor @ factor.T
+    far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    assert far[60:].min() > o.CUT > far[:60].max()
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    query = op4_robust_outliers(spark, sf)
+    assert not re.search("Python|Pandas|Arrow|Scan ExistingRDD", query._jdf.queryExecution().executedPlan().toString())
+    rows = query.collect()
+    assert {r["doc_id"]: tuple(r)[1:6] for r in rows} == {i: plain_counts(t) for i, t in texts.items()}
+    for r in rows:
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        assert not (r["kept"] and r["base_failed"])
+    assert all(r["kept"] for r in rows if quality.get(r["doc_id"]) == 1 and not r["base_failed"])
+    assert any(not r["kept"] and not r["base_failed"] for r in rows)
+
+
+def test_groups_of_one_and_null_groups(spark):
+    text = "some ordinary words that make a text of more than ten words"
+    rows = [(1, text, "en", "a"), (2, text, None, "a"), (3, text, "en", None), (4, None, None, None), (5, text, None, "a"), (None, text, "x", "y")]
+    got = o.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted((str(r["doc_id"]), r["kept"], r["base_failed"]) for r in got) == [
+        ("1", True, False), ("2", True, False), ("3", True, False), ("4", False, True), ("5", True, False), ("None", True, False)
+    ]

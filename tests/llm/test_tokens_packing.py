@@ -1,0 +1,96 @@
+"""Ids against the reference library, plans and places against plain versions."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from vintner.llm import packing, tokens
+from vintner.llm.packing import cut_points, pack, places, plan
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def exact():
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_those_of_the_tokenizers_library(spark, exact):
+    encode = tokens.encoder(tokens.default_path())
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    texts += ["", " ", "  a  b ", "\n\n x\t", "don't  'S we'll", "é  x", "日本語 text 123 ١٢٣", "a" * 5000, "\x00\x1c \x85"]
+    for text in texts:
+        assert encode(text) == exact(text)
+
+
+def best_fit(counts, capacity):
+    gaps = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            fits = [g for g in gaps if g >= length]
+            if fits:
+                gaps.remove(min(fits))
+                gaps.append(min(fits) - length)
+            else:
+                gaps.append(capacity - length)
+    return len(gaps)
+
+
+def test_plans_place_every_piece_once_and_need_no_more_than_best_fit():
+    rng = random.Random(5)
+    for _ in range(150):
+        capacity = rng.choice([8, 16, 64])
+        counts = {rng.randint(1, capacity): rng.randint(1, 30) for _ in range(rng.randint(0, capacity))}
+        patterns = plan(counts, capacity)
+        placed = {}
+        for lengths, uses in patterns:
+            assert 0 < sum(lengths) <= capacity and uses > 0
+            for x in lengths:
+                placed[x] = placed.get(x, 0) + uses
+        assert placed == counts
+        assert sum(uses for _, uses in patterns) <= best_fit(counts, capacity)
+        taken = {}
+        for length, first, end, *_ in places(patterns):
+            assert first == taken.get(length, 0) < end
+            taken[length] = end
+        assert taken == counts
+
+
+def test_exact_complements_fill_sequences_with_one_two_and_three_others():
+    assert sorted(plan({60: 2, 4: 2}, 64)) == [((60, 4), 2)]
+    assert [sum(p) for p, _ in plan({40: 1, 16: 1, 8: 1}, 64)] == [64]
+    assert [sum(p) for p, _ in plan({40: 1, 12: 1, 8: 1, 4: 1}, 64)] == [64]
+
+
+def test_only_the_first_piece_may_be_short():
+    assert cut_points(10, 10) == [(0, 10)]
+    assert cut_points(23, 10) == [(0, 3), (3, 10), (13, 10)]
+
+
+def test_pieces_are_the_ids_of_their_documents_and_sequences_have_no_gaps(spark, exact):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = pack(docs).toPandas()
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    assert set(rows.doc_id) == set(texts)
+    for doc_id, own in rows.sort_values("piece").groupby("doc_id"):
+        ids = np.array(exact(texts[doc_id]) + [2], dtype="<u4")
+        assert own.piece.tolist() == list(range(len(own)))
+        assert [(s, n) for s, n in zip(own.start, own.length)] == cut_points(len(ids), 1024)
+        assert own.ids_crc32.tolist() == [zlib.crc32(ids[s : s + n].tobytes()) for s, n in zip(own.start, own.length)]
+    for _, own in rows.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *np.cumsum(own.length)[:-1].tolist()]
+        assert own.length.sum() <= 1024
+    assert rows.sequence_id.nunique() <= best_fit(rows.length.value_counts().to_dict(), 1024)
+
+
+def test_a_length_that_most_pieces_share_is_ranked_in_buckets(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'same words here' AS text")
+    rows = pack(docs).toPandas()
+    assert len(rows) == 3000 and not rows.duplicated(["sequence_id", "offset"]).any()
+    each = 1024 // int(rows.length.iloc[0])
+    assert rows.sequence_id.nunique() == -(-3000 // each)
+    assert packing.END_ID == 2

@@ -2,7 +2,8 @@
 
 A document is read through windows as long as a benchmark item. Only a window that shares a shingle with
 that item, at the same distance from its begin, can be similar to it, so these are the windows that get a
-weighted SimHash. Fingerprints within the Hamming radius agree to within a quarter of it on one of four
+weighted SimHash; a document that has none of an item's rarest shingles, which together weigh more than a
+similar window may lack, has no such window, so passages that many items share cost nothing. Fingerprints within the Hamming radius agree to within a quarter of it on one of four
 16-bit blocks: looking up every near value of each block of a window finds all items within the radius.
 Each such item is then compared exactly: the weighted Jaccard similarity of the two multisets of shingles,
 a shingle weighing as much as its characters.
@@ -80,11 +81,29 @@ class _Texts:
         return hashes, self._lengths[at + size] - self._lengths[at], text, at
 
 
+class _Postings:
+    """Where shingles occur in items; a small bit table turns most others away first."""
+
+    def __init__(self, hashes: np.ndarray, item: np.ndarray, place: np.ndarray):
+        rank = np.argsort(hashes, kind="stable")
+        self.known, self.item, self.place = hashes[rank], item[rank], place[rank]
+        self.seen = np.zeros(1 << 20, dtype=bool)
+        self.seen[(hashes & np.uint64(len(self.seen) - 1)).astype(np.int64)] = True
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``hashes``, posting) for every shingle that occurs in an item."""
+        hit = np.flatnonzero(self.seen[(hashes & np.uint64(len(self.seen) - 1)).astype(np.int64)])
+        low = np.searchsorted(self.known, hashes[hit], side="left")
+        many = np.searchsorted(self.known, hashes[hit], side="right") - low
+        post = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        return np.repeat(hit, many), post
+
+
 class ItemIndex:
     """Benchmark items: their shingles, fingerprints and the lookup of fingerprints by near blocks."""
 
-    def __init__(self, item_ids: list[int], texts: list[str], radius: int = RADIUS):
-        self.radius = radius
+    def __init__(self, item_ids: list[int], texts: list[str], radius: int = RADIUS, similarity: float = SIMILARITY):
+        self.radius, self.similarity = radius, similarity
         self.item_ids, self.words, self.sets = [], [], []
         prints, grams, gram_item, gram_at = [], {}, {}, {}
         for _, _, data, offsets in (x for t in [pa.array(texts, pa.string())] for x in text_slices(t)):
@@ -119,15 +138,25 @@ class ItemIndex:
         for size, parts in grams.items():
             hashes = np.concatenate(parts)
             if len(hashes):
-                rank = np.argsort(hashes, kind="stable")
-                seen = np.zeros(1 << 20, dtype=bool)
-                seen[(hashes & np.uint64(len(seen) - 1)).astype(np.int64)] = True
-                self.grams[size] = (
-                    hashes[rank],
-                    np.concatenate(gram_item[size])[rank],
-                    np.concatenate(gram_at[size])[rank],
-                    seen,
-                )
+                item, place = np.concatenate(gram_item[size]), np.concatenate(gram_at[size])
+                rare = self._rare(hashes, item, similarity)
+                self.grams[size] = _Postings(hashes[rare], item[rare], place[rare]), _Postings(hashes, item, place)
+
+    def _rare(self, hashes: np.ndarray, item: np.ndarray, similarity: float) -> np.ndarray:
+        """Postings of each item's rarest shingles, as many as weigh over what a similar window may lack."""
+        values, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        keep = np.zeros(len(hashes), dtype=bool)
+        order = np.lexsort((hashes, counts[inverse], item))
+        bounds = np.flatnonzero(np.diff(item[order], prepend=-1, append=-1))
+        for a, z in zip(bounds, bounds[1:], strict=False):
+            own = order[a:z]
+            known, many, weight = self.sets[int(item[own[0]])]
+            mass = (many * weight)[np.searchsorted(known, hashes[own])]
+            first = np.concatenate([[True], hashes[own][1:] != hashes[own][:-1]])
+            sofar = np.cumsum(np.where(first, mass, 0.0))
+            slack = (1 - similarity) * float((many * weight).sum()) * (1 + 1e-9)
+            keep[own] = sofar - mass <= slack
+        return keep
 
     def within(self, fingerprint: int) -> tuple[np.ndarray, np.ndarray]:
         """(items, distances) of all items within the radius."""
@@ -142,37 +171,45 @@ class ItemIndex:
         away = np.bitwise_count(self.prints[at] ^ np.uint64(fingerprint)).astype(np.int64)
         return self.known[at[away <= self.radius]], away[away <= self.radius]
 
-    def search(self, data: np.ndarray, offsets: np.ndarray, similarity: float) -> Iterator[tuple]:
-        """(text, item, first word, words, similarity, distance): the best window of each text and item."""
+    def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+        """(text, item, first word, words, similarity, distance): the best window of each text and item.
+
+        A window is compared with the items that it may be aligned with, so a result for an item does
+        not depend on which others share its block.
+        """
         texts = _Texts(data, offsets)
-        for size, (known, item, place, seen) in self.grams.items():
+        for size, (rare, every) in self.grams.items():
             hashes, weights, text, at = texts.shingles(size)
-            hit = np.flatnonzero(seen[(hashes & np.uint64(len(seen) - 1)).astype(np.int64)])
-            low = np.searchsorted(known, hashes[hit], side="left")
-            many = np.searchsorted(known, hashes[hit], side="right") - low
-            hit, low, many = hit[many > 0], low[many > 0], many[many > 0]
+            hit, post = rare.hits(hashes)
             if not len(hit):
                 continue
-            post = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            source, items = np.repeat(hit, many), item[post]
+            # Only pairs that share a rare shingle can be similar; those are aligned by all they share.
+            pairs = np.unique(text[hit] * len(self.words) + rare.item[post])
+            near = np.flatnonzero(np.isin(text, pairs // len(self.words)))
+            hit, post = every.hits(hashes[near])
+            source, items = near[hit], every.item[post]
+            known = np.isin(text[source] * len(self.words) + items, pairs)
+            source, items, place = source[known], items[known], every.place[post][known]
             length = np.array(self.words)[items]
             doc = text[source]
             last = texts.first[doc + 1] - length
-            start = np.maximum(np.minimum(at[source] - place[post], last), texts.first[doc])
-            windows = np.unique(np.stack([doc, start, length]), axis=1)
+            start = np.maximum(np.minimum(at[source] - place, last), texts.first[doc])
+            windows = np.unique(np.stack([doc, start, length, items]), axis=1)
             best: dict[tuple[int, int], tuple] = {}
-            for k, first, n in windows.T.tolist():
+            before, window, away = None, None, {}
+            for k, first, n, i in windows.T.tolist():
                 end = min(first + n, int(texts.first[k + 1]))
-                a, z = np.searchsorted(at, first), np.searchsorted(at, end - size, side="right")
-                own = (hashes[a:z], weights[a:z].astype(float))
-                near, away = self.within(weighted_simhash(*own))
-                if not len(near):
+                if (k, first, n) != before:
+                    before = k, first, n
+                    a, z = np.searchsorted(at, first), np.searchsorted(at, end - size, side="right")
+                    own = (hashes[a:z], weights[a:z].astype(float))
+                    window = _multiset(*own)
+                    away = dict(zip(*(x.tolist() for x in self.within(weighted_simhash(*own))), strict=True))
+                if i not in away:
                     continue
-                window = _multiset(*own)
-                for i, d in zip(near.tolist(), away.tolist(), strict=True):
-                    score = weighted_jaccard(window, self.sets[i])
-                    if score >= similarity and score > best.get((k, i), (0, 0, -1.0))[2]:
-                        best[k, i] = (first - int(texts.first[k]), end - first, score, d)
+                score = weighted_jaccard(window, self.sets[i])
+                if score >= self.similarity and score > best.get((k, i), (0, 0, -1.0))[2]:
+                    best[k, i] = (first - int(texts.first[k]), end - first, score, away[i])
             yield from ((k, i, *found) for (k, i), found in best.items())
 
 
@@ -194,17 +231,17 @@ def contaminated(
     out = None
     for block in range(n_blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
-        index = ItemIndex([r["item_id"] for r in part], [r["text"] for r in part], radius)
-        found = _search(docs, index, similarity)
+        index = ItemIndex([r["item_id"] for r in part], [r["text"] for r in part], radius, similarity)
+        found = _search(docs, index)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _search(docs: DataFrame, index: ItemIndex, similarity: float) -> DataFrame:
+def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, _, data, offsets in text_slices(batch.column(1)):
-                found = list(index.search(data, offsets, similarity))
+                found = list(index.search(data, offsets))
                 if not found:
                     continue
                 text, item, start, words, score, away = (list(c) for c in zip(*found, strict=True))
