@@ -798,10 +798,53 @@ def group_forecast(spark, sf):
 
 @query("forecast_cascade")
 def forecast_cascade(spark, sf):
-    forecast = ltv_forecast.ltv_forecast(src.customer_billings(spark, sf))
+    """Groups of more than two customers, so that every prefix has some."""
+    forecast = ltv_forecast.ltv_forecast(src.customer_billings(spark, sf), min_size=2)
     return ltv_forecast.stored_result(forecast)
 
 
+LINEAR = forecasting.SeriesModel(changepoints=0, yearly_order=0, weekly_order=0, multiplicative=False)
+O_LINE = "regr_slope(y, date_diff('day', DATE '1970-01-01', ds)) AS a, regr_intercept(y, date_diff('day', DATE '1970-01-01', ds)) AS b"
+
+
+@query(
+    "group_forecast_linear",
+    f"""WITH d AS ({o.MONTHLY}), t AS (SELECT r_name, max(ds) AS last, {O_LINE} FROM d GROUP BY r_name),
+k AS (SELECT r_name, ds FROM d UNION ALL SELECT r_name, CAST(last + to_days(CAST(30 * i AS INT)) AS DATE) FROM t, range(1, 13) x(i))
+SELECT k.r_name, strftime(k.ds, '%Y-%m-%d') AS ds, round(b + a * date_diff('day', DATE '1970-01-01', k.ds), 2) AS yhat,
+y AS actuals FROM k JOIN t USING (r_name) LEFT JOIN d ON d.r_name = k.r_name AND d.ds = k.ds""",
+)
+def group_forecast_linear(spark, sf):
+    """Without changepoints and seasons the model is the regression line."""
+    series = src.monthly_series(spark, sf)
+    forecast = forecasting.group_forecast(series, ["r_name"], horizon=12, step_days=30, model=LINEAR)
+    both = ltv.with_actuals(forecast, series.withColumnRenamed("y", "actuals"), ["r_name"])
+    return plain(both.select("r_name", "ds", F.round("yhat", 2).alias("yhat"), "actuals"))
+
+
+@query(
+    "forecast_future",
+    f"""WITH c AS ({o.ltv([2])}), g AS (SELECT brand, acquisition_sku_bucket, acquisition_date AS ds, canceled_day_1 AS y, cohort_size FROM c
+WHERE brand IS NOT NULL AND acquisition_sku_bucket IS NOT NULL),
+s AS (SELECT brand, acquisition_sku_bucket, max(ds) AS last FROM g GROUP BY ALL HAVING sum(cohort_size) > 20),
+r AS (SELECT g.* FROM g JOIN s USING (brand, acquisition_sku_bucket) WHERE ds <= last - 75 AND y IS NOT NULL),
+t AS (SELECT brand, acquisition_sku_bucket, {O_LINE} FROM r GROUP BY ALL),
+k AS (SELECT g.brand, g.acquisition_sku_bucket, ds FROM g JOIN s USING (brand, acquisition_sku_bucket)
+UNION ALL SELECT brand, acquisition_sku_bucket, CAST(last + to_days(CAST(i AS INT)) AS DATE) FROM s, range(1, 481) x(i))
+SELECT k.brand, k.acquisition_sku_bucket, strftime(k.ds, '%Y-%m-%d') AS ds,
+round(b + a * date_diff('day', DATE '1970-01-01', k.ds), 4) AS yhat, r.y AS actuals
+FROM k JOIN t USING (brand, acquisition_sku_bucket)
+LEFT JOIN r ON r.brand = k.brand AND r.acquisition_sku_bucket = k.acquisition_sku_bucket AND r.ds = k.ds""",
+)
+def forecast_future(spark, sf):
+    """The first target 480 days ahead beside its actual values, with the linear model."""
+    cohorts_ = ltv.ltv_cohorts(src.customer_billings(spark, sf), [2])
+    gated = forecasting.forecast_input(cohorts_, c.LTV_LEVELS[:2], 20)
+    rows = forecasting.target_forecasts(gated, forecasting.FORECAST_KEYS, ["canceled_day_1"], LINEAR)
+    level = lambda name: F.get_json_object("filters", f"$.{name}").alias(name)
+    return plain(rows.select(level("brand"), level("acquisition_sku_bucket"), "ds", F.round("yhat", 4).alias("yhat"), "actuals"))
+
+
 # --- sinks and caches ----------------------------------------------------------------------------
 
 

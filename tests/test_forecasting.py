@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import sample_sources as src
-from vintner.config import LTV_LEVELS
+from vintner.config import FORECAST_TARGETS, LTV_LEVELS
 from vintner.operators import forecasting as f
 from vintner.plans import ltv_forecast as plan
 
@@ -90,12 +90,13 @@ def test_cascade_per_group_with_gate_and_errors(spark):
     assert by["b"]["p"] == pytest.approx(4.0, rel=0.05)
     assert by["young"]["error"].startswith("ltv_3mo") and by["young"]["p1"] == pytest.approx(1.0, rel=0.05)
     stored = plan.stored_result(out)
-    assert stored.count() == 500
+    assert stored.count() == 600
+    assert stored.filter("error IS NOT NULL").select("filters").distinct().count() == 1
     assert stored.columns == [
         "acquisition_date", "cohort_size", "canceled_day_1", "ltv_1mo", "ltv_3mo", "ltv_6mo", "ltv_12mo", "ltv_24mo",
-        "ltv_1mo_predicted", "ltv_3mo_predicted", "ltv_6mo_predicted", "ltv_12mo_predicted", "filters", "level",
+        "ltv_1mo_predicted", "ltv_3mo_predicted", "ltv_6mo_predicted", "ltv_12mo_predicted", "filters", "level", "error",
     ]
-    row = stored.orderBy("acquisition_date").first()
+    row = stored.filter("error IS NULL").orderBy("acquisition_date").first()
     assert row["acquisition_date"] == "2020-01-01T00:00:00Z"
     assert json.loads(row["filters"]) == {"brand": "b", "acquisition_sku_bucket": "s"}
 
@@ -109,3 +110,17 @@ def test_job_overwrites_its_table(spark, folder):
         plan.ltv_forecast(billings, min_size=5, sink=sink)
     stored = spark.read.parquet(sink.path("LTV_RESULTS"))
     assert stored.groupBy("filters", "level", "acquisition_date").count().filter("count > 1").isEmpty()
+
+
+def test_forecast_days_bounds_and_actuals_per_target(spark):
+    data = f.forecast_input(cohorts(spark, 500).union(cohorts(spark, 100, brand="young")), LTV_LEVELS)
+    out = f.target_forecasts(data, f.FORECAST_KEYS, horizon=30).withColumn("brand", F.get_json_object("filters", "$.brand"))
+    by = {(r["brand"], r["target"]): r for r in out.groupBy("brand", "target").agg(
+        F.count("ds").alias("days"), F.count("actuals").alias("known"), F.max("error").alias("error"),
+        F.count_if(F.expr("yhat_lower > yhat OR yhat > yhat_upper")).alias("wrong"),
+    ).collect()}
+    assert {t for b, t in by if b == "b"} == set(FORECAST_TARGETS)
+    assert by["b", "canceled_day_1"]["days"] == 530 and by["b", "ltv_1mo"]["days"] == 500
+    assert by["b", "canceled_day_1"]["known"] == 500 - 75 and all(r["wrong"] == 0 for r in by.values())
+    assert [t for b, t in by if b == "young" and by[b, t]["error"]] == ["ltv_3mo"]
+    assert ("young", "ltv_6mo") not in by

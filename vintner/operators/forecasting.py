@@ -79,7 +79,7 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
 
     noise = max(z.std(), 0.01 * np.abs(z).mean(), 1e-6) ** 2 * 0.01
     trend, season = parts(days, x)
-    trend_penalty = np.r_[1e-8, 1e-8, np.full(n_knots, noise / model.changepoint_scale**2)]
+    trend_penalty = np.r_[1e-12, 1e-12, np.full(n_knots, noise / model.changepoint_scale**2)]
     season_penalty = np.full(season.shape[1], noise / 10.0**2 + 1e-8)
     both = _ridge(np.hstack([trend, season]), z, np.r_[trend_penalty, season_penalty])
     trend_fit, season_fit = both[: trend.shape[1]], both[trend.shape[1] :]
@@ -156,6 +156,34 @@ def group_forecast(
     return _spread_groups(daily, keys).groupBy(*keys).applyInPandas(keyed, schema)
 
 
+def _cascade(pdf: pd.DataFrame, targets: list[str], model: SeriesModel, date: str, horizon: int):
+    """(target, forecast days, prediction with bounds, days trained on, reason of failure) one after another.
+
+    ``pdf`` is one group in the order of its days. The first target is predicted ``horizon`` days ahead; a
+    later one on the days for which all earlier ones have a value or a prediction, the history. The
+    chain ends with the first target that cannot be fitted.
+    """
+    days = _day_numbers(pdf[date])
+    actual = {t: pdf[t].astype(float) for t in targets}
+    predicted: dict[str, np.ndarray] = {}
+    for target in targets:
+        trained = (days <= days.max() - blackout_days(target)) & actual[target].notna().to_numpy()
+        if predicted:
+            at = days
+            x = np.column_stack([actual[e].fillna(0) for e in predicted])
+            ahead = np.column_stack(list(predicted.values()))
+        else:
+            at = np.concatenate([days, days.max() + np.arange(1, horizon + 1)])
+            x, ahead = np.empty((len(days), 0)), np.empty((len(at), 0))
+        try:
+            lines = fit_predict(days[trained], actual[target][trained], x[trained], at, ahead, model)
+        except (ValueError, np.linalg.LinAlgError) as problem:
+            yield target, at[:0], (at[:0],) * 3, trained, str(problem)
+            return
+        predicted[target] = lines[0][: len(days)]
+        yield target, at, lines, trained, None
+
+
 def cascade_forecast(
     cohorts: DataFrame,
     keys: list[str],
@@ -166,29 +194,20 @@ def cascade_forecast(
     """Predict the targets one after another per group, on every day of its history.
 
     Each model trains on the days before the target's blackout. Earlier targets are regressors: their
-    actual values in training, their predictions on the days to forecast.
+    actual values in training, their predictions on the days to forecast. A group keeps all its rows; if
+    a target cannot be fitted, ``error`` says why and that target and the later ones have no prediction.
     """
     targets = list(targets)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date).reset_index(drop=True)
-        days = _day_numbers(pdf[date])
-        pdf["error"] = None
-        actual = {t: pdf[t].astype(float) for t in targets}
+        pdf = pdf.sort_values(date).reset_index(drop=True).assign(error=None)
         for t in targets:
             pdf[f"{t}_predicted"] = np.nan
-        for position, target in enumerate(targets):
-            earlier = targets[:position]
-            known = actual[target].notna().to_numpy()
-            train = (days <= days.max() - blackout_days(target)) & known
-            x = np.column_stack([actual[e].fillna(0) for e in earlier]) if earlier else np.empty((len(pdf), 0))
-            ahead = pdf[[f"{e}_predicted" for e in earlier]].to_numpy(float) if earlier else x
-            try:
-                prediction = fit_predict(days[train], actual[target][train], x[train], days, ahead, model)
-            except (ValueError, np.linalg.LinAlgError) as problem:
+        for target, _, (yhat, *_), _, problem in _cascade(pdf.copy(), targets, model, date, 0):
+            if problem is None:
+                pdf[f"{target}_predicted"] = yhat
+            else:
                 pdf["error"] = f"{target}: {problem}"
-                break
-            pdf[f"{target}_predicted"] = prediction[0]
         return pdf
 
     predicted = ", ".join(f"{t}_predicted double" for t in targets)
@@ -196,21 +215,63 @@ def cascade_forecast(
     return _spread_groups(cohorts, keys).groupBy(*keys).applyInPandas(run, schema)
 
 
+def target_forecasts(
+    cohorts: DataFrame,
+    keys: list[str],
+    targets=FORECAST_TARGETS,
+    model: SeriesModel = CASCADE_MODEL,
+    date: str = "acquisition_date",
+    horizon: int = FORECAST_DAYS,
+) -> DataFrame:
+    """Per group, target and day: yhat with its bounds, and the actual value where the model was trained on it.
+
+    The first target reaches ``horizon`` days beyond the history. A target that cannot be fitted is one row
+    with the reason in ``error``; the targets after it have no rows.
+    """
+    targets = list(targets)
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(date).reset_index(drop=True)
+        days, parts = _day_numbers(pdf[date]), []
+        for target, at, lines, trained, problem in _cascade(pdf, targets, model, date, horizon):
+            if problem is not None:
+                parts.append(pd.DataFrame({"target": [target], "error": [problem]}))
+                continue
+            known = pd.Series(np.where(trained, pdf[target].astype(float), np.nan), index=days)
+            part = pd.DataFrame(dict(zip(("yhat", "yhat_lower", "yhat_upper"), lines)))
+            part["ds"] = pd.to_datetime(at.astype("datetime64[D]")).date
+            part["actuals"] = known.reindex(at).to_numpy()
+            parts.append(part.assign(target=target, error=None))
+        out = pd.concat(parts, ignore_index=True).reindex(columns=["target", "ds", "yhat", "yhat_lower", "yhat_upper", "actuals", "error"])
+        for position, (name, value) in enumerate(zip(keys, key)):
+            out.insert(position, name, value)
+        return out
+
+    rest = "target string, ds date, yhat double, yhat_lower double, yhat_upper double, actuals double, error string"
+    return _spread_groups(cohorts, keys).groupBy(*keys).applyInPandas(run, _schema(cohorts, keys, rest))
+
+
 def forecast_groups(cohorts: DataFrame, levels, targets=FORECAST_TARGETS, min_size: int = MIN_GROUP_SIZE) -> DataFrame:
     """Cascaded forecast for every group of every prefix, tagged with its filters as JSON.
 
     ``cohorts`` comes from ``ltv_cohorts``. Groups with a missing dimension and groups of at most
     ``min_size`` customers are left out.
     """
+    return cascade_forecast(forecast_input(cohorts, levels, min_size), FORECAST_KEYS, targets)
+
+
+FORECAST_KEYS = ["level", "filters"]
+
+
+def forecast_input(cohorts: DataFrame, levels, min_size: int = MIN_GROUP_SIZE) -> DataFrame:
+    """Cohort rows of the groups to forecast, keyed by level and filters."""
     levels = list(levels)
     depth = F.array_position(F.array(*[F.lit(n) for n in levels]), F.col("level"))
     complete = F.lit(True)
     for i, name in enumerate(levels, start=1):
         complete = complete & ((depth < i) | F.col(name).isNotNull())
     tagged = cohorts.filter(complete).withColumn("filters", F.to_json(F.struct(*levels)))
-    keys = ["level", "filters"]
-    gated = large_groups(tagged.drop(*levels), keys, min_size)
-    return cascade_forecast(gated, keys, targets)
+    return large_groups(tagged.drop(*levels), FORECAST_KEYS, min_size)
 
 
 def linear_trend(series: DataFrame, keys: list[str], ds: str = "ds", y: str = "y") -> DataFrame:

@@ -25,14 +25,15 @@ def ltv_forecast(
 
 
 def stored_result(forecast: DataFrame) -> DataFrame:
-    """Columns of the result table, the date as ISO-8601 text."""
+    """Columns of the result table, the date as ISO-8601 text; rows of a group with an error carry its reason."""
     values = ["canceled_day_1", *[f"ltv_{m}mo" for m in LTV_MONTHS]]
     predicted = [f"ltv_{m}mo_predicted" for m in LTV_MONTHS if f"ltv_{m}mo_predicted" in forecast.columns]
-    return forecast.filter(F.col("error").isNull()).select(
+    return forecast.select(
         iso_text(F.col("acquisition_date")).alias("acquisition_date"),
         "cohort_size",
         *values,
         *predicted,
         "filters",
         "level",
+        "error",
     )
