@@ -97,6 +97,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v
 
 
+def folds(n: int, parts: int) -> np.ndarray:
+    """A part for each of n rows, the same every time and without a pattern."""
+    return (mixed(np.arange(n, dtype=np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text, first word) of every run of ``size`` words; a shorter text is one run of all its words.
 

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vintner.llm.arrays import Words, distinct_pairs, mixed, text_slices
+from vintner.llm.arrays import Words, distinct_pairs, folds, mixed, text_slices
 from vintner.llm.shared import appended, bounded_sample, fresh, stored
 
 #: Most labelled rows of each class that the model is fitted on.
@@ -211,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int =
         return QualityModel(flat, flat, 0.0, 0.0, {0.5: 0.0, 0.0: -LIMIT, 1.0: LIMIT}[share])
     margins = np.zeros(len(y))
     for fold in range(FOLDS):
-        out = np.arange(len(y)) % FOLDS == fold
-        if y[~out].min() == y[~out].max():
+        out = folds(len(y), FOLDS) == fold
+        if not out.any() or out.all() or y[~out].min() == y[~out].max():
             continue
         weights, scales, bias = _fitted([r for r, o in zip(rows, out, strict=True) if not o], y[~out])
         for i in np.flatnonzero(out):
@@ -232,5 +233,5 @@ def with_scores(docs: DataFrame, model: QualityModel, text: str = "text", score:
             found = model.scores(batch.column(last))
             yield appended(batch.select(range(last)), **{score: pa.array(found)})
 
-    schema = docs.schema.add(score, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
     return held.mapInArrow(run, schema)

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vintner.llm.arrays import Words, distinct_pairs, text_slices
+from vintner.llm.arrays import Words, distinct_pairs, folds, text_slices
 from vintner.llm.shared import appended, bounded_sample, fresh, stored
 
 #: Most labelled rows of each label that the chain is fitted on.
@@ -95,6 +96,8 @@ def logistic(row: np.ndarray, place: np.ndarray, extra: np.ndarray, y: np.ndarra
     The mean log loss plus a small penalty on the squared weights; (row, place) has the indicators set.
     """
     n, k = len(y), extra.shape[1]
+    if not n:
+        return np.zeros(width + k + 1)
     both = np.concatenate([extra, np.ones((n, 1))], axis=1)
 
     def times(w: np.ndarray) -> np.ndarray:
@@ -105,7 +108,7 @@ def logistic(row: np.ndarray, place: np.ndarray, extra: np.ndarray, y: np.ndarra
 
     v = np.ones(width + k + 1)
     for _ in range(20):
-        v = back(times(v / np.linalg.norm(v)))
+        v = back(times(v / max(float(np.linalg.norm(v)), 1e-12)))
     step = 1 / (0.25 * np.linalg.norm(v) / n * 1.05 + PENALTY)
     w = ahead = np.zeros(width + k + 1)
     t = 1.0
@@ -144,7 +147,7 @@ class ToxicityChain:
 def _chain(rows: list[np.ndarray], targets: np.ndarray, width: int) -> list[np.ndarray]:
     n, n_links = targets.shape
     earlier, links = np.zeros((n, 0)), []
-    fold = np.arange(n) % FOLDS
+    fold = folds(n, FOLDS)
     row, place = _sparse(rows)
     for k in range(n_links):
         y = targets[:, k].astype(float)
@@ -261,9 +264,7 @@ def with_categories(docs: DataFrame, chain: ToxicityChain, prefix: str = "p_") -
     """All rows and columns, and a probability of each category; a null text counts as empty."""
     text = fresh("text_to_score", docs.columns)
     names = [prefix + n for n in chain.names]
-    schema = docs.schema
-    for name in names:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(name, T.DoubleType()) for name in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
