@@ -368,9 +368,10 @@ def onehot_topn(spark, sf):
         (F.col("o_orderdate") < "1998-01-01") & (F.coalesce("traffic_source", F.lit("")) != "FRANCE")
     )
     fitted = preprocess.fit(train, preprocess.Inputs(["traffic_source"], [], max_categories=10))
-    known = F.col("label").isin(fitted.categories["traffic_source"])
-    labelled = fitted.with_labels(rows, {"label": "traffic_source"})
-    return labelled.groupBy("label").agg(F.count("*").alias("n")).withColumn("unseen", ~known)
+    placed = fitted.with_positions(rows, {"place": "traffic_source"})
+    labelled = fitted.with_labels(placed, {"label": "traffic_source"})
+    unseen = F.col("place") == fitted.sizes["traffic_source"]
+    return labelled.groupBy("label", unseen.alias("unseen")).agg(F.count("*").alias("n"))
 
 
 @query(

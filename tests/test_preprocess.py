@@ -54,7 +54,7 @@ def test_rare_categories_share_a_bucket(spark):
     values = ["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"]
     df, fitted = fit_values(spark, [(v,) for v in values], "x string", p.Inputs(["x"], [], max_categories=3))
     # two keep their name; of the equally frequent b and c the later one does
-    assert fitted.categories["x"] == ["a", "c", p.RARE]
+    assert fitted.feature_names == ["cat__x_a", "cat__x_c", f"cat__x_{p.RARE}"]
     frame = spark.createDataFrame([("a",), ("b",), ("d",), ("new",), (None,)], "x string")
     labels = {r["x"]: r["l"] for r in fitted.with_labels(frame, {"l": "x"}).collect()}
     assert labels == {"a": "a", "b": p.RARE, "d": p.RARE, "new": "new", None: p.UNKNOWN}
@@ -67,14 +67,18 @@ def test_rare_categories_share_a_bucket(spark):
 @pytest.mark.parametrize(("limit", "rare"), [(4, False), (3, True)])
 def test_limit_counts_the_bucket(spark, limit, rare):
     _, fitted = fit_values(spark, [("a",), ("b",), ("c",)], "x string", p.Inputs(["x"], [], max_categories=limit))
-    assert (p.RARE in fitted.categories["x"]) == rare
-    assert len(fitted.categories["x"]) == 3
-
-
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(p, "MAX_ENCODED", 3)
-    with pytest.raises(ValueError, match="set max_categories"):
-        fit_values(spark, [(str(i),) for i in range(5)], "x string", p.Inputs(["x"], []))
+    assert (f"cat__x_{p.RARE}" in fitted.feature_names) == rare
+    assert fitted.sizes == {"x": 3}
+
+
+def test_very_many_categories(spark):
+    df = spark.range(200_000).selectExpr("concat('c', lpad(id, 6, '0')) AS x", "id AS n")
+    fitted = p.fit(df, p.Inputs(["x"], []))
+    assert fitted.sizes == {"x": 200_000} and fitted.names_of([5, 199_999]) == {5: "cat__x_c000005", 199_999: "cat__x_c199999"}
+    placed = fitted.with_positions(df, {"place": "x"})
+    assert placed.filter("place <> n").isEmpty()
+    vector = fitted.transform(df.filter("n = 123456")).first()["features"]
+    assert vector.size == 200_000 and list(vector.indices) == [123456]
 
 
 def test_booleans(spark):

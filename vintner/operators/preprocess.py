@@ -7,17 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintner.operators.order_stats import extents, long_values, medians_of
+from vintner.sources.storage import cut
 
 UNKNOWN = "unknown"
 RARE = "infrequent_sklearn"  # fixed value: label of the bucket of rare categories
-# Encoded categories become part of a model held by the driver. More than this is refused.
-MAX_ENCODED = 100_000
 
 
 @dataclass
@@ -37,38 +36,67 @@ class Fitted:
     fill: dict[str, float]
     mean: dict[str, float]
     spread: dict[str, float]
-    categories: dict[str, list[str]]
+    codes: DataFrame | None  # (name, label, position): place of every training category among its column's features
+    sizes: dict[str, int]  # features per categorical column
+    rare: set[str]  # columns whose last feature is the bucket of rare categories
     seen: dict[str, list[bool]]
-    rare: dict[str, DataFrame]  # per column, the training values that share one bucket
 
     @property
     def numeric(self) -> list[str]:
         """Columns with a statistic; one without any training value is dropped."""
         return [c for c in self.inputs.numeric if c in self.fill]
 
+    @property
+    def width(self) -> int:
+        return len(self.numeric) + sum(self.sizes.values()) + len(self.inputs.boolean)
+
+    def names_of(self, features: list[int]) -> dict[int, str]:
+        """Names of features by their place in the vector; only those asked for reach the driver."""
+        out, first = {}, len(self.numeric)
+        out.update({i: f"num__{self.numeric[i]}" for i in features if i < first})
+        for c in self.inputs.categorical:
+            asked = [i - first for i in features if first <= i < first + self.sizes[c]]
+            if asked and c in self.rare and self.sizes[c] - 1 in asked:
+                asked.remove(self.sizes[c] - 1)
+                out[first + self.sizes[c] - 1] = f"cat__{c}_{RARE}"
+            if asked:
+                found = self.codes.filter((F.col("name") == c) & F.col("position").isin(asked)).collect()
+                out.update({first + r["position"]: f"cat__{c}_{r['label']}" for r in found})
+            first += self.sizes[c]
+        out.update({i: f"bool__{self.inputs.boolean[i - first]}" for i in features if i >= first})
+        return out
+
     @property
     def feature_names(self) -> list[str]:
-        return [
-            *[f"num__{c}" for c in self.numeric],
-            *[f"cat__{c}_{v}" for c in self.inputs.categorical for v in self.categories[c]],
-            *[f"bool__{c}" for c in self.inputs.boolean],
-        ]
+        """All names; as many as the vector is wide."""
+        names = self.names_of(list(range(self.width)))
+        return [names[i] for i in range(self.width)]
 
     def scaled(self, name: str) -> Column:
         value = F.coalesce(F.col(name).cast("double"), F.lit(self.fill[name]))
         return (value - F.lit(self.mean[name])) / F.lit(self.spread[name])
 
-    def with_labels(self, df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    def with_positions(self, df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+        """Place of each row's category among the features of its column; NULL counts as ``unknown``.
+
+        A value not seen in training has the place after the last one, which encodes to zeros.
+        """
+        for output, name in outputs.items():
+            own = self.codes.filter(F.col("name") == name).select(F.col("label").alias("_category"), F.col("position").alias(output))
+            df = df.withColumn("_category", category(F.col(name))).join(own, "_category", "left").drop("_category")
+            df = df.withColumn(output, F.coalesce(F.col(output), F.lit(self.sizes[name])).cast("double"))
+        return df
+
+    def with_labels(self, df: DataFrame, outputs: dict[str, str]) -> DataFrame:
         """Categories with NULL as ``unknown`` and rare training values in one bucket.
 
-        A value not seen in training is not rare: it stays as it is and encodes to zeros.
+        A value not seen in training is not rare: it stays as it is.
         """
-        for output, name in labels.items():
-            df = df.withColumn(output, category(F.col(name)))
-            if name in self.rare:
-                bucket = self.rare[name].select(F.col("label").alias(output), F.lit(RARE).alias("_rare"))
-                df = df.join(bucket, output, "left")
-                df = df.withColumn(output, F.coalesce("_rare", output)).drop("_rare")
+        places = {f"_place_{output}": name for output, name in outputs.items()}
+        df = self.with_positions(df, places)
+        for place, name in places.items():
+            bucket = F.lit(name in self.rare) & (F.col(place) == self.sizes[name] - 1)
+            df = df.withColumn(place.removeprefix("_place_"), F.when(bucket, RARE).otherwise(category(F.col(name)))).drop(place)
         return df
 
     def ordinal(self, name: str) -> Column:
@@ -82,18 +110,15 @@ class Fitted:
         """Add the feature vector: scaled numbers, one-hot categories, ordinal booleans."""
         names = self.inputs
         numbers = {f"_n{i}": self.scaled(c) for i, c in enumerate(self.numeric)}
-        labels = {f"_c{i}": c for i, c in enumerate(names.categorical)}
         flags = {f"_b{i}": self.ordinal(c) for i, c in enumerate(names.boolean)}
-        out = self.with_labels(df.withColumns({**numbers, **flags}), labels)
-        encoded = [f"_e{i}" for i in range(len(labels))]
-        if labels:
-            indexed = [f"_i{i}" for i in range(len(labels))]
-            for (label, name), index in zip(labels.items(), indexed):
-                indexer = StringIndexerModel.from_labels(self.categories[name], label, index, handleInvalid="keep")
-                out = indexer.transform(out)
-            # the extra index for unseen values is the last one, which is dropped: all zeros
-            out = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True).fit(out).transform(out)
-            out = out.drop(*labels, *indexed)
+        places = {f"_i{i}": c for i, c in enumerate(names.categorical)}
+        encoded = [f"_e{i}" for i in range(len(places))]
+        out = df.withColumns({**numbers, **flags})
+        if places:
+            # One row tells the encoder the widths; the last place, of unseen values, is dropped: all zeros.
+            widths = df.sparkSession.createDataFrame([[float(self.sizes[c]) for c in places.values()]], list(places))
+            encoder = OneHotEncoder(inputCols=list(places), outputCols=encoded, dropLast=True).fit(widths)
+            out = encoder.transform(self.with_positions(out, places)).drop(*places)
         out = VectorAssembler(inputCols=[*numbers, *encoded, *flags], outputCol=output).transform(out)
         return out.drop(*numbers, *encoded, *flags)
 
@@ -159,28 +184,49 @@ def numeric_statistics(df: DataFrame, columns: list[str], impute: str):
     return fill, mean, spread
 
 
-def encoded_categories(train: DataFrame, inputs: Inputs):
-    """Sorted labels to encode per column, and per column the rare training labels as a frame."""
-    categories: dict[str, list[str]] = {c: [] for c in inputs.categorical}
-    rare: dict[str, DataFrame] = {}
-    if inputs.categorical:
-        counts = category_counts(train, inputs.categorical)
-        if inputs.max_categories is None:
-            rows = counts.limit(MAX_ENCODED + 1).collect()
-        else:
-            flagged = frequent_categories(counts, inputs.max_categories)
-            rows = flagged.filter("kept").collect()  # at most max_categories per column
-            bucketed = [r["name"] for r in flagged.filter("not kept").select("name").distinct().collect()]
-            rare = {c: flagged.filter(~F.col("kept") & (F.col("name") == c)).select("label") for c in bucketed}
-        if len(rows) > MAX_ENCODED:
-            raise ValueError(
-                f"more than {MAX_ENCODED} categories to encode; choose a coarser level or set max_categories"
-            )
-        for row in rows:
-            categories[row["name"]].append(row["label"])
-        for name in categories:
-            categories[name] = sorted(categories[name]) + [RARE] * (name in rare)
-    return categories, rare
+def encoded_categories(train: DataFrame, inputs: Inputs) -> tuple[DataFrame | None, dict[str, int], set[str]]:
+    """Codes of all training categories as a frame, features per column, and the columns with a rare bucket.
+
+    The categories of a column are numbered in the order of their labels, without bringing them into one
+    task: the sorted frame is numbered by partition.
+    """
+    if not inputs.categorical:
+        return None, {}, set()
+    counts = category_counts(train, inputs.categorical)
+    if inputs.max_categories is None:
+        flagged = counts.withColumn("kept", F.lit(True))
+    else:
+        flagged = frequent_categories(counts, inputs.max_categories)
+    flagged = cut(flagged.select("name", "label", "kept"))
+    # One row per encoded column.
+    totals = flagged.groupBy("name").agg(F.count_if("kept").alias("n"), F.count_if(~F.col("kept")).alias("others")).collect()
+    kept = {r["name"]: r["n"] for r in totals}
+    rare = {r["name"] for r in totals if r["others"]}
+    sizes = {c: kept.get(c, 0) + (c in rare) for c in inputs.categorical}
+    numbered = numbered_rows(flagged.filter("kept").select("name", "label"), "name", "label")
+    first = numbered.groupBy("name").agg(F.min("_number").alias("_first"))
+    codes = numbered.join(F.broadcast(first), "name").select(
+        "name", "label", (F.col("_number") - F.col("_first")).cast("int").alias("position")
+    )
+    if rare:
+        last = F.create_map(*[F.lit(x) for c in rare for x in (c, sizes[c] - 1)])
+        codes = codes.unionByName(flagged.filter(~F.col("kept")).select("name", "label", last[F.col("name")].alias("position")))
+    return cut(codes), sizes, rare
+
+
+def numbered_rows(df: DataFrame, *order: str) -> DataFrame:
+    """Rows with ``_number`` counting from 0 in this order: sorted over all tasks, counted per partition."""
+    placed = cut(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id())
+    partition = F.shiftright("_id", 33)
+    sizes = placed.groupBy(partition.alias("p")).count().orderBy("p").collect()  # one row per partition
+    starts, total = [], 0
+    for row in sizes:
+        starts.append((row["p"], total))
+        total += row["count"]
+    start = df.sparkSession.createDataFrame(starts, "_p bigint, _start bigint")
+    in_partition = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    both = placed.withColumn("_p", partition).join(F.broadcast(start), "_p")
+    return both.withColumn("_number", F.col("_start") + in_partition).drop("_p", "_start", "_id")
 
 
 def fit(train: DataFrame, inputs: Inputs) -> Fitted:
@@ -189,12 +235,12 @@ def fit(train: DataFrame, inputs: Inputs) -> Fitted:
     with ThreadPoolExecutor(2) as pool:
         labels = pool.submit(in_thread(encoded_categories), train, inputs)
         numbers = pool.submit(in_thread(numeric_statistics), train, inputs.numeric, inputs.impute)
-        (categories, rare), (fill, mean, spread) = labels.result(), numbers.result()
+        (codes, sizes, rare), (fill, mean, spread) = labels.result(), numbers.result()
     seen: dict[str, list[bool]] = {}
     if inputs.boolean:
         row = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in inputs.boolean]).first()
         seen = {c: list(row[c]) for c in inputs.boolean}
-    return Fitted(inputs, fill, mean, spread, categories, seen, rare)
+    return Fitted(inputs, fill, mean, spread, codes, sizes, rare, seen)
 
 
 def time_series_frame(

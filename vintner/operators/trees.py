@@ -22,16 +22,17 @@ class Model:
     target: str
     trees: GBTRegressionModel
     spread: float
-    feature_names: list[str]
+    inputs: preprocess.Fitted
 
     def importances(self) -> list[tuple[str, float]]:
         """Share of the total gain per feature, used features only, largest first."""
         vector = self.trees.featureImportances
-        used = [(self.feature_names[int(i)], float(v)) for i, v in zip(vector.indices, vector.values) if v > 0]
-        return sorted(used, key=lambda x: -x[1])
+        used = {int(i): float(v) for i, v in zip(vector.indices, vector.values) if v > 0}
+        names = self.inputs.names_of(list(used))
+        return sorted(((names[i], v) for i, v in used.items()), key=lambda x: -x[1])
 
 
-def _fit_target(prepared: DataFrame, target: str, names: list[str], params: TreeParams) -> Model:
+def _fit_target(prepared: DataFrame, target: str, inputs: preprocess.Fitted, params: TreeParams) -> Model:
     regressor = GBTRegressor(
         featuresCol="features",
         labelCol="_label",
@@ -47,7 +48,7 @@ def _fit_target(prepared: DataFrame, target: str, names: list[str], params: Tree
     rows = prepared.select("features", F.col(target).cast("double").alias("_label"))
     trees = regressor.fit(rows)
     spread = trees.transform(rows).agg(residual_spread(F.col("_label"), F.col("_prediction"))).first()[0]
-    return Model(target, trees, spread, names)
+    return Model(target, trees, spread, inputs)
 
 
 def fit(
@@ -70,7 +71,7 @@ def fit(
         prepared.count()
         with ThreadPoolExecutor(len(targets)) as pool:
             jobs = [
-                pool.submit(inheritable_thread_target(train.sparkSession)(_fit_target), prepared, t, fitted.feature_names, params)
+                pool.submit(inheritable_thread_target(train.sparkSession)(_fit_target), prepared, t, fitted, params)
                 for t in targets
             ]
             return fitted, [job.result() for job in jobs]
