@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 from collections import Counter, defaultdict
 
@@ -160,6 +161,16 @@ def test_hot_processor_id_gives_the_same_events(spark, monkeypatch):
     assert sorted(map(str, run(found).collect())) == plainly
 
 
+def test_transactions_are_read_once_per_key_and_dimensions_meet_events_only(spark, folder):
+    found = sources(spark, [tx(7, "p7")], [("TXN_7", "Chargeback", "m", "mc", DAY, False)], [("p7", "m", "Visa", DAY)])
+    found.transactions.write.parquet(f"{folder}/transactions")
+    found = dataclasses.replace(found, transactions=spark.read.parquet(f"{folder}/transactions"))
+    plan_text = run(found)._jdf.queryExecution().optimizedPlan().toString()
+    # one read per join key, and two slim ones that look for hot processor ids on either side of the join
+    assert plan_text.count("Relation") <= 2 + 4
+    assert plan_text.count("short_name") and run(found).count() == 2
+
+
 def test_events_are_read_once(spark):
     report = risk.risk_all_levels(sample(spark), ordered=False)
     assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
@@ -179,7 +190,7 @@ def test_report_caches_events_and_writes(spark, folder):
     stored = spark.read.option("header", True).csv(sink.path("threshold_all_levels"))
     assert stored.columns == [c.upper() for c in first.columns]
     assert stored.count() == first.count() > 0
-    assert spark.read.parquet(f"{folder}/cache/1996-01-01.parquet").count() > 0
+    assert spark.read.parquet(f"{folder}/cache/1996-01-01-*.parquet").count() > 0
     again = plan.risk_report(src.risk_sources(spark, SF), as_of, **args)
     assert sorted(map(str, again.collect())) == sorted(map(str, first.collect()))
 

@@ -37,6 +37,7 @@ def spread_left_join(
     slice_by: list[str] | None = None,
     salts: int = 64,
     share: int = 1000,
+    unique: bool = False,
 ) -> DataFrame:
     """``left.join(right, key, 'left')`` with salted hot and NULL keys. ``key`` exists on both sides.
 
@@ -48,10 +49,19 @@ def spread_left_join(
     The hot-key frame is broadcast: it has at most ``share`` rows. ``keys_of`` may name a cheaper
     frame with the same keys as ``right`` to find them in.
 
+    ``unique`` says that the right side has one row per key at most, such as a table by its primary key:
+    then no key can be hot there, a hot left key is split at run time, and only NULL keys are spread.
+
     ``distinct`` selects these columns and drops duplicates without another shuffle. That is exact when
     rows that become equal share a slice: ``slice_by`` names the right columns that decide it (default
     all), and these must survive the selection, as must what tells left rows without a key apart.
     """
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    if unique:
+        salted = left.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(0))
+        known = right.filter(F.col(key).isNotNull()).withColumn("_salt", F.lit(0))
+        result = salted.join(known, [key, "_salt"], "left")
+        return result.select(*distinct, "_salt").distinct().drop("_salt") if distinct is not None else result.drop("_salt")
     hot = hot_keys(right if keys_of is None else keys_of, key, share).withColumn("_hot", F.lit(True))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in slice_by or right.columns]), F.lit(salts)).cast("int")
@@ -62,7 +72,6 @@ def spread_left_join(
         .drop("_hot")
         .withColumn("_matched", F.lit(True))
     )
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     visits = (
         F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
         .when(F.col(key).isNull(), F.array(spread))

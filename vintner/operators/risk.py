@@ -160,55 +160,61 @@ def worldpay_disputes(report: DataFrame, window: ReportWindow, excluded_text: st
 # --- transaction attributes ----------------------------------------------------------------------
 
 
-def enriched_transactions(
-    transactions: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame
+def transaction_columns(transactions: DataFrame) -> DataFrame:
+    """What the reports need of a transaction: its ids, its own attributes and the keys of its dimensions."""
+    return transactions.select(
+        "id",
+        "payment_processor_id",
+        "brand_slug",
+        "sku_type_slug",
+        "channel_slug",
+        "bin",
+        "traffic_source_id",
+        "plan_id",
+        "payment_option_id",
+    )
+
+
+def with_dimensions(
+    rows: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame | None = None
 ) -> DataFrame:
-    """Transactions with traffic source, offer type and card network.
+    """Traffic source, offer type and card network of rows that carry the keys of the dimensions.
 
-    No broadcast hint: Spark broadcasts a dimension when its measured size is below the threshold and
-    shuffles it otherwise.
+    The rows are events that already met their transactions, so no dimension is joined to the whole
+    history. No broadcast hint: Spark broadcasts a dimension when its measured size is below the
+    threshold and shuffles it otherwise.
     """
     sources = traffic_sources.select(
         F.col("id").alias("traffic_source_id"), F.col("short_name").alias("traffic_source_short_name")
     )
     offers = plans.select(F.col("id").alias("plan_id"), "offer_type")
+    out = rows.join(sources, "traffic_source_id", "left").join(offers, "plan_id", "left")
+    if payment_options is None:
+        return out
     options = payment_options.select(
         F.col("id").alias("payment_option_id"), F.col("card_network").alias("option_card_network")
     )
-    return (
-        transactions.join(sources, "traffic_source_id", "left")
-        .join(offers, "plan_id", "left")
-        .join(options, "payment_option_id", "left")
-        .select(
-            "id",
-            "payment_processor_id",
-            "brand_slug",
-            "sku_type_slug",
-            "channel_slug",
-            "traffic_source_short_name",
-            "bin",
-            "offer_type",
-            "option_card_network",
-        )
-    )
+    return out.join(options, "payment_option_id", "left")
 
 
-def events_by_reference(events: DataFrame, transactions: DataFrame, enriched: DataFrame) -> DataFrame:
+def events_by_reference(
+    events: DataFrame, transactions: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame
+) -> DataFrame:
     """Attach transactions by the numeric id inside the reference; an unreadable id counts 0.
 
     Grouping by every selected column leaves one row per tuple, so distinct rows with a 0/1 count say
     the same as a distinct count.
     """
     keyed = events.withColumn("txn_id", transaction_id(F.col("ref_txn_id")))
-    attributes = enriched.withColumnRenamed("id", "txn_id").drop("payment_processor_id", "option_card_network")
-    keys = transactions.select(F.col("id").alias("txn_id"))
+    attributes = transaction_columns(transactions).withColumnRenamed("id", "txn_id")
+    met = spread_left_join(keyed, attributes.drop("payment_processor_id", "payment_option_id"), "txn_id", unique=True)
     count = F.when(F.col("txn_id").isNull(), 0).otherwise(1).cast("bigint").alias("count")
-    return spread_left_join(
-        keyed, attributes, "txn_id", keys_of=keys, distinct=[*EVENT_COLUMNS[:-1], count]
-    )
+    return with_dimensions(met, traffic_sources, plans).select(*EVENT_COLUMNS[:-1], count).distinct()
 
 
-def events_by_processor_id(events: DataFrame, transactions: DataFrame, enriched: DataFrame) -> DataFrame:
+def events_by_processor_id(
+    events: DataFrame, transactions: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame
+) -> DataFrame:
     """Attach transactions by the processor's own id. One id may belong to several transactions.
 
     Settlements take the card network of the payment option. The card-file report comes with its own
@@ -222,20 +228,16 @@ def events_by_processor_id(events: DataFrame, transactions: DataFrame, enriched:
             else F.col("ref_txn_id").isNotNull().cast("bigint"),
         }
     )
-    attributes = enriched.withColumnsRenamed({"payment_processor_id": "ref_txn_id", "id": "txn_id"})
-    keys = transactions.select(F.col("payment_processor_id").alias("ref_txn_id"))
+    attributes = transaction_columns(transactions).withColumnsRenamed({"payment_processor_id": "ref_txn_id", "id": "txn_id"})
     derived = {
         "card_network": F.when(F.col("type") == SETTLEMENT, F.col("option_card_network")).otherwise(F.col("card_network")),
         "sku_type_slug": F.when(F.col("_sells_sku"), F.col("sku_type_slug")),
     }
-    return spread_left_join(
-        events,
-        attributes,
-        "ref_txn_id",
-        keys_of=keys,
-        distinct=[derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS],
-        slice_by=["txn_id"],
+    met = spread_left_join(
+        events, attributes, "ref_txn_id", keys_of=attributes.select("ref_txn_id"), slice_by=["txn_id"]
     )
+    full = with_dimensions(met, traffic_sources, plans, payment_options)
+    return full.select(*(derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS)).distinct()
 
 
 def reference_coverage(events: DataFrame) -> DataFrame:

@@ -32,10 +32,8 @@ class RiskSources:
 def processor_events(
     sources: RiskSources, window: risk.ReportWindow, excluded_adyen=None, excluded_braintree=None, excluded_worldpay=None
 ) -> DataFrame:
-    """All reports as one frame of events. Transactions are read and shuffled once per join key."""
-    enriched = risk.enriched_transactions(
-        sources.transactions, sources.traffic_sources, sources.plans, sources.payment_options
-    )
+    """All reports as one frame of events. Transactions are shuffled once per join key, dimensions meet only events."""
+    tables = sources.transactions, sources.traffic_sources, sources.plans, sources.payment_options
     by_reference = [
         normalise(report, window, excluded_adyen)
         for normalise, report in (
@@ -55,7 +53,7 @@ def processor_events(
         if report is not None
     ]
     attached = [
-        attach(_stack(frames), sources.transactions, enriched)
+        attach(_stack(frames), *tables)
         for attach, frames in (
             (risk.events_by_reference, by_reference),
             (risk.events_by_processor_id, by_processor_id),
