@@ -629,10 +629,11 @@ def dashboard_dataset(spark, sf):
 # --- trees and cascade (no SQL equivalent) -------------------------------------------------------
 
 
-def _fit(spark, sf, step, promo=True):
-    rows = storage.cut(safe.nan_to_null(clean(spark, sf).filter(F.col("plan__is_promo") == promo)))
+def _fit(spark, sf, step):
+    """One model over both partitions, with the inputs that both have."""
+    rows = storage.cut(safe.nan_to_null(clean(spark, sf)))
     train = rows.filter(masks.training_mask(step, SETTINGS))
-    inputs = preprocess.Inputs(BRAND.categories, c.regressors(step, promo))
+    inputs = preprocess.Inputs(BRAND.categories, c.regressors(step, False))
     fitted, models = trees.fit(train, list(step.targets), inputs, SMALL_TREES)
     return rows, fitted, models
 
@@ -697,11 +698,45 @@ def cascade_run(spark, sf):
     return cascade_plan.CascadeRun(BRAND, clean(spark, sf), settings=SETTINGS).cascade()
 
 
+def _own_masks(promo: bool) -> list:
+    """Steps whose masks do not depend on what earlier steps predict."""
+    return [s for s in c.STEPS if s.applies_to(promo) and not (promo and s is FIRST_REBILL)]
+
+
+def _o_outcomes() -> str:
+    parts = []
+    for promo in (True, False):
+        for step in _own_masks(promo):
+            parts.append(f"""SELECT {O_KEYS}, '{step.name}' AS step, CASE WHEN predicted THEN '{c.PREDICTED}' WHEN trained THEN '{c.TRAINED}'
+ELSE '{c.BYPASSED}' END AS status, CASE WHEN NOT predicted THEN round({step.targets[0]}, 9) END AS value
+FROM (SELECT *, {o_masks(step, promo)} FROM ({o.clean(BRAND)}) WHERE plan__is_promo = {str(promo).lower()})""")
+    return " UNION ALL ".join(parts)
+
+
+@query("cascade_outcomes", _o_outcomes())
+def cascade_outcomes(spark, sf):
+    """Over all steps and both partitions: every row's status, and the value of each row that was not predicted."""
+    result = cascade_plan.CascadeRun(BRAND, clean(spark, sf), settings=SETTINGS).cascade()
+    parts = []
+    for promo in (True, False):
+        outcomes = [
+            F.struct(
+                F.lit(s.name).alias("step"),
+                F.col(s.status_column).alias("status"),
+                F.when(F.col(s.status_column) != c.PREDICTED, F.col(s.targets[0])).alias("value"),
+            )
+            for s in _own_masks(promo)
+        ]
+        rows = result.filter(F.col(c.IS_PROMO) == promo)
+        parts.append(rows.select(*BRAND.keys, F.explode(F.array(*outcomes)).alias("o")).select(*BRAND.keys, "o.*"))
+    return plain(parts[0].unionByName(parts[1]), 9, ["value"])
+
+
 @query("cascade_stored_predictions")
 def cascade_stored_predictions(spark, sf):
-    """The long predictions of a stored run with hold-out evaluation over the two early steps."""
+    """The long predictions of a stored run over all steps, with hold-out evaluation."""
     folder = storage.scratch_path(spark, "cascade")
-    settings = CascadeSettings(min_cohort_size=src.MIN_COHORT_SIZE, trees=SMALL_TREES, steps=c.STEPS[:2])
+    settings = CascadeSettings(min_cohort_size=src.MIN_COHORT_SIZE, trees=SMALL_TREES)
     cascade_plan.CascadeRun(BRAND, clean(spark, sf), sinks.make_sink("parquet", folder), settings).run()
     return sinks.read(spark, f"{folder}/BRAND_{cascade_plan.PREDICT_RESULTS}.parquet", merge_schema=True)
 
