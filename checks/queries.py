@@ -255,6 +255,18 @@ def risk_all_levels(spark, sf):
     return plain(risk.risk_all_levels(events(spark, sf), min_bad_count=src.MIN_BAD_COUNT))
 
 
+@query("risk_report", o.risk_all(20).replace("1996-01-01", "2001-02-02"))
+def risk_report_job(spark, sf):
+    """The job from its date on: window of six months, cached events, stored report."""
+    folder = storage.scratch_path(spark, "risk-report")
+    sink = sinks.make_sink("parquet", folder)
+    sources = src.risk_sources(spark, sf)
+    for _ in range(2):  # the second run reads the events that the first one stored
+        risk_report.risk_report(sources, dt.date(2001, 8, 2), 20, f"{folder}/cache", sink, **EXCLUSIONS)
+    stored = sinks.read(spark, sink.path("threshold_all_levels"))
+    return plain(stored.toDF(*(name.lower() for name in stored.columns)))
+
+
 @query("risk_pairs", o.risk_combinations(range(2, 3), 100))
 def risk_pairs(spark, sf):
     return plain(risk.risk_combinations(events(spark, sf), min_bad_count=100))

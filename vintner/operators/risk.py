@@ -342,8 +342,9 @@ def risk_combinations(
     combos: list[list[str]] | None = None,
     dimensions=RISK_DIMENSIONS,
     min_bad_count: int = MIN_BAD_COUNT,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Reports for many combinations of dimensions, by default all pairs.
+    """Reports for many combinations of dimensions, by default all pairs, those far above the global ratio first.
 
     Most groups of a large combination fall below the threshold, so they are never built. Events are
     reduced to distinct dimension tuples and stored; then only tuples with bad events are counted per
@@ -389,7 +390,8 @@ def risk_combinations(
     rated = counts.withColumns(
         {"level": names[F.col("_mask")], "value": joined(*parts), "global_ratio": F.lit(global_ratio).cast("double")}
     )
-    return _with_deltas(rated).select(*_REPORT)
+    report = _with_deltas(rated).select(*_REPORT)
+    return report.orderBy(F.col("delta_percentage").desc_nulls_first()) if ordered else report
 
 
 def _thresholded(counts: DataFrame, min_bad_count: int, value: Column) -> DataFrame:
