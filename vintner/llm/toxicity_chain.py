@@ -214,8 +214,26 @@ def fit(
 
     counted = sample.filter("label = 1").select("text").mapInArrow(toxic_features, "feature long, n long")
     common = counted.groupBy("feature").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_ROWS)
-    best = common.orderBy(F.desc("n"), "feature").limit(CANDIDATES).toArrow().column("feature").to_numpy()
-    candidates = Lookup(best.astype(np.int64).view(np.uint64))
+    best = common.orderBy(F.desc("n"), "feature").limit(CANDIDATES).toArrow()
+    features = best.column("feature").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(features)
+    candidates, n_toxic = Lookup(features), best.column("n").to_numpy()[order]
+
+    def clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(candidates.known), dtype=np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                total += np.bincount(candidates.pairs(data, offsets)[1], minlength=len(total))
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[place])], names=["place", "n"])
+
+    counted = sample.filter("label = 0").select("text").mapInArrow(clean_counts, "place long, n long")
+    found = counted.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    n_clean = np.zeros(len(features), dtype=np.int64)
+    n_clean[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    rows_of = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    used = _associated(n_toxic, n_clean, rows_of.get(1, 0), rows_of.get(0, 0))
+    lookup = Lookup(candidates.known[used])
     lists = [_word_hashes(words) for words in categories.values()]
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +241,7 @@ def fit(
             rows: list[bytes] = []
             flags = np.zeros(batch.num_rows, dtype=np.int32)
             for a, b, data, offsets in text_slices(batch.column(2)):
-                text, place = candidates.pairs(data, offsets)
+                text, place = lookup.pairs(data, offsets)
                 bounds = np.searchsorted(text, np.arange(b - a + 1))
                 rows += [place[x:y].astype("<i4").tobytes() for x, y in zip(bounds, bounds[1:], strict=False)]
                 of, (words, *_) = tokens(data, offsets)
@@ -239,19 +257,9 @@ def fit(
     y = found.column("label").to_numpy().astype(np.int64)
     flags = found.column("flags").to_numpy()
     rows = [np.frombuffer(x.as_py(), dtype="<i4").astype(np.int64) for x in found.column("places")]
-    row, place = _sparse(rows)
-    width = max(len(candidates.known), 1)
-    n_toxic = np.bincount(place[y[row] == 1], minlength=width) if len(y) else np.zeros(width)
-    n_clean = np.bincount(place[y[row] == 0], minlength=width) if len(y) else np.zeros(width)
-    used = _associated(n_toxic, n_clean, int((y == 1).sum()), int((y == 0).sum()))
-    used = used[used < len(candidates.known)]
-    lookup = Lookup(candidates.known[used])
     if not len(y):
         none = np.zeros(len(lookup.known))
         return ToxicityChain(names, lookup, [np.concatenate([none, np.zeros(k), [-LIMIT]]) for k in range(len(names))])
-    new = np.full(width, -1)
-    new[used] = np.arange(len(used))
-    rows = [new[r][new[r] >= 0] for r in rows]
     targets = np.zeros((len(y), len(names)))
     for k in range(len(categories)):
         targets[:, k] = (y == 1) & (flags >> k & 1 == 1)
