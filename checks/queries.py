@@ -836,6 +836,22 @@ def seasonal_regression(spark, sf):
     return fitted.predict(frame).select("ds", "y", "yhat", "yhat_lower", "yhat_upper")
 
 
+LINEAR = forecasting.SeriesModel(changepoints=0, yearly_order=0, weekly_order=0, multiplicative=False)
+O_LINE = "regr_slope(y, date_diff('day', DATE '1970-01-01', ds)) AS a, regr_intercept(y, date_diff('day', DATE '1970-01-01', ds)) AS b"
+
+
+@query(
+    "seasonal_line",
+    f"""WITH d AS ({o.MONTHLY}), t AS (SELECT {O_LINE} FROM d)
+SELECT r_name, strftime(ds, '%Y-%m-%d') AS ds, y, round(b + a * date_diff('day', DATE '1970-01-01', ds), 3) AS yhat FROM d, t""",
+)
+def seasonal_line(spark, sf):
+    """The distributed model without changepoints, seasons and regressors is one regression line over all rows."""
+    series = src.monthly_series(spark, sf)
+    fitted = seasonal.fit_seasonal(series, [], LINEAR)
+    return plain(fitted.predict(series).select("r_name", "ds", "y", F.round("yhat", 3).alias("yhat")))
+
+
 @query("group_forecast")
 def group_forecast(spark, sf):
     """Monthly orders per region with a year ahead, next to the actual values."""
@@ -851,10 +867,6 @@ def forecast_cascade(spark, sf):
     return ltv_forecast.stored_result(forecast)
 
 
-LINEAR = forecasting.SeriesModel(changepoints=0, yearly_order=0, weekly_order=0, multiplicative=False)
-O_LINE = "regr_slope(y, date_diff('day', DATE '1970-01-01', ds)) AS a, regr_intercept(y, date_diff('day', DATE '1970-01-01', ds)) AS b"
-
-
 @query(
     "group_forecast_linear",
     f"""WITH d AS ({o.MONTHLY}), t AS (SELECT r_name, max(ds) AS last, {O_LINE} FROM d GROUP BY r_name),

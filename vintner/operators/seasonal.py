@@ -35,7 +35,8 @@ def _ridge(
 
     With ``intercept`` its value comes first; the solver ignores a constant term.
 
-    The solver has a single penalty, so every term is divided by the root of its own. It also divides
+    Up to a few thousand terms the normal equations are solved, beyond that the solver iterates; both sum
+    over the rows in one pass each. The solver has a single penalty, so every term is divided by the root of its own. It also divides
     the penalty by the spread of the label, which is undone here.
     """
     roots = [math.sqrt(p) for p in penalty]
@@ -43,7 +44,7 @@ def _ridge(
     frame = rows.select(label.alias("label"), array_to_vector(scaled).alias("features"))
     spread, mean = frame.agg(F.stddev_pop("label"), F.avg("label")).first()
     solver = LinearRegression(
-        regParam=(spread or abs(mean)) / n, fitIntercept=intercept, standardization=False, solver="normal"
+        regParam=(spread or abs(mean)) / n, fitIntercept=intercept, standardization=False, solver="auto", maxIter=1000, tol=1e-10
     )
     fitted = solver.fit(frame)
     weights = [float(w) / r for w, r in zip(fitted.coefficients, roots)]
