@@ -9,7 +9,9 @@ from checks.queries import ORACLE, QUERIES
 SF = "/root/testdata/sf0.001"
 # Queries whose thresholds let nothing through, or leave nothing to learn from, at the smallest size.
 LARGER = "/root/testdata/sf0.01"
-NEED_MORE = {"ltv_group_gate", "null_targets", "predictions_long", "cascade_outcomes"}
+NEED_MORE = {
+    "ltv_group_gate", "null_targets", "predictions_long", "cascade_outcomes", "forecast_future", "gbt_group_mean", "gbt_multi_group_mean",
+}
 
 
 @pytest.fixture(scope="module")
