@@ -37,6 +37,19 @@ def test_counts_stay_right_under_any_edits():
         assert tree.text == text and tree.total == len(encode(text))
 
 
+def test_counts_stay_right_around_added_tokens():
+    rng, encode = random.Random(3), tokens.encoder(tokens.default_path())
+    assert len(encode("a <|endoftext|>")) == 3
+    for _ in range(500):
+        text = "".join(rng.choice([*PARTS, "<|endoftext|>", "<|", "endoftext", "|>"]) for _ in range(rng.randint(0, 40)))
+        tree = CountTree(text, encode, leaf_chars=rng.choice([1, 3, 8]))
+        assert tree.total == len(encode(text))
+        edits = random_edits(rng, text)
+        tree.apply(edits)
+        text = edited(text, edits)
+        assert tree.text == text and tree.total == len(encode(text))
+
+
 def test_only_touched_leaves_are_encoded_again():
     text = " ".join(f"word{i}" for i in range(5000))
     tree = CountTree(text, tokens.encoder(tokens.default_path()))

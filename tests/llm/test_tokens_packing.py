@@ -1,5 +1,6 @@
 """Ids against the reference library, plans and places against plain versions."""
 
+import json
 import random
 import zlib
 
@@ -27,6 +28,25 @@ def test_ids_are_those_of_the_tokenizers_library(spark, exact):
         assert encode(text) == exact(text)
 
 
+END = "<|endoftext|>"
+WITH_ADDED = [END, f"hello {END} world", f"a{END}{END}b", f"  {END}  x\n", f"<|{END}|>", f"x  {END}", "<|endoftext", "<|ENDOFTEXT|>", f"\n{END}\n\n日本"]
+
+
+def test_added_tokens_in_a_text_are_matched_like_the_tokenizers_library(exact, tmp_path):
+    encode = tokens.encoder(tokens.default_path())
+    assert exact(f"hello {END} world") == [31373, 220, 50256, 995]
+    for text in WITH_ADDED:
+        assert encode(text) == exact(text)
+    # Tokens that take spaces with them are left to the library.
+    spec = json.load(open(tokens.default_path(), encoding="utf-8"))
+    spec["added_tokens"][0]["lstrip"] = True
+    other = tmp_path / "strips.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    encode, library = tokens.encoder(str(other)), Tokenizer.from_file(str(other))
+    for text in WITH_ADDED:
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def best_fit(counts, capacity):
     gaps = []
     for length in sorted(counts, reverse=True):
