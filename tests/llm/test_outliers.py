@@ -85,3 +85,19 @@ def test_groups_of_one_and_null_groups(spark):
     assert sorted((str(r["doc_id"]), r["kept"], r["base_failed"]) for r in got) == [
         ("1", True, False), ("2", True, False), ("3", True, False), ("4", False, True), ("5", True, False), ("None", True, False)
     ]
+
+
+def test_faults_that_ordinary_documents_do_not_have_are_rejected(spark):
+    rng = random.Random(4)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n)]
+    rows = [(i, " ".join(words(rng.randint(80, 300)))) for i in range(60)]
+    lines = [" ".join(words(6)) for _ in range(60)]
+    rows += [(100, " | ".join(" ".join(words(2)) for _ in range(60)) + " |")]  # a symbol after every second word
+    rows += [(101, " ".join(f"{w} |" for w in words(100)))]
+    rows += [(102, "\n".join([*(f"{x} {i}" for i, x in enumerate(lines)), *["- -"] * 11]))]
+    rows += [(103, " ".join("".join(words(4)) for _ in range(100)))]  # spaces lost
+    rows += [(200, " ".join([*words(138), *["&"] * 10])), (201, "\n".join([*lines, lines[0]])), (202, " ".join(words(1500)))]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in o.judged(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {100, 101, 102, 103}

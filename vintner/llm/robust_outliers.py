@@ -27,12 +27,16 @@ WINDOW = 5
 LEAST_WORDS = 10
 #: Largest share of repeated words in percent.
 MOST_REPEATED = 20
-#: Transformed counts and the standard deviation below which a difference does not matter.
-FLOORS = {"size": 0.5, "word_size": 0.15, "symbols": 0.12, "lines": 0.6, "repeats": 0.12}
+#: Transformed counts and the standard deviation below which a difference does not matter, so that in a group whose
+#: documents agree exactly the cut (its root is 4.53) falls where the least faults of a short text still pass.
+#: symbols: one in ten words. lines and repeats: one repeated line moves both, so each has half of the cut for two
+#: repeated lines and for a fifth of the words, which the base rules allow. word_size: the mean of 50 words whose
+#: lengths spread by half of it. size: a length is no fault.
+FLOORS = {"size": 0.5, "word_size": 0.07, "symbols": 0.07, "lines": 0.35, "repeats": 0.14}
 #: Mean of the variances of half a normal sample, the half closest to its centre, is this much too small.
 HALF_SPREAD = 1.915
-#: Squared distance that one document in a million of a normal group exceeds, for five counts.
-CUT = 35.89
+#: Squared distance that one document in a thousand of a normal group exceeds: chi-square with five degrees of freedom.
+CUT = 20.515
 STEPS = 12
 #: Groups up to which a table of one row per group and start is broadcast; beyond, it is joined by shuffle.
 FEW_GROUPS = 50_000
@@ -185,12 +189,13 @@ def estimates(rows: DataFrame, group: str) -> DataFrame:
     before = None
     for _ in range(STEPS):
         near = _distance(rows.join(small(present), group))
-        # Every group asks for the same share but for rounding, so a fine grid of quantiles holds it.
-        grid = [0.5 + k / 200 for k in range(101)]
+        # Every group asks for the same share but for rounding, so a fine grid of quantiles holds it: rounded down, a
+        # quantile of up to 1000 rows is the last of the share.
+        grid = [0.5 + k / 1000 for k in range(501)]
         border = near.groupBy(group, "start").agg(
             F.max("share").alias("share"), F.percentile_approx("d2", grid, 10_000).alias("grid")
         )
-        at = F.greatest(F.lit(0), F.ceil((F.col("share") - 0.5) * 200 - 1e-9)).cast("int")
+        at = F.greatest(F.lit(0), F.floor((F.col("share") - 0.5) * 1000 + 1e-9)).cast("int")
         border = stored(border.select(group, "start", "share", F.get("grid", at).alias("border")), "borders")
         close = present.drop("share").join(small(border), [group, "start"])
         close = _distance(rows.join(small(close), group)).filter("d2 <= border")
