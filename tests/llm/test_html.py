@@ -75,3 +75,17 @@ def test_broken_markup_takes_linear_time(page):
     started = time.process_time()
     main_text(page)
     assert time.process_time() - started < 5
+
+
+@pytest.mark.parametrize(
+    "before",
+    ["<svg class='icon' />", "<svg/>", "<math/>", "<select>", "<noscript>", "<noembed>", "<noframes>", "<svg>", "<svg/><svg><text>no</text></svg>"],
+)
+def test_text_after_elements_without_an_end(before):
+    assert main_text(f"{before}<article>{ARTICLE}</article>") == TEXT
+
+
+def test_many_elements_without_an_end_take_linear_time():
+    started = time.process_time()
+    main_text("<svg>" * 50000 + "x")
+    assert time.process_time() - started < 5

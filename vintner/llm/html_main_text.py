@@ -26,11 +26,14 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _WORD = re.compile(r"[a-z]+")
 _OF_OTHERS = re.compile(r"(?:with|has|no|without)[-_]\w+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math select".split())
+#: Of these only the tag is passed over if the page never ends them.
+MAY_STAY_OPEN = frozenset("svg math select noscript noembed noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike"
     " strong sub sup time tt u var wbr ruby rb rt rp img picture source".split()
@@ -78,6 +81,7 @@ class _Tree:
         open_ = [0]
         self._names: dict[str, int] = {}
         at, n = 0, len(page)
+        endless: set[str] = set()  # names without an end tag in the rest of the page
         while at < n:
             found = _TOKEN.search(page, at)
             if found is None:
@@ -99,9 +103,14 @@ class _Tree:
                     self.texts.append((open_[-1], " "))
                 continue
             if name in RAW:
-                end = re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
+                if name in ("svg", "math") and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+                    continue
+                end = None if name in endless else re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
                 if end is None:
-                    break
+                    if name not in MAY_STAY_OPEN:
+                        break
+                    endless.add(name)
+                    continue
                 at = page.find(">", end.end() - 1) + 1 or n
                 continue
             if name == "body":
