@@ -89,3 +89,22 @@ def test_many_elements_without_an_end_take_linear_time():
     started = time.process_time()
     main_text("<svg>" * 50000 + "x")
     assert time.process_time() - started < 5
+
+
+SENTENCES = [f"Part {k}, with some commas, and words enough that it counts as a paragraph of running text, as all of them do." for k in range(6)]
+
+
+@pytest.mark.parametrize("wrappers", [1, 2, 4, 9])
+@pytest.mark.parametrize("longer", [1, 3])
+def test_paragraphs_in_wrappers_of_their_own(wrappers, longer):
+    texts = [SENTENCES[0] * longer, *SENTENCES[1:]]
+    rows = "".join("<div class=row>" * wrappers + f"<p>{t}</p>" + "</div>" * wrappers for t in texts)
+    links = "<div>" + "<a href=x>A link, with words, of other pages</a> " * 9 + "</div>" if wrappers > 1 else ""
+    page = f"<body><div class=menu>{AROUND}</div><div id=content>{rows}{links}</div><div class=footer>{AROUND}</div></body>"
+    assert main_text(page) == " ".join(" ".join(texts).split())
+
+
+def test_text_at_every_level_takes_linear_time():
+    started = time.process_time()
+    main_text("<div>some words, and a comma, of a text that is nested" * 20000)
+    assert time.process_time() - started < 5

@@ -1,9 +1,10 @@
 """The main text of web pages by scoring the containers of the element tree.
 
-Every paragraph earns points for its length and its commas and passes them to its ancestors, less with
+Every paragraph earns points for its length and its commas and passes them to all its ancestors, less with
 each level. A container's points are discounted by the share of its text that is inside links. The best
-container is the article (or the article or main element around it), and those of its siblings are kept
-that score well themselves or are plain paragraphs or headings. Menus, headers, footers, sidebars,
+container is the article (or the article or main element around it, or the ancestor that holds most of
+several good containers), and those of its siblings are kept that score well themselves or are plain
+paragraphs or headings. Menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are left out before any points are given, by element, role
 and the words in class and id.
 """
@@ -69,7 +70,11 @@ _IMPLIED = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "option": ({"option"}, {"select"}),
 }
-_LEVELS = (1.0, 0.5, 1 / 6)
+#: Shares of a paragraph's points for its container, the next two ancestors, and from each to the next beyond.
+_LEVELS, _FURTHER = (1.0, 0.5, 1 / 6), 2 / 3
+#: A container whose own paragraphs have this share of the best one's points is part of the article, and the
+#: article holds this share of the points of all of those.
+GOOD, MOST = 0.25, 0.75
 
 
 class _Tree:
@@ -228,6 +233,7 @@ def main_text(page: str | None) -> str:
         length[parent[i]] += length[i]
         linked[parent[i]] += linked[i]
     points = [0.0] * n
+    own = [0.0] * n  # of paragraphs right in a container
     for b, parts in paragraphs.items():
         words = "".join(parts).strip()
         if not words or tag[b] in HEADINGS:
@@ -237,11 +243,15 @@ def main_text(page: str | None) -> str:
             worth = len(words) / 25
         worth *= 1 - linked[b] / max(length[b], 1)
         to = b if tag[b] in CONTAINERS or not b else parent[b]
-        for share in _LEVELS:
-            points[to] += worth * share
-            if to <= 0:
-                break
-            to = parent[to]
+        own[to] += worth
+    # Sums of the paragraphs one, two and more levels below, the last less with each level.
+    below, deeper, deepest = [0.0] * n, [0.0] * n, [0.0] * n
+    for i in range(n - 1, -1, -1):
+        points[i] = own[i] * _LEVELS[0] + below[i] * _LEVELS[1] + (deeper[i] + deepest[i]) * _LEVELS[2]
+        if i:
+            below[parent[i]] += own[i]
+            deeper[parent[i]] += below[i]
+            deepest[parent[i]] += (deeper[i] + deepest[i]) * _FURTHER
     score = [points[i] * (1 - linked[i] / max(length[i], 1)) for i in range(n)]
     best = max(range(n), key=lambda i: (score[i], -i))
     if not score[best]:
@@ -255,9 +265,19 @@ def main_text(page: str | None) -> str:
             break
         at = parent[at]
     keep = [False] * n
+    top, good = _shared(tree, best, own, linked, length)
+    if top != best:
+        # What lies between the containers goes along, but for lists of links.
+        keep[top] = True
+        for i in range(1, n):
+            if parent[i] == top and not good[i] and 2 * linked[i] >= length[i] > 0 and tag[i] not in INLINE:
+                out[i] = True
+        for i in range(1, n):
+            out[i] |= out[parent[i]]
+        texts = [(i, t) for i, t in texts if not out[i]]
     keep[best] = True
     for i in range(1, n):
-        if parent[i] == parent[best] and i != best and not out[i] and _goes_along(tree, i, best, score, length, linked, paragraphs):
+        if top == best and parent[i] == parent[best] and i != best and not out[i] and _goes_along(tree, i, best, score, length, linked, paragraphs):
             keep[i] = True
     for i in range(1, n):
         keep[i] |= keep[parent[i]]
@@ -271,6 +291,20 @@ def main_text(page: str | None) -> str:
     return " ".join("".join(pieces).split())
 
 
+def _shared(tree: _Tree, best: int, own: list[float], linked: list[int], length: list[int]) -> tuple[int, list[float]]:
+    """The best container or the nearest ancestor with most of the good containers; points of those in each element."""
+    n = len(own)
+    value = [own[i] * (1 - linked[i] / max(length[i], 1)) for i in range(n)]
+    least = GOOD * max(value)
+    good = [x if x >= least else 0.0 for x in value]
+    for i in range(n - 1, 0, -1):
+        good[tree.parent[i]] += good[i]
+    at = best
+    while at > 0 and tree.tag[best] not in ("article", "main") and good[at] < MOST * good[0]:
+        at = tree.parent[at]
+    return at, good
+
+
 def _goes_along(tree: _Tree, i: int, best: int, score, length, linked, paragraphs) -> bool:
     """Whether a sibling of the best container belongs to the article."""
     if tree.tag[best] in ("body", "html") or tree.tag[i] in INLINE:
