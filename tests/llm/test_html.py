@@ -108,3 +108,41 @@ def test_text_at_every_level_takes_linear_time():
     started = time.process_time()
     main_text("<div>some words, and a comma, of a text that is nested" * 20000)
     assert time.process_time() - started < 5
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='discussion'><h2>Discussion</h2><p>{}</p></section>",
+        "<section id='related-work'><h2>Related</h2><p>{}</p></section>",
+        "<section id='advertising-revenue'><p>{}</p></section>",
+        "<div id='social-history'><h2 id='sharing-data'>Data</h2><p>{}</p></div>",
+        "<h2 id='sharing-data'>Data</h2><p class='notice'>{}</p>",
+        "<h3 id='menu-planning'>Menus</h3><p id='legal'>{}</p>",
+    ],
+)
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_words_of_ids_do_not_drop_parts_of_an_article(part, around):
+    part = part.format(SENTENCES[0])
+    want = " ".join(re.sub("<[^>]*>", " ", part).split())
+    assert main_text(f"<{around}><p>{SENTENCES[1]}</p>{part}</{around}>") == f"{SENTENCES[1]} {want}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<div class='share'><a href=x>Here</a> <a href=y>There</a></div>",
+        "<div id='related'><p><a href=x>Another page of this site, with a long title, and more of it</a></p><p><a href=y>And one more, of many words as well</a></p></div>",
+        "<section id='comments-section'><p>{0}</p></section>",
+        "<div class='newsletter-signup'><p>{0}</p></div>",
+        "<p class='advert'>{0}</p>",
+    ],
+)
+def test_what_is_beside_the_article_is_dropped_inside_it_too(part):
+    assert main_text(f"<article><p>{SENTENCES[1]}</p>{part.format(SENTENCES[0])}</article>") == SENTENCES[1]
+
+
+def test_an_article_is_not_dropped_for_a_word_of_its_title():
+    assert main_text(f"<article id='a-reply-to-smith'>{ARTICLE}</article>") == TEXT
+    assert main_text(f"<article>{ARTICLE}</article><section class='comments'><article>{AROUND}</article></section>") == TEXT
+    assert main_text(f"<article>{ARTICLE}</article><article id='comment-12'>{AROUND}</article>") == TEXT

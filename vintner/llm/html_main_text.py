@@ -54,6 +54,15 @@ BESIDE = frozenset(
     " skip hidden copyright legal disclaimer".split()
 )
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+#: Of these, words that titles of sections and names of article parts have as well.
+AMBIGUOUS = frozenset(
+    "related legal sharing share notice notices header widget widgets social discussion respond reply replies"
+    " promotion disclaimer copyright subscription recommended hidden skip banner consent".split()
+)
+#: Words that with those make up an id that names a part of a page and not its subject.
+PARTS = BESIDE | COMMENTS | frozenset("section area list block box wrap wrapper container content inner main top bottom left right".split())
+#: Least characters of running text, and the most of it that may be in links.
+RUNNING, LINKED = 80, 0.3
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr li main menu nav ol p pre section table ul".split()
@@ -82,6 +91,7 @@ class _Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.out, self.soft, self.kind = ["#root"], [-1], [False], [False], [""]
+        self.doubt, self._guarded = [False], [False]  # out unless it has running text; inside an article or main element
         self.texts: list[tuple[int, str]] = []  # element, text (a line break is a space of the element)
         open_ = [0]
         self._names: dict[str, int] = {}
@@ -132,11 +142,13 @@ class _Tree:
 
     def _add(self, parent: int, name: str, attributes: str) -> None:
         out, soft, kind = name in LEFT_OUT, False, ""
+        doubt, guarded, classes, ids = False, self._guarded[parent], "", ""
         if attributes and not attributes.isspace():
             for key, *values in _ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), "".join(values).lower()
                 if key in ("class", "id"):
                     kind += " " + value
+                    classes, ids = (classes + " " + value, ids) if key == "class" else (classes, ids + " " + value)
                 elif key == "role":
                     out |= value.strip() in ROLES
                 elif key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -144,8 +156,19 @@ class _Tree:
                 elif key == "style":
                     out |= "display:none" in value.replace(" ", "")
             words = set(_WORD.findall(_OF_OTHERS.sub("", kind)))
-            out |= bool(words & COMMENTS) and name not in ("html", "body", "main")
-            soft = bool(words & BESIDE) and name not in ("html", "body", "main", "article") and name not in INLINE
+            if name in ("p", "section") or name in HEADINGS or (guarded and name not in ("html", "body", "main", "article")):
+                if name not in INLINE and words & (BESIDE | COMMENTS):
+                    sure = _sure(classes, ids, name == "p" or name in HEADINGS)
+                    soft, doubt = sure, not sure
+                    out |= sure and bool(words & (COMMENTS - AMBIGUOUS))
+            elif name == "article":
+                named = set(_WORD.findall(ids))
+                out |= bool(set(_WORD.findall(classes)) & COMMENTS) or (bool(named & COMMENTS) and named <= PARTS)
+            else:
+                out |= bool(words & COMMENTS) and name not in ("html", "body", "main")
+                soft = bool(words & BESIDE) and name not in ("html", "body", "main") and name not in INLINE
+        self.doubt.append(doubt)
+        self._guarded.append(guarded or (not out and name in ("article", "main")))
         self.tag.append(name)
         self.parent.append(parent)
         self.out.append(out)
@@ -192,6 +215,16 @@ class _Tree:
             self._drop(open_, last)
 
 
+def _sure(classes: str, ids: str, plain: bool) -> bool:
+    """Whether class and id can only mean something beside the article; for plain text whole class tokens must."""
+    marks = (BESIDE | COMMENTS) - AMBIGUOUS
+    for token in _OF_OTHERS.sub("", classes).split():
+        if token in marks or (not plain and marks.intersection(_WORD.findall(token))):
+            return True
+    words = set(_WORD.findall(_OF_OTHERS.sub("", ids)))
+    return not plain and bool(words & marks) and words <= PARTS
+
+
 def main_text(page: str | None) -> str:
     """The main text, its blocks joined by one space; empty if there is none."""
     if not page:
@@ -204,22 +237,31 @@ def main_text(page: str | None) -> str:
     holds, inside, paragraphs_in, away = [False] * n, [0] * n, [0] * n, [False] * n
     for i in range(1, n):
         away[i] = away[parent[i]] or tree.out[i]
+    in_links, link = [0] * n, [False] * n
+    for i in range(1, n):
+        link[i] = link[parent[i]] or tag[i] == "a"
     for i, t in tree.texts:
-        inside[i] += 0 if away[i] else len(t)
+        size = 0 if away[i] else len(t)
+        inside[i] += size
+        in_links[i] += size if link[i] else 0
     for i in range(n - 1, 0, -1):
         holds[i] |= tag[i] in ("article", "main") and not tree.out[i]
         holds[parent[i]] |= holds[i]
         inside[parent[i]] += inside[i]
+        in_links[parent[i]] += in_links[i]
         paragraphs_in[parent[i]] += paragraphs_in[i] + (tag[i] == "p")
     if not holds[0]:
         holds = [2 * x > inside[0] and p > 1 for x, p in zip(inside, paragraphs_in, strict=True)]
     out = [False] * n
-    block, link = [0] * n, [False] * n
+    block = [0] * n
     for i in range(1, n):
         p = parent[i]
         out[i] = out[p] or tree.out[i] or (tree.soft[i] and not holds[i])
+        if tree.doubt[i]:
+            # A heading or paragraph of text stays, however short; other elements need running text.
+            long = tag[i] == "p" or tag[i] in HEADINGS or inside[i] >= RUNNING
+            out[i] |= not long or in_links[i] > LINKED * inside[i]
         block[i] = block[p] if tag[i] in INLINE else i
-        link[i] = link[p] or tag[i] == "a"
     texts = [(i, unescape(t) if "&" in t else t) for i, t in tree.texts if not out[i]]
     length, linked = [0] * n, [0] * n
     paragraphs: dict[int, list[str]] = {}
