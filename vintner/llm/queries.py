@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintner.llm import quality_svm, toxicity_chain
+from vintner.llm import bpe_tree, quality_svm, toxicity_chain
 from vintner.llm.decontamination import contaminated
 from vintner.llm.html_main_text import extract
 from vintner.llm.packing import pack
@@ -83,6 +83,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_tree.with_bytes(bpe_tree.with_ids(table(spark, sf_dir, "documents")))
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_svm": op1_quality_svm,
     "op2_simhash": op2_simhash,
@@ -94,6 +104,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE: dict[str, str] = {
     "op5_warc": """
