@@ -12,9 +12,11 @@ from vintner.llm.packing import pack
 from vintner.llm.robust_outliers import judged
 from vintner.llm.shared import table
 from vintner.llm.simhash_dedup import classes
+from vintner.llm.source_divergence import audit
 from vintner.llm.token_counts import counts_after_edits
 from vintner.llm.training_order import materialise, read_shards
 from vintner.llm.warc import archive_and_read
+from vintner.llm.whitening import whitened
 
 #: Least score of a document that is predicted to be good.
 GOOD = 0.3
@@ -83,6 +85,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact deviation as a long; null where a long cannot hold it."""
+    rows = whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_tree.with_bytes(bpe_tree.with_ids(table(spark, sf_dir, "documents")))
     return encoded.select(
@@ -104,6 +116,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_source_divergence": op12_source_divergence,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE: dict[str, str] = {
@@ -121,4 +135,40 @@ ORACLE: dict[str, str] = {
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM f
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), t AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), v AS (
+            SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), s AS (
+            SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source
+        ), p AS (
+            SELECT s.lang, s.source, kept.term, coalesce(c.n, 0) AS n,
+                   CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.n + 5 * v.v) AS BIGINT) AS p,
+                   CAST(1 + (1000000000::HUGEINT * (kept.n + 5)) // (v.n + 5 * v.v) AS BIGINT) AS q
+            FROM s JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON (c.lang, c.source, c.term) = (s.lang, s.source, kept.term)
+        ), pair AS (
+            SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), every AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair ON (pair.lang, pair.source, pair.item) = (a.lang, a.source, b.source)
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM every
+        )
+        SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+    """,
 }
