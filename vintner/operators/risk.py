@@ -18,8 +18,9 @@ from vintner.config import MIN_BAD_COUNT, RISK_DIMENSIONS
 from vintner.functions.dates import since_local_date
 from vintner.functions.safe import label_missing, ratio
 from vintner.functions.text import card_network, joined, merchant_label, transaction_id, unquoted_id
+from vintner.operators.iceberg import frequent_groups
 from vintner.operators.joins import spread_left_join
-from vintner.sources.storage import cut
+from vintner.sources.storage import cut, written
 
 FRAUD, DISPUTE, SETTLEMENT = "fraud", "dispute", "settlement"
 
@@ -346,14 +347,10 @@ def risk_combinations(
 ) -> DataFrame:
     """Reports for many combinations of dimensions, by default all pairs, those far above the global ratio first.
 
-    Most groups of a large combination fall below the threshold, so they are never built. Events are
-    reduced to distinct dimension tuples and stored; then only tuples with bad events are counted per
-    64-bit group key, and only groups whose key passes the threshold are aggregated in full. Two groups
-    that share a key can only let too much through, and the exact count filters again.
-
-    A combination is a bit mask; exploding masks does what grouping sets do, with generated code whose
-    size does not grow with the number of combinations. Every event lies in one group of each
-    combination, so the global ratio is the same for all.
+    Most groups of a large combination fall below the threshold, so they are never built: events are
+    reduced to distinct dimension tuples and stored, and the lattice of combinations is walked from single
+    dimensions downwards (``iceberg``). A combination is a bit mask, so generated code does not grow with
+    their number. Every event lies in one group of each combination, so the global ratio is the same for all.
     """
     combos = combos or level_combinations(dimensions, 2, 2)
     bit = {d: 1 << i for i, d in enumerate(dimensions)}
@@ -362,28 +359,9 @@ def risk_combinations(
     def used(dimension):
         return F.col("_mask").bitwiseAND(bit[dimension]) != 0
 
-    tuples = cut(events.groupBy(*dimensions).agg(*_bad_and_good()))
+    tuples = written(events.groupBy(*dimensions).agg(*_bad_and_good()), "risk-tuples")
     global_ratio = tuples.agg(ratio(F.sum("fraud_disputes_count"), F.sum("settled_count"))).first()[0]
-
-    masked = {d: F.when(used(d), F.col(d)) for d in dimensions}
-    placed = tuples.withColumn("_mask", F.explode(F.lit(list(name_of)))).withColumn(
-        "_key", F.xxhash64("_mask", *masked.values())
-    )
-    over = F.col("fraud_disputes_count") > min_bad_count
-    passing = cut(
-        placed.filter(F.col("fraud_disputes_count") > 0)
-        .groupBy("_key")
-        .agg(F.sum("fraud_disputes_count").alias("fraud_disputes_count"))
-        .filter(over)
-        .select("_key")
-    )
-    # no hint: Spark broadcasts the stored keys where their measured size allows it
-    counts = (
-        placed.join(passing, "_key", "left_semi").withColumns(masked)
-        .groupBy("_mask", *dimensions)
-        .agg(*[F.sum(n).alias(n) for n in ("fraud_disputes_count", "settled_count")])
-        .filter(over)
-    )
+    counts = frequent_groups(tuples, list(dimensions), list(name_of), "fraud_disputes_count", "settled_count", min_bad_count)
     # label after the aggregate: one string per group, not one per row and combination
     names = F.create_map(*[F.lit(x) for item in name_of.items() for x in item])
     parts = [F.when(used(d), label_missing(F.col(d).cast("string"), d)) for d in dimensions]
