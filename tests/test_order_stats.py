@@ -66,3 +66,40 @@ def test_another_seed_gives_another_split(spark):
         {r["id"] for r in o.holdout(df, o.key_hash(["id"], seed)).filter("_test").collect()} for seed in (1, 2)
     ]
     assert picks[0] != picks[1]
+
+
+def test_exact_whatever_the_sketch_says(spark, monkeypatch):
+    """Sketches of eight numbers and brackets without a margin miss ranks; these are looked for once more."""
+    monkeypatch.setattr(o, "SKETCH", 8)
+    monkeypatch.setattr(o, "MARGIN", 0.0)
+    monkeypatch.setattr(o, "LEAST_STEPS", 500)
+    rows = [(name, v) for name in ("a", "b", None) for v in (rng.random() for _ in range(3000))]
+    df = spark.createDataFrame(rows, "name string, value double").repartition(6)
+    again = []
+    monkeypatch.setattr(o, "_everywhere", lambda edges, real=o._everywhere: again.append(1) or real(edges))
+    ranks = [0, 10, 700, 1500, 2999]
+    found = {(r["name"], r["i"]): r["value"] for r in o.order_statistics(df, lambda n: [F.lit(r) for r in ranks]).collect()}
+    expected = {(name, i): sorted(v for x, v in rows if x == name)[r] for name in ("a", "b", None) for i, r in enumerate(ranks)}
+    assert found == expected and again
+
+
+def test_two_scans_of_the_values(spark):
+    """However many names and ranks there are, the rows are read by the sketches and by the counts, and no more."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"n{i % 40}", float((i * 7919) % 10007)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "name string, value double").repartition(4).mapInArrow(passing, "name string, value double")
+    o.medians_of(df, 100).collect()
+    assert seen.value == 2 * len(rows)
+
+
+def test_ranks_outside_and_many_ranks_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(o, "FEW_RANKS", 3)
+    df = spark.range(1000).selectExpr("'a' AS name", "CAST(id AS DOUBLE) AS value")
+    found = o.order_statistics(df, lambda n: [F.lit(-1), F.lit(0), F.lit(999), F.lit(1000), F.lit(500), F.lit(501)])
+    assert {r["i"]: r["value"] for r in found.collect()} == {1: 0.0, 2: 999.0, 4: 500.0, 5: 501.0}
