@@ -22,8 +22,10 @@ from vintner.llm.shared import stored
 LEAST_DOCS = 30
 SCALE, ADD = 1_000_000_000, 5
 TOP = 50
-#: Sums that a task holds before it hands them on.
-HELD = 200_000
+#: Sums that a task holds before it hands them on (those of one more text at most beyond them).
+HELD = 500_000
+_UNIT = 64
+_REST = (1 << _UNIT) - 1
 
 #: Bytes of UTF-8: A-Z as a-z, other ASCII but letters to a blank, all else as it is.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -52,28 +54,34 @@ def counted(texts: DataFrame) -> DataFrame:
     """(lang, source, term, docs, count) of collapsed texts: documents with the term, and its occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: Counter = Counter()
-        count: Counter = Counter()
+        # Documents and occurrences of a term in a group are one number, so that one addition adds both.
+        sums: dict[tuple[str, str], dict[bytes, int]] = {}
 
         def held() -> pa.RecordBatch:
-            keys = list(docs)
-            columns = [pa.array([k[i] for k in keys], kind) for i, kind in ((0, pa.string()), (1, pa.string()))]
-            columns.append(pa.array([k[2].decode("utf-8", "replace") for k in keys], pa.string()))
-            columns += [pa.array([c[k] for k in keys], pa.int64()) for c in (docs, count)]
-            docs.clear()
-            count.clear()
+            sizes = [len(own) for own in sums.values()]
+            langs, sources = ([g[i] for g, n in zip(sums, sizes, strict=True) for _ in range(n)] for i in (0, 1))
+            words = [t.decode("utf-8", "replace") for own in sums.values() for t in own]
+            both = [v for own in sums.values() for v in own.values()]
+            columns = [pa.array(x, pa.string()) for x in (langs, sources, words)]
+            columns += [pa.array([v >> _UNIT for v in both], pa.int64()), pa.array([v & _REST for v in both], pa.int64())]
+            sums.clear()
             return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "docs", "count"])
 
+        new = 0
         for batch in batches:
             for lang, text, copies in zip(*(batch.column(i) for i in range(3)), strict=True):
-                lang, weights = lang.as_py(), [(c["source"], c["n"]) for c in copies.as_py()]
-                for term, times in Counter(terms(text.as_py())).items():
-                    for source, n in weights:
-                        key = (lang, source, term)
-                        docs[key] += n
-                        count[key] += n * times
-                        if len(docs) >= HELD:
-                            yield held()
+                found = Counter(terms(text.as_py()))
+                for copy in copies.as_py():
+                    own = sums.setdefault((lang.as_py(), copy["source"]), {})
+                    new -= len(own)
+                    one, n = copy["n"] << _UNIT, copy["n"]
+                    get = own.get
+                    for term, times in found.items():
+                        own[term] = get(term, 0) + one + n * times
+                    new += len(own)
+                    if new >= HELD:
+                        yield held()
+                        new = 0
         yield held()
 
     binary = texts.select("lang", F.col("text").cast("binary").alias("text"), "copies")
@@ -168,7 +176,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame
     Other columns are not read; an empty table gives an empty result. Ties are ordered by item in UTF-8.
     """
     kept = stored(kept_terms(counted(collapsed(docs)), least), "kept-terms")
-    groups = groups_of(docs, kept)
+    groups = stored(groups_of(docs, kept), "source-groups")
     rows = with_p(kept, groups)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     pairs = distances(rows, groups).withColumn("rank", F.row_number().over(order))
