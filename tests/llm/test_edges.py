@@ -73,6 +73,26 @@ def test_operators_on_documents(docs, name):
     assert empty.collect() == [] and "doc_id" in empty.columns
 
 
+BLANKS = [" " * 1_000_000, "\n" * 1_000_000, "word " + "\t " * 600_000 + "word", "\r\n" * 500_000 + " x"]
+
+
+def test_long_runs_of_white_space(spark, sf_dir):
+    """Ids are those of the reference library, and every operator on tokens takes such texts whole."""
+    from vintner.llm import tokens
+
+    path = tokens.default_path()
+    for text in BLANKS:
+        assert tokens.encoder(path)(text) == tokens._reference(path)(text)
+    long = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate([*BLANKS, "a b"])], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {i: len(tokens._reference(path)(t)) for i, t in enumerate([*BLANKS, "a b"])}
+    assert {r["doc_id"]: r["n_tokens"] for r in counts_after_edits(long).collect()} == want
+    for rows in (materialise(long, n_shards=2).select("doc_id", "length").collect(), corpus_pipeline.STAGES[4][1](spark, long, sf_dir).collect()):
+        sums = {i: 0 for i in want}
+        for r in rows:
+            sums[r["doc_id"]] += r["length"]
+        assert sums == {i: n + 1 for i, n in want.items()}
+
+
 def test_results_of_the_cases(docs):
     scores = {r["doc_id"]: r["score"] for r in quality(docs).collect()}
     assert set(scores.values()) == {0.5}

@@ -2,7 +2,8 @@
 
 The file is read in the JSON format of the ``tokenizers`` library. Its ids are made with ``tiktoken``,
 which gives the same ids at about a quarter of the time wherever the ids follow the order of the merges
-(checked on loading); for other files ``tokenizers`` itself is used. An added token of the file is
+(checked on loading); for other files, and for texts with a run of white space that ``tiktoken`` cannot
+match, ``tokenizers`` itself is used. An added token of the file is
 matched wherever its string stands in a text, as ``tokenizers`` does; none is put around a text.
 """
 
@@ -61,7 +62,19 @@ def encoder(path: str):
         ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items()}
         special = {content: t["id"] for content, t in added.items()}
         encoding = tiktoken.Encoding(path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special)
-        return lambda text: encoding.encode(text, allowed_special="all")
+
+        def encode(text: str) -> list[int]:
+            try:
+                return encoding.encode(text, allowed_special="all")
+            except ValueError:  # its pattern gives up on runs of white space that are too long for it
+                return _reference(path)(text)
+
+        return encode
+    return _reference(path)
+
+
+@lru_cache(maxsize=2)
+def _reference(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
