@@ -1,12 +1,14 @@
 """Benchmark passages in documents, by SimHash of item-sized windows.
 
-A document is read through windows as long as a benchmark item. Only a window that shares a shingle with
-that item, at the same distance from its begin, can be similar to it, so these are the windows that get a
-weighted SimHash; a document that has none of an item's rarest shingles, which together weigh more than a
-similar window may lack, has no such window, so passages that many items share cost nothing. Fingerprints within the Hamming radius agree to within a quarter of it on one of four
-16-bit blocks: looking up every near value of each block of a window finds all items within the radius.
-Each such item is then compared exactly: the weighted Jaccard similarity of the two multisets of shingles,
-a shingle weighing as much as its characters.
+A document is read through windows as long as a benchmark item, at every place. A window gets a weighted SimHash,
+all of them by running sums over the shingles. Fingerprints within the Hamming radius agree to within a quarter of
+it on one of four 16-bit blocks: looking up every near value of each block of a window finds all
+items within the radius. Each such item is then compared exactly: the weighted Jaccard similarity of the two
+multisets of shingles, a shingle weighing as much as its characters.
+
+Places are left out only where no window can be similar: an item's rarest shingles that together weigh more than
+a similar window may lack are a proof, as a similar window has one of them. So only windows that hold
+such a shingle are fingerprinted, and passages that many items share cost little.
 
 Items are taken in blocks of a bounded number of words, so what the tasks hold does not grow with the
 benchmark; documents are read once per block and never shuffled.
@@ -32,6 +34,8 @@ RADIUS = 19
 BLOCKS = 4
 #: Characters of benchmark text whose index a task holds at a time.
 BLOCK_CHARS = 20_000_000
+#: Windows fingerprinted at once.
+STRETCH = 2048
 MATCHES = "doc_id long, item_id long, window_start long, window_words int, similarity double, hamming int"
 _WIDTH = 64 // BLOCKS
 
@@ -84,9 +88,9 @@ class _Texts:
 class _Postings:
     """Where shingles occur in items; a small bit table turns most others away first."""
 
-    def __init__(self, hashes: np.ndarray, item: np.ndarray, place: np.ndarray):
+    def __init__(self, hashes: np.ndarray, item: np.ndarray):
         rank = np.argsort(hashes, kind="stable")
-        self.known, self.item, self.place = hashes[rank], item[rank], place[rank]
+        self.known, self.item = hashes[rank], item[rank]
         self.seen = np.zeros(1 << 20, dtype=bool)
         self.seen[(hashes & np.uint64(len(self.seen) - 1)).astype(np.int64)] = True
 
@@ -105,23 +109,22 @@ class ItemIndex:
     def __init__(self, item_ids: list[int], texts: list[str], radius: int = RADIUS, similarity: float = SIMILARITY):
         self.radius, self.similarity = radius, similarity
         self.item_ids, self.words, self.sets = [], [], []
-        prints, grams, gram_item, gram_at = [], {}, {}, {}
+        prints, grams, gram_item = [], {}, {}
         for _, _, data, offsets in (x for t in [pa.array(texts, pa.string())] for x in text_slices(t)):
             held = _Texts(data, offsets)
             base = len(self.words)
             self.words += held.counts.tolist()
             for size in range(1, SHINGLE + 1):
-                hashes, weights, text, at = held.shingles(size)
+                hashes, weights, text, _ = held.shingles(size)
                 # Items of at least five words have runs of five, shorter ones are a single run.
                 mine = (held.counts[text] == size) | ((held.counts[text] > size) & (size == SHINGLE))
-                hashes, weights, text, at = hashes[mine], weights[mine], text[mine], at[mine]
+                hashes, weights, text = hashes[mine], weights[mine], text[mine]
                 for k in np.unique(text):
                     own = text == k
                     self.sets.append((base + int(k), _multiset(hashes[own], weights[own].astype(float))))
                     prints.append((base + int(k), weighted_simhash(hashes[own], weights[own].astype(float))))
                 grams.setdefault(size, []).append(hashes)
                 gram_item.setdefault(size, []).append(base + text)
-                gram_at.setdefault(size, []).append(at - held.first[text])
         self.item_ids = list(item_ids)
         self.sets = dict(self.sets)
         order = dict(prints)
@@ -138,9 +141,9 @@ class ItemIndex:
         for size, parts in grams.items():
             hashes = np.concatenate(parts)
             if len(hashes):
-                item, place = np.concatenate(gram_item[size]), np.concatenate(gram_at[size])
+                item = np.concatenate(gram_item[size])
                 rare = self._rare(hashes, item, similarity)
-                self.grams[size] = _Postings(hashes[rare], item[rare], place[rare]), _Postings(hashes, item, place)
+                self.grams[size] = _Postings(hashes[rare], item[rare])
 
     def _rare(self, hashes: np.ndarray, item: np.ndarray, similarity: float) -> np.ndarray:
         """Postings of each item's rarest shingles, as many as weigh over what a similar window may lack."""
@@ -158,59 +161,89 @@ class ItemIndex:
             keep[own] = sofar - mass <= slack
         return keep
 
-    def within(self, fingerprint: int) -> tuple[np.ndarray, np.ndarray]:
-        """(items, distances) of all items within the radius."""
-        found = []
+    def within(self, prints: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """Distance of every fingerprint (row) to every item among these (column), -1 beyond the radius.
+
+        ``among`` has positions in ``known``. The tables find the items: a fingerprint within the radius is near on one block at least.
+        """
+        column = np.full(len(self.known), -1, dtype=np.int64)
+        column[among] = np.arange(len(among))
+        met = np.zeros((len(prints), len(among)), dtype=bool)
         for block, (rank, starts) in enumerate(self.tables):
-            near = ((fingerprint >> (block * _WIDTH)) & (2**_WIDTH - 1)) ^ self.masks
-            near = near[starts[near + 1] > starts[near]]
-            found += [rank[starts[v] : starts[v + 1]] for v in near.tolist()]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.unique(np.concatenate(found))
-        away = np.bitwise_count(self.prints[at] ^ np.uint64(fingerprint)).astype(np.int64)
-        return self.known[at[away <= self.radius]], away[away <= self.radius]
+            values = ((prints >> np.uint64(block * _WIDTH)) & np.uint64(2**_WIDTH - 1)).astype(np.int64)
+            values, row = np.unique(values, return_inverse=True)
+            near = values[:, None] ^ self.masks
+            many = starts[near + 1] - starts[near]
+            value, mask = np.nonzero(many)
+            low, many = starts[near[value, mask]], many[value, mask]
+            post = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found = column[rank[post]]
+            of_value = np.zeros((len(values), len(among)), dtype=bool)
+            of_value[np.repeat(value, many)[found >= 0], found[found >= 0]] = True
+            met |= of_value[row]
+        away = np.bitwise_count(prints[:, None] ^ self.prints[among]).astype(np.int64)
+        return np.where(met & (away <= self.radius), away, -1)
 
     def search(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
         """(text, item, first word, words, similarity, distance): the best window of each text and item.
 
-        A window is compared with the items that it may be aligned with, so a result for an item does
-        not depend on which others share its block.
+        Of equally similar windows the first one. A result for an item does not depend on which others share its block.
         """
         texts = _Texts(data, offsets)
-        for size, (rare, every) in self.grams.items():
+        lengths = np.array(self.words, dtype=np.int64)
+        for size, rare in self.grams.items():
             hashes, weights, text, at = texts.shingles(size)
             hit, post = rare.hits(hashes)
             if not len(hit):
                 continue
-            # Only pairs that share a rare shingle can be similar; those are aligned by all they share.
-            pairs = np.unique(text[hit] * len(self.words) + rare.item[post])
-            near = np.flatnonzero(np.isin(text, pairs // len(self.words)))
-            hit, post = every.hits(hashes[near])
-            source, items = near[hit], every.item[post]
-            known = np.isin(text[source] * len(self.words) + items, pairs)
-            source, items, place = source[known], items[known], every.place[post][known]
-            length = np.array(self.words)[items]
-            doc = text[source]
-            last = texts.first[doc + 1] - length
-            start = np.maximum(np.minimum(at[source] - place, last), texts.first[doc])
-            windows = np.unique(np.stack([doc, start, length, items]), axis=1)
-            best: dict[tuple[int, int], tuple] = {}
-            before, window, away = None, None, {}
-            for k, first, n, i in windows.T.tolist():
-                end = min(first + n, int(texts.first[k + 1]))
-                if (k, first, n) != before:
-                    before = k, first, n
-                    a, z = np.searchsorted(at, first), np.searchsorted(at, end - size, side="right")
-                    own = (hashes[a:z], weights[a:z].astype(float))
-                    window = _multiset(*own)
-                    away = dict(zip(*(x.tolist() for x in self.within(weighted_simhash(*own))), strict=True))
-                if i not in away:
-                    continue
-                score = weighted_jaccard(window, self.sets[i])
-                if score >= self.similarity and score > best.get((k, i), (0, 0, -1.0))[2]:
-                    best[k, i] = (first - int(texts.first[k]), end - first, score, away[i])
-            yield from ((k, i, *found) for (k, i), found in best.items())
+            item, doc = rare.item[post], text[hit]
+            first, n = texts.first[doc], lengths[item]
+            # Every window that holds this shingle; a text shorter than the item is a single window.
+            low = np.maximum(at[hit] + size - n, first)
+            high = np.minimum(at[hit], np.maximum(texts.first[doc + 1] - n, first))
+            order = np.lexsort((low, n, doc))
+            bounds = np.flatnonzero(np.diff(doc[order], prepend=-1, append=-1) | np.diff(n[order], prepend=-1, append=-1))
+            for a, z in zip(bounds, bounds[1:], strict=False):
+                own = order[a:z]
+                k, words = int(doc[own[0]]), int(n[own[0]])
+                among = np.searchsorted(self.known, np.unique(item[own]))
+                best: dict[int, tuple] = {}
+                end = int(texts.first[k + 1])
+                for starts in _merged(low[own], high[own]):
+                    ends = np.minimum(starts + words, end)
+                    begin, stop = np.searchsorted(at, starts), np.searchsorted(at, ends - size, side="right")
+                    away = self.within(rolling_simhash(hashes, weights, begin, stop), among)
+                    for row in np.flatnonzero((away >= 0).any(axis=1)).tolist():
+                        x = slice(int(begin[row]), int(stop[row]))
+                        window = _multiset(hashes[x], weights[x].astype(float))
+                        for column in np.flatnonzero(away[row] >= 0).tolist():
+                            i = int(self.known[among[column]])
+                            score = weighted_jaccard(window, self.sets[i])
+                            if score >= self.similarity and score > best.get(i, (0, 0, -1.0))[2]:
+                                start = int(starts[row])
+                                best[i] = (start - int(texts.first[k]), int(ends[row]) - start, score, int(away[row, column]))
+                yield from ((k, i, *found) for i, found in best.items())
+
+
+def _merged(low: np.ndarray, high: np.ndarray) -> Iterator[np.ndarray]:
+    """All numbers in the ranges low to high, each once, in stretches of at most ``STRETCH``; low is sorted."""
+    until = np.maximum.accumulate(high)
+    low = np.concatenate([low[:1], np.maximum(low[1:], until[:-1] + 1)])
+    for a, z in zip(low.tolist(), until.tolist(), strict=True):
+        for start in range(a, z + 1, STRETCH):
+            yield np.arange(start, min(start + STRETCH, z + 1))
+
+
+def rolling_simhash(hashes: np.ndarray, weights: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """``weighted_simhash`` of every run begin to stop, from running sums of the weights of each bit."""
+    base = int(begin[0])
+    part, weight = hashes[base : int(stop[-1])], weights[base : int(stop[-1])].astype(np.int64)
+    bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    sums = np.zeros((len(part) + 1, 65), dtype=np.int64)
+    np.cumsum(np.concatenate([bits * weight[:, None], weight[:, None]], axis=1), axis=0, out=sums[1:])
+    inside = sums[stop - base] - sums[begin - base]
+    over = inside[:, :64] * 2 > inside[:, 64:]
+    return np.packbits(over, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def contaminated(
