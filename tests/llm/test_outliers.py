@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from vintner.llm import robust_outliers as o
 from vintner.llm.queries import op4_robust_outliers
@@ -101,3 +103,15 @@ def test_faults_that_ordinary_documents_do_not_have_are_rejected(spark):
     got = {r["doc_id"]: r for r in o.judged(docs).collect()}
     assert not any(r["base_failed"] for r in got.values())
     assert {i for i, r in got.items() if not r["kept"]} == {100, 101, 102, 103}
+
+
+def test_a_group_is_judged_alike_alone_and_among_others(spark):
+    """Rounds end per group and start, so other groups change neither estimates nor verdicts."""
+    rng = np.random.default_rng(8)
+    shapes = [(g, *row) for g in range(60) for row in rng.gamma(1.0 + g % 7, 0.5 + g % 3, (12 + g % 40, 5)).tolist()]
+    rows = spark.createDataFrame(shapes, "group_ long, " + ", ".join(f"{c} double" for c in o.FLOORS))
+    together = {r["group_"]: tuple(r) for r in o.estimates(rows, "group_").collect()}
+    assert len(together) == 60
+    for g in (3, 57):
+        alone = o.estimates(rows.filter(F.col("group_") == g), "group_").collect()
+        assert [tuple(r) for r in alone] == [pytest.approx(together[g], rel=1e-9)]

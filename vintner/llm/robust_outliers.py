@@ -37,10 +37,9 @@ FLOORS = {"size": 0.5, "word_size": 0.07, "symbols": 0.07, "lines": 0.35, "repea
 HALF_SPREAD = 1.915
 #: Squared distance that one document in a thousand of a normal group exceeds: chi-square with five degrees of freedom.
 CUT = 20.515
-STEPS = 12
 #: Groups up to which a table of one row per group and start is broadcast; beyond, it is joined by shuffle.
 FEW_GROUPS = 50_000
-#: A determinant that falls by less than this share has settled.
+#: A determinant whose logarithm falls by less than this share of it has settled.
 SETTLED = 1e-6
 _NAMES = list(FLOORS)
 _P = len(_NAMES)
@@ -185,10 +184,13 @@ def estimates(rows: DataFrame, group: str) -> DataFrame:
     small = lambda table: F.broadcast(table) if few else table
     share = F.least(F.lit(1.0), (F.floor((F.col("size_of_group") + _P + 1) / 2)) / F.col("size_of_group"))
     sizes = sizes.withColumn("share", share).select(group, "share")
-    present = stored(_starts(rows, group, small).join(small(sizes), group), "starts")
-    before = None
-    for _ in range(STEPS):
-        near = _distance(rows.join(small(present), group))
+    never = F.lit(float("inf"))  # a start says nothing about determinants of later estimates
+    moving = stored(_starts(rows, group, small).withColumn("log_det", never).join(small(sizes), group), "starts")
+    settled: list[DataFrame] = []
+    # Every determinant that goes on falls by a share of itself, so the rounds end. A group's own rounds do not
+    # depend on other groups.
+    while not moving.isEmpty():
+        near = _distance(rows.join(small(moving), group))
         # Every group asks for the same share but for rounding, so a fine grid of quantiles holds it: rounded down, a
         # quantile of up to 1000 rows is the last of the share.
         grid = [0.5 + k / 1000 for k in range(501)]
@@ -196,15 +198,18 @@ def estimates(rows: DataFrame, group: str) -> DataFrame:
             F.max("share").alias("share"), F.percentile_approx("d2", grid, 10_000).alias("grid")
         )
         at = F.greatest(F.lit(0), F.floor((F.col("share") - 0.5) * 1000 + 1e-9)).cast("int")
-        border = stored(border.select(group, "start", "share", F.get("grid", at).alias("border")), "borders")
-        close = present.drop("share").join(small(border), [group, "start"])
+        border = stored(border.select(group, "start", F.get("grid", at).alias("border")), "borders")
+        close = moving.withColumnRenamed("log_det", "was").join(small(border), [group, "start"])
         close = _distance(rows.join(small(close), group)).filter("d2 <= border")
-        summed = close.groupBy(group, "start", "share").agg(*_moments([F.col(c) for c in _NAMES]))
-        present = stored(_estimates(summed, [group, "start", "share"], HALF_SPREAD), "concentrated")
-        now = present.agg(F.sum("log_det")).first()[0] or 0.0
-        if before is not None and before - now <= SETTLED * max(1.0, abs(now)):
-            break
-        before = now
+        keys = [group, "start", "share", "was"]
+        summed = close.groupBy(*keys).agg(*_moments([F.col(c) for c in _NAMES]))
+        now = stored(_estimates(summed, keys, HALF_SPREAD), "concentrated")
+        falls = F.col("was") - F.col("log_det") > SETTLED * F.greatest(F.lit(1.0), F.abs("log_det"))
+        settled.append(now.filter(~falls).drop("was"))
+        moving = now.filter(falls).drop("was")
+    if not settled:
+        settled = [moving]
+    present = reduce(DataFrame.unionByName, settled)
     best = present.groupBy(group).agg(F.min(F.struct("log_det", "start")).alias("best"))
     best = best.select(group, F.col("best.start").alias("start"))
     fitted = stored(present.join(small(best), [group, "start"]).drop("start", "share", "log_det"), "estimates")
