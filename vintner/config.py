@@ -194,7 +194,7 @@ class TreeParams:
     column_share: float = 0.8
     seed: int = 42
     bins: int = 256
-    partitions: int = 8
+    rows_per_partition: int = 20_000
 
 
 @dataclass(frozen=True)

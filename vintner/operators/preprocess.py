@@ -40,6 +40,7 @@ class Fitted:
     sizes: dict[str, int]  # features per categorical column
     rare: set[str]  # columns whose last feature is the bucket of rare categories
     seen: dict[str, list[bool]]
+    placed: bool = False  # whether rows already carry the places of their categories, see ``with_places``
 
     @property
     def numeric(self) -> list[str]:
@@ -118,11 +119,37 @@ class Fitted:
             # One row tells the encoder the widths; the last place, of unseen values, is dropped: all zeros.
             widths = df.sparkSession.createDataFrame([[float(self.sizes[c]) for c in places.values()]], list(places))
             encoder = OneHotEncoder(inputCols=list(places), outputCols=encoded, dropLast=True).fit(widths)
-            out = encoder.transform(self.with_positions(out, places)).drop(*places)
+            known = out.withColumns({i: F.col(place_column(c)) for i, c in places.items()}) if self.placed else self.with_positions(out, places)
+            out = encoder.transform(known).drop(*places)
         out = VectorAssembler(inputCols=[*numbers, *encoded, *flags], outputCol=output).transform(out)
         return out.drop(*numbers, *encoded, *flags)
 
 
+def place_column(name: str) -> str:
+    return f"_place_of_{name}"
+
+
+@dataclass
+class Categories:
+    """Places of all categories of some rows, learnt once for models over parts of them.
+
+    A category that a part does not train on is a feature that is zero there, so no tree ever asks for it.
+    """
+
+    codes: DataFrame | None
+    sizes: dict[str, int]
+
+    @classmethod
+    def of(cls, rows: DataFrame, columns: list[str]) -> Categories:
+        codes, sizes, _ = encoded_categories(rows, Inputs(categorical=columns, numeric=[]))
+        return cls(codes, sizes)
+
+    def with_places(self, rows: DataFrame) -> DataFrame:
+        """The rows with a place column per categorical column, as ``fit`` and ``transform`` then expect them."""
+        none = Fitted(Inputs([], []), {}, {}, {}, self.codes, self.sizes, set(), {})
+        return none.with_positions(rows, {place_column(c): c for c in self.sizes})
+
+
 def category(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(UNKNOWN))
 
@@ -166,13 +193,16 @@ def numeric_statistics(df: DataFrame, columns: list[str], impute: str):
     if not columns:
         return {}, {}, {}
     rows = long_values(df, columns)
-    known = extents(rows)
+    in_thread = inheritable_thread_target(df.sparkSession)
+    with ThreadPoolExecutor(2) as pool:
+        counted = pool.submit(in_thread(extents), rows)
+        middles = pool.submit(in_thread(lambda: medians_of(rows).collect())) if impute == "median" else None  # one row per column
+        known = counted.result()
+        fill = {r["name"]: r["median"] for r in middles.result()} if middles else {}
     with_values = {c: e for c, e in known.items() if e.n}
-    if impute == "median":
-        fill = {r["name"]: r["median"] for r in medians_of(rows).collect()}  # one row per column
-    elif impute == "mean":
+    if impute == "mean":
         fill = {c: e.mean for c, e in with_values.items()}
-    else:
+    elif impute == "constant":
         fill = {c: 0.0 for c in columns}
     mean, spread = {}, {}
     for c in fill:
@@ -229,18 +259,27 @@ def numbered_rows(df: DataFrame, *order: str) -> DataFrame:
     return both.withColumn("_number", F.col("_start") + in_partition).drop("_p", "_start", "_id")
 
 
-def fit(train: DataFrame, inputs: Inputs) -> Fitted:
-    """Learn all statistics from the training rows; what reaches the driver is as small as the model."""
+def fit(train: DataFrame, inputs: Inputs, categories: Categories | None = None) -> Fitted:
+    """Learn all statistics from the training rows; what reaches the driver is as small as the model.
+
+    With ``categories`` the rows carry their places, and only numbers are learnt; a limit on
+    categories goes by their counts among the training rows, so it excludes this.
+    """
+    if categories is not None and inputs.max_categories is not None:
+        raise ValueError("a limit on categories needs those of the training rows")
     in_thread = inheritable_thread_target(train.sparkSession)
     with ThreadPoolExecutor(2) as pool:
-        labels = pool.submit(in_thread(encoded_categories), train, inputs)
         numbers = pool.submit(in_thread(numeric_statistics), train, inputs.numeric, inputs.impute)
-        (codes, sizes, rare), (fill, mean, spread) = labels.result(), numbers.result()
+        if categories is None:
+            codes, sizes, rare = pool.submit(in_thread(encoded_categories), train, inputs).result()
+        else:
+            codes, sizes, rare = categories.codes, categories.sizes, set()
+        fill, mean, spread = numbers.result()
     seen: dict[str, list[bool]] = {}
     if inputs.boolean:
         row = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in inputs.boolean]).first()
         seen = {c: list(row[c]) for c in inputs.boolean}
-    return Fitted(inputs, fill, mean, spread, codes, sizes, rare, seen)
+    return Fitted(inputs, fill, mean, spread, codes, sizes, rare, seen, categories is not None)
 
 
 def time_series_frame(

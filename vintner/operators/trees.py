@@ -51,20 +51,28 @@ def _fit_target(prepared: DataFrame, target: str, inputs: preprocess.Fitted, par
     return Model(target, trees, spread, inputs)
 
 
+def partitions_for(rows: int, rows_per_partition: int) -> int:
+    """The least power of two that leaves no more rows than asked for in a partition on average."""
+    return 1 << max(0, -(-rows // rows_per_partition) - 1).bit_length()
+
+
 def fit(
     train: DataFrame,
     targets: list[str],
     inputs: preprocess.Inputs,
     params: TreeParams = TreeParams(),
+    categories: preprocess.Categories | None = None,
+    n_rows: int | None = None,
 ) -> tuple[preprocess.Fitted, list[Model]]:
     """One model per target on shared features; the fits run side by side as separate Spark jobs.
 
     Row sampling goes by partition and position, so the rows are dealt by a hash of their values over
-    ``params.partitions`` partitions and sorted there: the model depends on rows, parameters and seed alone,
-    not on the layout they arrive in. Raise the number for a training set that is large for so many tasks.
+    partitions and sorted there: the model depends on rows, parameters and seed alone, not on the layout they
+    arrive in. The number of partitions follows from that of the rows, ``n_rows`` if it is known already.
     """
-    fitted = preprocess.fit(train, inputs)
-    placed = train.withColumn("_order", F.xxhash64(*train.columns)).repartition(params.partitions, "_order")
+    fitted = preprocess.fit(train, inputs, categories)
+    partitions = partitions_for(train.count() if n_rows is None else n_rows, params.rows_per_partition)
+    placed = train.withColumn("_order", F.xxhash64(*train.columns)).repartition(partitions, "_order")
     prepared = fitted.transform(placed).select("_order", "features", *targets)
     prepared = prepared.sortWithinPartitions("_order", *targets).drop("_order").persist()
     try:

@@ -26,7 +26,7 @@ from vintner.operators import cohort_masks as masks
 from vintner.operators import trees
 from vintner.operators.metrics import evaluate
 from vintner.operators.order_stats import holdout, key_hash
-from vintner.operators.preprocess import Inputs
+from vintner.operators.preprocess import Categories, Inputs
 from vintner.plans.cohort_dataset import CohortSources, load_clean_dataset
 from vintner.sources.sinks import append_all
 from vintner.sources.storage import cut
@@ -108,15 +108,21 @@ class CascadeRun:
         return promo.unionByName(regular, allowMissingColumns=True).withColumn("model_id", F.lit(self.model_id))
 
     def _chain(self, start: DataFrame, is_promo: bool) -> DataFrame:
+        """The steps of one chain. No step changes a category, so their places are learnt once."""
         frame = start.filter(F.col(c.IS_PROMO) == is_promo)
+        columns, categories = frame.columns, None
+        if self.settings.max_categories is None:
+            categories = Categories.of(frame, self.level.categories)
+            frame = cut(categories.with_places(frame))
         for step in self.settings.steps:
             if step.applies_to(is_promo):
-                frame = self._step(step, is_promo, frame)
-        return frame
+                frame = self._step(step, is_promo, frame, categories)
+        statuses = [x for x in frame.columns if x not in columns and not x.startswith("_place_of_")]
+        return frame.select(*columns, *statuses)
 
     # --- one step --------------------------------------------------------------------------------
 
-    def _step(self, step: Step, is_promo: bool, frame: DataFrame) -> DataFrame:
+    def _step(self, step: Step, is_promo: bool, frame: DataFrame, categories: Categories | None) -> DataFrame:
         settings = self.settings
         columns = frame.columns
         base = step.base(is_promo)
@@ -138,12 +144,13 @@ class CascadeRun:
         ).first()
         log.info("%s promo=%s: %s", step.name, is_promo, counts.asDict())
         if counts["_null_target"]:
-            self._collect(NULL_VALUES, flagged.filter("_null_target").select(*columns))
+            own = [x for x in columns if not x.startswith("_place_of_")]
+            self._collect(NULL_VALUES, flagged.filter("_null_target").select(*own))
 
         train = flagged.filter("_train")
         message = None
         if settings.evaluate:
-            self._evaluate(step, is_promo, train, inputs, counts["_train"])
+            self._evaluate(step, is_promo, train, inputs, counts["_train"], categories)
 
         trained, wanted = F.col("_train"), F.col("_predict")
         if not counts["_predict"]:
@@ -155,7 +162,7 @@ class CascadeRun:
             result = frame.withColumn(step.status_column, masks.status(F.lit(False), masks.training_mask(step, settings)))
             n_predicted = 0
         else:
-            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees)
+            fitted, models = trees.fit(train, list(step.targets), inputs, settings.trees, categories, counts["_train"])
             yhat = {t: f"_yhat{i}" for i, t in enumerate(step.targets)}
             scored = trees.predict(flagged, fitted, models, yhat)
             bounds = [n + suffix for n in yhat.values() for suffix in ("", "_lower", "_upper")]
@@ -173,7 +180,9 @@ class CascadeRun:
         self._collect(PREDICT_METADATA, self._rows([row], _PREDICT_SCHEMA, step, is_promo))
         return result
 
-    def _evaluate(self, step: Step, is_promo: bool, train: DataFrame, inputs: Inputs, n_train: int) -> None:
+    def _evaluate(
+        self, step: Step, is_promo: bool, train: DataFrame, inputs: Inputs, n_train: int, categories: Categories | None
+    ) -> None:
         """Hold out a tenth of the training rows, fit on the rest, store metrics and importances."""
         if n_train < 2 * MIN_TRAINING_ROWS:
             # too few rows for two parts: recorded without a result
@@ -184,7 +193,7 @@ class CascadeRun:
         order = key_hash(self.level.keys, self.settings.split_seed)
         split = holdout(train, order, self.settings.test_share)
         fit_on, test = split.filter(~F.col("_test")), split.filter("_test")
-        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees)
+        fitted, models = trees.fit(fit_on, list(step.targets), inputs, self.settings.trees, categories)
         scored = trees.predict(test, fitted, models).persist()
         values = self._step_values(step, is_promo, inputs)
         split_rows, importance_rows = [], []
