@@ -5,12 +5,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from checks import oracle as o
 from checks import sample_sources as src
@@ -753,6 +755,124 @@ def cascade_stored_predictions(spark, sf):
     return sinks.read(spark, f"{folder}/BRAND_{cascade_plan.PREDICT_RESULTS}.parquet", merge_schema=True)
 
 
+# fixed values: the numeric inputs of the last promo step in their order, those of promo rows at the end
+O_REGRESSORS = """avg_recurring_days avg_recurring_price gross_adds_canceled_day_one_rate cross_sell_adds_day_one_rate avg_cross_sell_price
+gross_adds_canceled_day_three_rate cross_sell_adds_day_three_rate gross_adds_canceled_day_seven_rate cross_sell_adds_day_seven_rate
+promo_activation_rate_excl_retries first_rebill_rate_excl_retries avg_net_billings_30_days avg_net_billings_60_days avg_net_billings_90_days
+avg_net_billings_180_days avg_net_billings_365_days avg_net_billings_730_days avg_net_billings_1095_days""".split()
+O_PROMO_TERMS = "avg_promo_days avg_promo_price promo_to_recurring_days_ratio promo_to_recurring_price_ratio".split()
+#: Numeric inputs that a step has before the promo terms.
+O_WIDTHS = {1: 5, 2: 7, 3: 9, 4: 10, 5: 11, 6: 12, 7: 13, 8: 14, 9: 15, 10: 16, 11: 17, 12: 18}
+
+
+def _o_records() -> str:
+    parts = []
+    for promo in (True, False):
+        for step in _own_masks(promo):
+            numbers = O_REGRESSORS[: O_WIDTHS[step.number]] + (O_PROMO_TERMS if promo else [])
+            for target in step.targets:
+                parts.append(f"""SELECT {step.number} AS step_number, '{step.name}' AS step_name, '{str(promo).lower()}' AS is_promo,
+'{target}' AS target_col, {str(len(step.targets) > 1).lower()} AS is_multi_target, 'gross_add__type,brand' AS categories,
+'{",".join(numbers)}' AS numbers, n - CASE WHEN n >= 4 THEN CAST(ceil(0.1 * n) AS BIGINT) ELSE 0 END AS training_rows,
+CASE WHEN n >= 4 THEN CAST(ceil(0.1 * n) AS BIGINT) ELSE 0 END AS test_rows, n >= 4 AS evaluated,
+CASE WHEN n >= 2 THEN m ELSE 0 END AS prediction_rows, CASE WHEN m > 0 AND n < 2 THEN n || ' training rows' END AS message,
+CASE WHEN n >= 2 THEN m ELSE 0 END AS predictions, true AS same_id, 'BRAND' AS level_name, 'COMPLETED' AS status
+FROM (SELECT count(*) FILTER (trained) AS n, count(*) FILTER (predicted) AS m
+FROM (SELECT {o_masks(step, promo)} FROM ({o.clean(BRAND)}) WHERE plan__is_promo = {str(promo).lower()}))""")
+    return " UNION ALL ".join(parts)
+
+
+@query("cascade_records", _o_records())
+def cascade_records(spark, sf):
+    """What a stored and evaluated run says about its steps, read back: inputs, row counts, hold-out, predictions, ids, run.
+
+    Steps whose masks depend on what earlier steps predict are left to ``cascade_stored_predictions``.
+    """
+    folder = storage.scratch_path(spark, "cascade")
+    settings = CascadeSettings(min_cohort_size=src.MIN_COHORT_SIZE, trees=SMALL_TREES)
+    cascade_plan.CascadeRun(BRAND, clean(spark, sf), sinks.make_sink("parquet", folder), settings).run()
+    read = lambda name: sinks.read(spark, f"{folder}/{name}.parquet", merge_schema=True)
+    split, steps = read(f"BRAND_{cascade_plan.SPLIT_METADATA}"), read(f"BRAND_{cascade_plan.PREDICT_METADATA}")
+    stored = read(f"BRAND_{cascade_plan.PREDICT_RESULTS}").groupBy("id", "target_col").agg(F.count("*").alias("predictions"))
+    runs = read(cascade_plan.MODEL_METADATA).select(F.col("id").alias("model_id"), "level_name", "status")
+    own_id = cascade_plan.step_id(F.col("model_id"), F.col("step_name"), F.col("partition_item.value"))
+    both = (
+        split.join(steps.select("id", "prediction_rows", "message"), "id")
+        .join(stored, ["id", "target_col"], "left")
+        .join(runs, "model_id")
+    )
+    masked = [(s.name, promo) for promo in (True, False) for s in _own_masks(promo)]
+    known = F.struct("step_name", "partition_item.value").isin([F.struct(F.lit(n), F.lit(p)) for n, p in masked])
+    return both.filter(known).select(
+        "step_number",
+        "step_name",
+        F.col("partition_item.value").cast("string").alias("is_promo"),
+        "target_col",
+        "is_multi_target",
+        F.concat_ws(",", "cat_cols").alias("categories"),
+        F.concat_ws(",", "num_cols").alias("numbers"),
+        "training_rows",
+        "test_rows",
+        (F.col("eval_result.rmse") >= 0).alias("evaluated"),
+        "prediction_rows",
+        "message",
+        F.coalesce("predictions", F.lit(0)).alias("predictions"),
+        (F.col("id") == own_id).alias("same_id"),
+        "level_name",
+        "status",
+    )
+
+
+@query(
+    "cascade_failed_run",
+    f"""SELECT 'BRAND' AS level_name, 'brand' AS level_columns, 'FAILED' AS status, true AS has_reason, true AS in_order,
+(SELECT count(*) FROM ({o.clean(BRAND)})) AS stored_rows""",
+)
+def cascade_failed_run(spark, sf):
+    """A run that fails is recorded with its reason, beside the data it began with."""
+    folder = storage.scratch_path(spark, "failed")
+    data = clean(spark, sf).drop("avg_recurring_price")
+    try:
+        cascade_plan.CascadeRun(BRAND, data, sinks.make_sink("parquet", folder), SETTINGS).run()
+    except AnalysisException:
+        pass
+    run = sinks.read(spark, f"{folder}/{cascade_plan.MODEL_METADATA}.parquet")
+    stored = sinks.read(spark, f"{folder}/BRAND_{cascade_plan.SPINE_DATA}.parquet").agg(F.count("*").alias("stored_rows"))
+    return run.select(
+        "level_name",
+        F.concat_ws(",", "level_group_bys").alias("level_columns"),
+        "status",
+        (F.length("message") > 0).alias("has_reason"),
+        (F.col("created_at") <= F.col("completed_at")).alias("in_order"),
+        F.lit(stored.first()[0]).alias("stored_rows"),
+    )
+
+
+@query(
+    "gbt_importance_of_the_target",
+    f"SELECT '{BILLING_365.targets[0]}' AS target_col, 1 AS rank, 'num__{BILLING_365.targets[0]}' AS feature, 1.0 AS importance",
+)
+def gbt_importance_of_the_target(spark, sf):
+    """One full tree that is given its target and a constant: all gain is that of the target, and the constant has no rank."""
+    target = BILLING_365.targets[0]
+    rows = storage.cut(safe.nan_to_null(clean(spark, sf))).withColumn("constant", F.lit(3.0))
+    inputs = preprocess.Inputs([], ["constant", target])
+    _, models = trees.fit(rows.filter(masks.training_mask(BILLING_365, SETTINGS)), [target], inputs, ONE_TREE)
+    ranked = [(m.target, rank, *x) for m in models for rank, x in enumerate(m.importances()[:10], start=1)]
+    return plain(spark.createDataFrame(ranked, "target_col string, rank int, feature string, importance double"), 9)
+
+
+@query("gbt_default_trees")
+def gbt_default_trees(spark, sf):
+    """The parameters of production: a hundred trees of depth six over 256 bins, with inputs of both partitions."""
+    rows = storage.cut(safe.nan_to_null(clean(spark, sf)))
+    inputs = preprocess.Inputs(BRAND.categories, c.regressors(BILLING_365, False))
+    fitted, models = trees.fit(rows.filter(masks.training_mask(BILLING_365, SETTINGS)), list(BILLING_365.targets), inputs)
+    return trees.predict(rows, fitted, models, {BILLING_365.targets[0]: "yhat"}).select(
+        *BRAND.keys, BILLING_365.targets[0], "yhat", "yhat_lower", "yhat_upper"
+    )
+
+
 # --- series and forecasts ------------------------------------------------------------------------
 
 
@@ -905,6 +1025,42 @@ def forecast_future(spark, sf):
     return plain(rows.select(level("brand"), level("acquisition_sku_bucket"), "ds", F.round("yhat", 4).alias("yhat"), "actuals"))
 
 
+CHAIN = dataclasses.replace(LINEAR, season_scale=float("inf"))
+O_FILTERS = """'{"brand":"' || brand || '","acquisition_sku_bucket":"' || acquisition_sku_bucket || '"'
+|| coalesce(',"acquisition_channel":"' || acquisition_channel || '"', '') || coalesce(',"payment_type":"' || payment_type || '"', '')
+|| coalesce(',"mobile":"' || mobile || '"', '') || '}'"""
+
+
+@query(
+    "ltv_results_table",
+    f"""WITH c AS (SELECT *, {O_FILTERS} AS filters, CAST(date_diff('day', DATE '1970-01-01', acquisition_date) AS DOUBLE) AS d
+FROM ({o.ltv([2, 3, 4, 5])})),
+s AS (SELECT level, filters, max(d) AS last FROM c WHERE filters IS NOT NULL GROUP BY ALL HAVING sum(cohort_size) > 7),
+g AS (SELECT c.*, d <= last - 75 AS old FROM c JOIN s USING (level, filters)),
+one AS (SELECT level, filters, regr_slope(canceled_day_1, d) AS a, regr_intercept(canceled_day_1, d) AS b, count(*) AS n
+FROM g WHERE old GROUP BY ALL),
+r AS (SELECT level, filters, d, canceled_day_1 AS x, canceled_day_1 - a * d - b AS rest, ltv_1mo AS y FROM g JOIN one USING (level, filters) WHERE old),
+two AS (SELECT level, filters, CASE WHEN var_pop(rest) > 1e-12 THEN covar_pop(rest, y) / var_pop(rest) ELSE 0 END AS k FROM r GROUP BY ALL),
+z AS (SELECT level, filters, any_value(k) AS k, regr_slope(y - k * x, d) AS slope, regr_intercept(y - k * x, d) AS base
+FROM r JOIN two USING (level, filters) GROUP BY ALL)
+SELECT strftime(acquisition_date, '%Y-%m-%d') || 'T00:00:00Z' AS acquisition_date, cohort_size, canceled_day_1, ltv_1mo, ltv_3mo, ltv_6mo,
+ltv_12mo, ltv_24mo, CASE WHEN n >= 2 THEN round(base + slope * d + k * (a * d + b), 0) END AS ltv_1mo_predicted, filters, level,
+CASE WHEN n IS NULL OR n < 2 THEN 'canceled_day_1: a series needs two days of history' END AS error
+FROM g LEFT JOIN one USING (level, filters) LEFT JOIN z USING (level, filters)""",
+)
+def ltv_results_table(spark, sf):
+    """All groups of all four prefixes, the second target from the first, stored over an earlier result and read back.
+
+    With the linear model and regressors that are not held back, two nested regressions say the same.
+    """
+    sink = sinks.make_sink("parquet", storage.scratch_path(spark, "ltv"))
+    sink.write("LTV_RESULTS", spark.range(3).withColumnRenamed("id", "old"))
+    ltv_forecast.ltv_forecast(
+        src.customer_billings(spark, sf), ["canceled_day_1", "ltv_1mo"], 7, sink, "LTV_RESULTS", CHAIN
+    )
+    return plain(sinks.read(spark, sink.path("LTV_RESULTS")), 0, ["ltv_1mo_predicted"])
+
+
 # --- sinks and caches ----------------------------------------------------------------------------
 
 

@@ -29,6 +29,7 @@ class SeriesModel:
     changepoint_scale: float = 0.5
     yearly_order: int | None = 10  # None: 10 when the history spans two years, else 0
     weekly_order: int | None = 0  # None: 3 when the history spans two weeks, else 0
+    season_scale: float = 10.0  # usual size of the effects of seasons and regressors; infinite: not held back
     multiplicative: bool = True
     logistic: bool = False
     cap_factor: float = 1.2
@@ -80,7 +81,7 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
     noise = max(z.std(), 0.01 * np.abs(z).mean(), 1e-6) ** 2 * 0.01
     trend, season = parts(days, x)
     trend_penalty = np.r_[1e-12, 1e-12, np.full(n_knots, noise / model.changepoint_scale**2)]
-    season_penalty = np.full(season.shape[1], noise / 10.0**2 + 1e-8)
+    season_penalty = np.full(season.shape[1], noise / model.season_scale**2 + 1e-8)
     both = _ridge(np.hstack([trend, season]), z, np.r_[trend_penalty, season_penalty])
     trend_fit, season_fit = both[: trend.shape[1]], both[trend.shape[1] :]
     if model.multiplicative:
@@ -251,13 +252,15 @@ def target_forecasts(
     return _spread_groups(cohorts, keys).groupBy(*keys).applyInPandas(run, _schema(cohorts, keys, rest))
 
 
-def forecast_groups(cohorts: DataFrame, levels, targets=FORECAST_TARGETS, min_size: int = MIN_GROUP_SIZE) -> DataFrame:
+def forecast_groups(
+    cohorts: DataFrame, levels, targets=FORECAST_TARGETS, min_size: int = MIN_GROUP_SIZE, model: SeriesModel = CASCADE_MODEL
+) -> DataFrame:
     """Cascaded forecast for every group of every prefix, tagged with its filters as JSON.
 
     ``cohorts`` comes from ``ltv_cohorts``. Groups with a missing dimension and groups of at most
     ``min_size`` customers are left out.
     """
-    return cascade_forecast(forecast_input(cohorts, levels, min_size), FORECAST_KEYS, targets)
+    return cascade_forecast(forecast_input(cohorts, levels, min_size), FORECAST_KEYS, targets, model)
 
 
 FORECAST_KEYS = ["level", "filters"]

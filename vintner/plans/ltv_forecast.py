@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vintner.config import FORECAST_TARGETS, LTV_LEVELS, LTV_MONTHS, MIN_GROUP_SIZE
 from vintner.functions.dates import iso_text
-from vintner.operators.forecasting import forecast_groups
+from vintner.operators.forecasting import CASCADE_MODEL, SeriesModel, forecast_groups
 from vintner.operators.ltv import ltv_cohorts
 
 
@@ -17,8 +17,9 @@ def ltv_forecast(
     min_size: int = MIN_GROUP_SIZE,
     sink=None,
     name: str = "LTV_RESULTS",
+    model: SeriesModel = CASCADE_MODEL,
 ) -> DataFrame:
-    forecast = forecast_groups(ltv_cohorts(billings), LTV_LEVELS, targets, min_size)
+    forecast = forecast_groups(ltv_cohorts(billings), LTV_LEVELS, targets, min_size, model)
     if sink is not None:
         sink.write(name, stored_result(forecast), overwrite=True)
     return forecast
