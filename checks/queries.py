@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, SparkRuntimeException
 
 from checks import oracle as o
 from checks import sample_sources as src
@@ -20,7 +20,7 @@ from vintner import config as c
 from vintner.config import CascadeSettings, Level, TreeParams
 from vintner.functions import dates, safe, text
 from vintner.operators import cohort_masks as masks
-from vintner.operators import cohorts, dashboard, forecasting, ltv, metrics, order_stats, preprocess, risk, seasonal, trees
+from vintner.operators import cohorts, dashboard, features, forecasting, ltv, metrics, order_stats, preprocess, risk, seasonal, trees
 from vintner.plans import cascade as cascade_plan
 from vintner.plans import cohort_dataset as dataset_plan
 from vintner.plans import load_store, ltv_forecast, risk_report
@@ -1124,6 +1124,44 @@ def collector_flush(spark, sf):
     return plain(sinks.read(spark, sink.path("spine")))
 
 
+@query(
+    "commit_log_repeated_run",
+    f"""SELECT {o.MONTH} AS cohort_month, plan__is_promo, gross_add__type, brand, gross_adds, runs FROM ({o.spine(BRAND)}),
+(SELECT 2 AS runs)""",
+)
+def commit_log_repeated_run(spark, sf):
+    """A run that dies between two tables and is started again twice, after another run: each row is there once."""
+    sink = sinks.make_sink("log", storage.scratch_path(spark, "log"), spark)
+    first, second = _halves(spark, sf)
+    sinks.append_all({"spine": [first], "runs": [spark.createDataFrame([("first",)], "run string")]}, sink, "first")
+    lost = spark.range(1).select(F.raise_error(F.lit("lost")).cast("string").alias("run"))
+    try:
+        sink.log.append({"spine": second, "runs": lost}, "second")
+    except SparkRuntimeException:
+        pass
+    for _ in range(2):
+        sinks.append_all({"spine": [second], "runs": [spark.createDataFrame([("second",)], "run string")]}, sink, "second")
+    runs = sink.log.read("runs").agg(F.count("*").cast("int").alias("runs")).first()[0]
+    return plain(sink.log.read("spine").withColumn("runs", F.lit(runs)))
+
+
+@query(
+    "registered_view",
+    f"""WITH s AS ({o.spine(BRAND)}) SELECT {O_KEYS}, gross_adds,
+CASE WHEN gross_adds >= 10 AND plan__is_promo IS NOT NULL AND brand IS NOT NULL AND gross_add__type IS NOT NULL AND cohort_month IS NOT NULL
+THEN gross_adds * 2 END AS doubled FROM s""",
+)
+def registered_view(spark, sf):
+    """A view from outside, checked, stored and replaced from its own stored version, then joined to the spine."""
+    spine = storage.cut(cohorts.cohort_spine(src.gross_add_metrics(spark, sf), BRAND, src.AS_OF, src.START, src.EXCLUDED_BRAND))
+    folder = storage.scratch_path(spark, "views")
+    view = features.View("DOUBLED", spine.select(*BRAND.keys, (F.col("gross_adds") * 2).alias("doubled")))
+    held = features.registered(view, BRAND.keys, folder)
+    large = features.View("DOUBLED", held.rows.filter("doubled >= 20"))
+    held = features.registered(large, BRAND.keys, folder, replace_stored=True)
+    return plain(features.dataset(spine.select(*BRAND.keys, "gross_adds"), [held], BRAND.keys))
+
+
 @query("dataset_cache", o.cohort(o.clean(BRAND)))
 def dataset_cache(spark, sf):
     """Second load of a level reads what the first one stored."""

@@ -1,0 +1,81 @@
+"""All tables of a run or none, each run once, whoever dies or races."""
+
+import threading
+
+import pytest
+from pyspark import inheritable_thread_target
+from pyspark.sql import functions as F
+
+from vintner.operators.features import View, registered, store_view
+from vintner.sources.commit_log import CommitLog
+from vintner.sources.sinks import append_all, make_sink
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def ids(df):
+    return sorted(r["n"] for r in df.collect())
+
+
+def test_appends_and_replacements_in_their_order(spark, folder):
+    log = CommitLog(spark, folder)
+    with pytest.raises(LookupError):
+        log.read("a")
+    assert log.append({"a": numbers(spark, 1), "b": numbers(spark, 7)}) and log.append({"a": numbers(spark, 2, 3)})
+    late = numbers(spark, 4).withColumn("note", F.lit("x"))
+    assert log.append({"a": late}) and ids(log.read("a")) == [1, 2, 3, 4] and ids(log.read("b")) == [7]
+    assert log.read("a").filter("note IS NULL").count() == 3
+    log.replace({"a": log.read("a").filter("n > 2").select((F.col("n") * 10).alias("n"))})
+    assert ids(log.read("a")) == [30, 40] and ids(log.read("b")) == [7]
+    assert [m.number for m in log.manifests()] == [0, 1, 2, 3]
+
+
+def test_a_run_that_died_between_two_tables_leaves_nothing_and_is_repeated_once(spark, folder):
+    log = CommitLog(spark, folder)
+    log.append({"a": numbers(spark, 0)}, "earlier")
+    dies = numbers(spark, 9).select(F.raise_error(F.lit("lost")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        log.append({"a": numbers(spark, 1, 2), "b": dies}, "run")
+    assert ids(log.read("a")) == [0] and not log.has("b")
+    for _ in range(2):  # the second time it is there already
+        log.append({"a": numbers(spark, 1, 2), "b": numbers(spark, 5)}, "run")
+        assert ids(log.read("a")) == [0, 1, 2] and ids(log.read("b")) == [5]
+    gone = log.remove_unseen(older_than_hours=-1)
+    assert len(gone) == 2 and ids(log.read("a")) == [0, 1, 2] and log.remove_unseen(-1) == []
+
+
+def test_writers_at_the_same_time_take_different_numbers(spark, folder):
+    def work(i):
+        CommitLog(spark, folder).append({"a": numbers(spark, i)}, f"run{i % 6}")
+
+    threads = [threading.Thread(target=inheritable_thread_target(spark)(work), args=(i,)) for i in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    log = CommitLog(spark, folder)
+    assert [m.number for m in log.manifests()] == list(range(6))
+    assert sorted(m.run_id for m in log.manifests()) == [f"run{i}" for i in range(6)]
+    assert len(ids(log.read("a"))) == 6
+
+
+def test_all_destinations_of_a_collector_are_one_commit(spark, folder):
+    sink = make_sink("log", folder, spark)
+    frames = {"a": [numbers(spark, 1), numbers(spark, 2)], "b": [numbers(spark, 3)], "none": [numbers(spark, 1).limit(0)]}
+    append_all(frames, sink, "run")
+    append_all(frames, sink, "run")
+    (only,) = sink.log.manifests()
+    assert set(only.tables) == {"a", "b"} and ids(sink.log.read("a")) == [1, 2]
+    with pytest.raises(ValueError):
+        make_sink("log", folder)
+
+
+def test_a_view_that_fails_to_be_replaced_stays(spark, folder):
+    view = registered(View("V", numbers(spark, 1, 2)), ["n"], folder)
+    broken = View("V", view.rows.select(F.raise_error(F.lit("lost")).cast("int").alias("n")))
+    with pytest.raises(Exception, match="lost"):
+        store_view(broken, folder, replace_stored=True)
+    assert ids(store_view(view, folder).rows) == [1, 2]
+    with pytest.raises(ValueError, match="more than once"):
+        registered(View("V", numbers(spark, 1, 1)), ["n"], folder, replace_stored=True)
+    assert ids(store_view(view, folder).rows) == [1, 2]

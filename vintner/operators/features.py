@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintner.functions.dates import without_zone
-from vintner.sources.storage import exists
+from vintner.sources.commit_log import CommitLog
 
 
 @dataclass(frozen=True)
@@ -56,18 +56,18 @@ def dataset(spine: DataFrame, views: list[View], keys: list[str]) -> DataFrame:
 def store_view(view: View, folder: str, replace_stored: bool = False) -> View:
     """The view read from ``folder``, written there first unless this version is stored already.
 
-    With ``replace_stored`` it is written beside the old rows and takes their place by a pointer file, so
-    that a view may be made from its own stored version and a failed write changes nothing.
+    With ``replace_stored`` it is written beside the old rows and takes their place by one commit, so that a view may
+    be made from its own stored version, and readers see the old rows until then, also if the write fails.
     """
-    spark = view.rows.sparkSession
-    home = f"{folder}/{view.name}/v{view.version}"
-    current = f"{home}/current"
-    if replace_stored or not exists(spark, f"{current}/_SUCCESS"):
-        data = f"{home}/{uuid.uuid4().hex}"
-        view.rows.write.parquet(data)
-        spark.createDataFrame([(data,)], "path string").coalesce(1).write.mode("overwrite").text(current)
-    path = spark.read.text(current).first()[0]
-    return replace(view, rows=spark.read.parquet(path))
+    log, name = CommitLog(view.rows.sparkSession, f"{folder}/{view.name}"), f"v{view.version}"
+    if replace_stored or not log.has(name):
+        log.replace({name: view.rows})
+    return replace(view, rows=log.read(name))
+
+
+def registered(view: View, keys: list[str], folder: str, replace_stored: bool = False) -> View:
+    """A view from outside: its keys are checked before it is stored."""
+    return store_view(checked(view, keys), folder, replace_stored)
 
 
 def store_dataset(rows: DataFrame, folder: str, name: str) -> DataFrame:

@@ -65,14 +65,15 @@ class CascadeRun:
     """One run over a cleaned cohort dataset at one level."""
 
     def __init__(
-        self, level: Level, dataset: DataFrame, sink=None, settings: CascadeSettings = CascadeSettings()
+        self, level: Level, dataset: DataFrame, sink=None, settings: CascadeSettings = CascadeSettings(), run_id: str | None = None
     ):
+        """``run_id`` names a run that may have to be repeated: into a commit log its results go once."""
         self.level = level
         self.settings = settings
         self.sink = sink
         self.spark = dataset.sparkSession
         self.dataset = dataset
-        self.model_id = str(uuid.uuid4())
+        self.model_id = run_id or str(uuid.uuid4())
         self.created_at = dt.datetime.now(dt.timezone.utc)
         self.outputs: dict[str, list[DataFrame]] = defaultdict(list)
 
@@ -248,7 +249,7 @@ class CascadeRun:
         )
         self.outputs[MODEL_METADATA].append(self.spark.createDataFrame([row], _RUN_SCHEMA))
         if self.sink is not None:
-            append_all(self.outputs, self.sink)
+            append_all(self.outputs, self.sink, self.model_id)
             self.outputs.clear()
 
 
