@@ -9,10 +9,11 @@ import dataclasses
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException, SparkRuntimeException
 
 from checks import oracle as o
 from checks import sample_sources as src
@@ -26,6 +27,8 @@ from vintner.plans import cohort_dataset as dataset_plan
 from vintner.plans import load_store, ltv_forecast, risk_report
 from vintner.sources import cache, sinks, storage
 
+O_KEYS = f"{o.MONTH} AS cohort_month, plan__is_promo, gross_add__type, brand"
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -430,6 +433,25 @@ def time_series_frame(spark, sf):
     return plain(frame, 9, ["num__avg_promo_days"])
 
 
+@query(
+    "time_series_features",
+    f"""WITH d AS ({o.clean(BRAND)}), s AS (SELECT avg(coalesce(avg_promo_days, 0)) AS a, stddev_pop(coalesce(avg_promo_days, 0)) AS s FROM d),
+f AS (SELECT {O_KEYS}, 'num__avg_promo_days' AS feature, {o.rnd("(coalesce(avg_promo_days, 0) - a) / s")} AS value, avg_net_billings_90_days AS y FROM d, s
+UNION ALL SELECT {O_KEYS}, 'cat__gross_add__type_' || coalesce(gross_add__type, 'unknown'), 1.0, avg_net_billings_90_days FROM d
+UNION ALL SELECT {O_KEYS}, 'cat__brand_' || coalesce(brand, 'unknown'), 1.0, avg_net_billings_90_days FROM d)
+SELECT * FROM f WHERE value <> 0""",
+)
+def time_series_features(spark, sf):
+    """The sparse vectors of a series by row, feature and value."""
+    data = storage.cut(clean(spark, sf))
+    fitted = preprocess.fit(data, preprocess.Inputs(BRAND.categories, ["avg_promo_days"], impute="constant"))
+    names = fitted.names_of(list(range(fitted.width)))
+    rows = preprocess.series_vectors(data, fitted, None, "avg_net_billings_90_days", BRAND.keys)
+    keyed = rows.select(*BRAND.keys, F.posexplode(vector_to_array("features")).alias("place", "value"), "y")
+    named = F.create_map(*[F.lit(x) for item in names.items() for x in item])[F.col("place")]
+    return plain(keyed.filter("value <> 0").select(*BRAND.keys, named.alias("feature"), "value", "y"), 9, ["value"])
+
+
 # --- evaluation on a fixed predictor -------------------------------------------------------------
 
 RATE = "gross_adds_canceled_day_three_rate"
@@ -491,7 +513,6 @@ def o_masks(step, promo: bool) -> str:
     return f"{train} AS trained, {predict} AS predicted"
 
 
-O_KEYS = f"{o.MONTH} AS cohort_month, plan__is_promo, gross_add__type, brand"
 
 
 @query(

@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from vintner.operators import preprocess as p
 
@@ -106,3 +107,16 @@ def test_time_series_frame(spark):
     assert frame.columns == ["ds", "num__x", "cat__c_a", "cat__c_b", "y"]
     assert tuple(frame.orderBy("ds").first()) == (dt.datetime(2024, 1, 1), -1.0, 1.0, 0.0, 5.0)
     assert "y" not in p.time_series_frame(df.drop("y"), fitted, "d", "y").columns
+
+
+def test_two_hundred_thousand_categories_are_one_sparse_vector(spark):
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"), F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"), F.current_date().alias("day")
+    )
+    fitted = p.fit(rows, p.Inputs(["c"], ["x"], impute="constant"))
+    vectors = p.series_vectors(rows, fitted, "day", "y", ["c"])
+    assert vectors.columns == ["c", "ds", "features", "y"] and fitted.width == 200_001
+    some = vectors.filter("c IN ('c7', 'c199999')").collect()
+    assert all(r["features"].size == 200_001 and r["features"].numNonzeros() == 2 for r in some)
+    places = {r["c"]: int(r["features"].indices[1]) for r in some}
+    assert fitted.names_of(list(places.values())) == {place: f"cat__c_{c}" for c, place in places.items()}

@@ -282,13 +282,22 @@ def fit(train: DataFrame, inputs: Inputs, categories: Categories | None = None)
     return Fitted(inputs, fill, mean, spread, codes, sizes, rare, seen, categories is not None)
 
 
+def series_vectors(df: DataFrame, fitted: Fitted, timestamp: str | None, target: str, keep: list[str] = ()) -> DataFrame:
+    """``ds``, ``features`` and ``y``: all preprocessed features as one sparse vector, however many categories there are.
+
+    ``keep`` names further columns. Columns that the frame lacks are left out. ``Fitted.names_of`` has the names of places in the vector.
+    """
+    vectors = fitted.transform(df)
+    ds = [F.col(timestamp).cast("timestamp_ntz").alias("ds")] if timestamp in df.columns else []
+    y = [F.col(target).cast("double").alias("y")] if target in df.columns else []
+    return vectors.select(*keep, *ds, "features", *y)
+
+
 def time_series_frame(
     df: DataFrame, fitted: Fitted, timestamp: str | None, target: str
 ) -> DataFrame:
-    """``ds``, one column per preprocessed feature and ``y``, as a time-series model takes them."""
+    """``ds``, one column per preprocessed feature and ``y``; for many categories take ``series_vectors``."""
     array = vector_to_array("features")
-    vectors = fitted.transform(df)
     columns = [array[i].alias(name) for i, name in enumerate(fitted.feature_names)]
-    ds = [F.col(timestamp).cast("timestamp_ntz").alias("ds")] if timestamp in df.columns else []
-    y = [F.col(target).cast("double").alias("y")] if target in df.columns else []
-    return vectors.select(*ds, *columns, *y)
+    vectors = series_vectors(df, fitted, timestamp, target)
+    return vectors.select(*[c for c in ("ds",) if c in vectors.columns], *columns, *[c for c in ("y",) if c in vectors.columns])
