@@ -809,12 +809,13 @@ def cascade_records(spark, sf):
 
     Steps whose masks depend on what earlier steps predict are left to ``cascade_stored_predictions``.
     """
-    folder = storage.scratch_path(spark, "cascade")
+    sink = sinks.make_sink("log", storage.scratch_path(spark, "cascade"), spark)
     settings = CascadeSettings(min_cohort_size=src.MIN_COHORT_SIZE, trees=SMALL_TREES)
-    cascade_plan.CascadeRun(BRAND, clean(spark, sf), sinks.make_sink("parquet", folder), settings).run()
-    read = lambda name: sinks.read(spark, f"{folder}/{name}.parquet", merge_schema=True)
+    cascade_plan.CascadeRun(BRAND, clean(spark, sf), sink, settings).run()
+    read, results = sink.log.read, f"BRAND_{cascade_plan.PREDICT_RESULTS}"
     split, steps = read(f"BRAND_{cascade_plan.SPLIT_METADATA}"), read(f"BRAND_{cascade_plan.PREDICT_METADATA}")
-    stored = read(f"BRAND_{cascade_plan.PREDICT_RESULTS}").groupBy("id", "target_col").agg(F.count("*").alias("predictions"))
+    none = spark.createDataFrame([], "id string, target_col string")  # where no step has a row to predict
+    stored = (read(results) if sink.log.has(results) else none).groupBy("id", "target_col").agg(F.count("*").alias("predictions"))
     runs = read(cascade_plan.MODEL_METADATA).select(F.col("id").alias("model_id"), "level_name", "status")
     own_id = cascade_plan.step_id(F.col("model_id"), F.col("step_name"), F.col("partition_item.value"))
     both = (
@@ -834,7 +835,7 @@ def cascade_records(spark, sf):
         F.concat_ws(",", "num_cols").alias("numbers"),
         "training_rows",
         "test_rows",
-        (F.col("eval_result.rmse") >= 0).alias("evaluated"),
+        F.coalesce(F.col("eval_result.rmse") >= 0, F.lit(False)).alias("evaluated"),
         "prediction_rows",
         "message",
         F.coalesce("predictions", F.lit(0)).alias("predictions"),
@@ -852,7 +853,7 @@ def cascade_records(spark, sf):
 def cascade_failed_run(spark, sf):
     """A run that fails is recorded with its reason, beside the data it began with."""
     folder = storage.scratch_path(spark, "failed")
-    data = clean(spark, sf).drop("avg_recurring_price")
+    data = clean(spark, sf).drop(DAY_3.maturity)
     try:
         cascade_plan.CascadeRun(BRAND, data, sinks.make_sink("parquet", folder), SETTINGS).run()
     except AnalysisException:

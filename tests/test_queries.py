@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
 NEED_MORE = {
     "ltv_group_gate", "null_targets", "predictions_long", "cascade_outcomes", "forecast_future", "gbt_group_mean", "gbt_multi_group_mean",
+    "gbt_importance_of_the_target", "ltv_results_table", "risk_all_combinations",
 }
 
 
