@@ -146,3 +146,36 @@ def test_an_article_is_not_dropped_for_a_word_of_its_title():
     assert main_text(f"<article id='a-reply-to-smith'>{ARTICLE}</article>") == TEXT
     assert main_text(f"<article>{ARTICLE}</article><section class='comments'><article>{AROUND}</article></section>") == TEXT
     assert main_text(f"<article>{ARTICLE}</article><article id='comment-12'>{AROUND}</article>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<span>" * n + "<p></p>" + "<div></div>" * n,
+        lambda n: "<table><tr><td>" + "<i>" * n + "<div>" * n + "<li>" * n,
+        lambda n: "<html>" * n + "<body>" * n,
+        lambda n: "<main>" * n + f"<article></article><div>{ARTICLE}</div>",
+        lambda n: "<svg " + "=" * (6 * n) + '""/>',
+        lambda n: "<i>" * n + "<div>" + "</i>" * n,
+        lambda n: "<dl><dt>" * n + "<dd>" * n,
+        lambda n: "<x-y>" * n + "<p>a" * n,
+        lambda n: """<a "'""" * n,
+    ],
+)
+def test_a_megabyte_of_open_elements_takes_linear_time(page):
+    n = 1000 * 10**6 // len(page(1000))
+    started = time.process_time()
+    main_text(page(n))
+    assert time.process_time() - started < 5
+
+
+@pytest.mark.parametrize("name", ["x-y", "my-term", "unheardof", "output"])
+def test_unknown_elements_do_not_split_words(name):
+    assert main_text(f"<p>ab<{name}>cd</{name}>ef, and more.</p>") == "abcdef, and more."
+    assert main_text(f"<{name}><p>One, two.</p><p>Three, four.</p></{name}>") == "One, two. Three, four."
+
+
+def test_points_alone_find_the_articles_of_the_given_pages(spark):
+    for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", row["html"] or "")
+        assert main_text(plain) == inside_article(row["html"])

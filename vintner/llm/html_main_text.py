@@ -12,6 +12,7 @@ and the words in class and id.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from html import unescape
 
@@ -27,7 +28,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_UNQUOTED = re.compile(r"""=\s*[^\s"'>]*/\Z""")
+#: Of attributes read backwards: the slash at the end belongs to a value without quotes.
+_UNQUOTED = re.compile(r"""/[^\s"'>=]*+\s*+=""")
 _WORD = re.compile(r"[a-z]+")
 _OF_OTHERS = re.compile(r"(?:with|has|no|without)[-_]\w+")
 
@@ -39,6 +41,13 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike"
     " strong sub sup time tt u var wbr ruby rb rt rp img picture source".split()
 )
+#: Elements that begin a block of text; all others, also unknown ones, run on in the text around them.
+BLOCKS = frozenset(
+    "#root address applet article aside audio blockquote body button canvas caption center colgroup datalist dd details"
+    " dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html"
+    " legend li listing main marquee menu nav object ol optgroup option p plaintext pre search section summary table"
+    " tbody td tfoot th thead tr ul video".split()
+)
 LEFT_OUT = frozenset(
     "nav header footer aside form button fieldset menu dialog object applet audio video canvas datalist head".split()
 )
@@ -94,7 +103,12 @@ class _Tree:
         self.doubt, self._guarded = [False], [False]  # out unless it has running text; inside an article or main element
         self.texts: list[tuple[int, str]] = []  # element, text (a line break is a space of the element)
         open_ = [0]
-        self._names: dict[str, int] = {}
+        # Places in ``open_``, so that no walk over the open elements is needed: by name, of blocks, of blocks but
+        # paragraphs, and of all but the page itself.
+        self._places: dict[str, list[int]] = {}
+        self._blocks: list[int] = []
+        self._walls: list[int] = []
+        self._within: list[int] = []
         at, n = 0, len(page)
         endless: set[str] = set()  # names without an end tag in the rest of the page
         while at < n:
@@ -118,7 +132,7 @@ class _Tree:
                     self.texts.append((open_[-1], " "))
                 continue
             if name in RAW:
-                if name in ("svg", "math") and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+                if name in ("svg", "math") and attributes.endswith("/") and not _UNQUOTED.match(attributes[::-1]):
                     continue
                 end = None if name in endless else re.compile(f"</{re.escape(name)}[\\s/>]", re.I).search(page, at)
                 if end is None:
@@ -129,7 +143,7 @@ class _Tree:
                 at = page.find(">", end.end() - 1) + 1 or n
                 continue
             if name == "body":
-                self._drop(open_, next((k for k, i in enumerate(open_) if self.tag[i] not in ("#root", "html")), len(open_)))
+                self._drop(open_, self._within[0] if self._within else len(open_))
             if name in CLOSES_P:
                 self._close_open_p(open_)
             if name in _IMPLIED:
@@ -137,8 +151,7 @@ class _Tree:
                 self._imply(open_, ends, borders)
             self._add(open_[-1], name, attributes)
             if not attributes.endswith("/") or name in CONTAINERS:
-                open_.append(len(self.tag) - 1)
-                self._names[name] = self._names.get(name, 0) + 1
+                self._open(open_, name)
 
     def _add(self, parent: int, name: str, attributes: str) -> None:
         out, soft, kind = name in LEFT_OUT, False, ""
@@ -175,44 +188,44 @@ class _Tree:
         self.soft.append(soft)
         self.kind.append(kind.strip())
 
+    def _open(self, open_: list[int], name: str) -> None:
+        place = len(open_)
+        self._places.setdefault(name, []).append(place)
+        if name in BLOCKS:
+            self._blocks.append(place)
+            if name != "p":
+                self._walls.append(place)
+        if name != "html":
+            self._within.append(place)
+        open_.append(len(self.tag) - 1)
+
     def _drop(self, open_: list[int], k: int) -> None:
         for i in open_[k:]:
-            self._names[self.tag[i]] -= 1
+            self._places[self.tag[i]].pop()
+        for places in (self._blocks, self._walls, self._within):
+            while places and places[-1] >= k:
+                places.pop()
         del open_[k:]
 
     def _close(self, open_: list[int], name: str) -> None:
         """End the innermost open element of this name; an inline one does not end blocks around it."""
-        if not self._names.get(name):
+        places = self._places.get(name)
+        if not places:
+            return
+        if (name == "p" or name not in BLOCKS) and self._walls and self._walls[-1] > places[-1]:
             return
-        for k in range(len(open_) - 1, 0, -1):
-            tag = self.tag[open_[k]]
-            if tag == name:
-                self._drop(open_, k)
-                return
-            if name in INLINE | {"p"} and tag not in INLINE and tag != "p":
-                return
+        self._drop(open_, places[-1])
 
     def _close_open_p(self, open_: list[int]) -> None:
-        for k in range(len(open_) - 1, 0, -1):
-            tag = self.tag[open_[k]]
-            if tag == "p":
-                self._drop(open_, k)
-                return
-            if tag not in INLINE:
-                return
+        if self._blocks and self.tag[open_[self._blocks[-1]]] == "p":
+            self._drop(open_, self._blocks[-1])
 
     def _imply(self, open_: list[int], ends: set[str], borders: set[str]) -> None:
-        last = None
-        if not any(self._names.get(x) for x in ends):
-            return
-        for k in range(len(open_) - 1, 0, -1):
-            tag = self.tag[open_[k]]
-            if tag in borders:
-                break
-            if tag in ends:
-                last = k
-        if last is not None:
-            self._drop(open_, last)
+        """End the outermost of these elements inside the innermost border."""
+        border = max((self._places[x][-1] for x in borders if self._places.get(x)), default=0)
+        first = [p[k] for p in (self._places.get(x, []) for x in ends) if (k := bisect(p, border)) < len(p)]
+        if first:
+            self._drop(open_, min(first))
 
 
 def _sure(classes: str, ids: str, plain: bool) -> bool:
@@ -261,7 +274,7 @@ def main_text(page: str | None) -> str:
             # A heading or paragraph of text stays, however short; other elements need running text.
             long = tag[i] == "p" or tag[i] in HEADINGS or inside[i] >= RUNNING
             out[i] |= not long or in_links[i] > LINKED * inside[i]
-        block[i] = block[p] if tag[i] in INLINE else i
+        block[i] = i if tag[i] in BLOCKS else block[p]
     texts = [(i, unescape(t) if "&" in t else t) for i, t in tree.texts if not out[i]]
     length, linked = [0] * n, [0] * n
     paragraphs: dict[int, list[str]] = {}
@@ -301,8 +314,9 @@ def main_text(page: str | None) -> str:
         if best < 0:
             return ""
     at = best
+    last_article = next((i for i in range(best, 0, -1) if tag[i] == "article"), 0)
     while at > 0:
-        if tag[at] == "article" or (tag[at] == "main" and not any(tag[i] == "article" for i in range(at + 1, best + 1))):
+        if tag[at] == "article" or (tag[at] == "main" and last_article <= at):
             best = at
             break
         at = parent[at]
@@ -365,7 +379,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points of the text) of every row.
 
     A null or empty page, and one without any paragraph, has the empty text. Repeated rows stay; other
-    columns are not read. Broken markup is read as browsers do in the common cases: open paragraphs and
+    columns are not read. Unknown elements do not end a block of text, and reading takes time linear in the page. Broken markup is read as browsers do in the common cases: open paragraphs and
     list items end where the next begins, ends without a begin are passed over.
     """
 
