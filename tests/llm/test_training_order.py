@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from vintner.llm import tokens
-from vintner.llm.training_order import END_ID, STRIDE, feistel, materialise, read_shards
+from vintner.llm.training_order import END_ID, MAX_PIECES, STRIDE, feistel, half_bits, materialise, numbered, permuted, read_shards
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,3 +47,27 @@ def test_repeated_and_missing_ids_have_slots_of_their_own(spark):
     rows = materialise(docs, n_shards=2).collect()
     assert sorted(r["slot"] for r in rows) == [0, 1, 2, 3, 4]
     assert materialise(docs.limit(0), n_shards=2).count() == 0
+
+
+def test_numbers_of_any_width_are_exact():
+    rng = np.random.default_rng(5)
+    for span in (1, 1000, 2**20, 2**41, 2**52, 2**63, 2**64 - 1):
+        domain = (span + 1) * MAX_PIECES
+        known = np.array([0, span, *(int(x) % (span + 1) for x in rng.integers(0, 2**63, 50))], dtype=np.uint64)
+        piece = np.array([MAX_PIECES - 1, MAX_PIECES - 1, *rng.integers(0, MAX_PIECES, 50)], dtype=np.uint64)
+        half = half_bits(domain)
+        left, right = numbered(known, piece, domain)
+        want = [int(k) * MAX_PIECES + int(p) for k, p in zip(known, piece)]
+        assert [(int(a) << half) | int(b) for a, b in zip(left, right)] == want
+        left, right = permuted(left, right, domain)
+        got = [(int(a) << half) | int(b) for a, b in zip(left, right)]
+        assert max(got) < domain and len(set(got)) == len(set(want))
+
+
+def test_ids_from_end_to_end_of_the_range(spark):
+    ids = [-(2**63), 2**63 - 1, 0, -1, 2**52 + 1, -(2**40)]
+    docs = spark.createDataFrame([(i, "some words of a text " * 400) for i in ids], "doc_id long, text string")
+    few = materialise(docs, n_shards=3).select("slot", "doc_id", "piece").orderBy("slot").collect()
+    assert [r["slot"] for r in few] == list(range(len(few))) and {r["doc_id"] for r in few} == set(ids)
+    many = materialise(docs.repartition(4), n_shards=7).select("slot", "doc_id", "piece").orderBy("slot").collect()
+    assert few == many

@@ -1,7 +1,7 @@
 """Token sequences written in training order: a keyed permutation gives every sequence its slot.
 
 A sequence is a piece of at most ``stride`` ids of one document. (document, piece) is a number below
-``n_ids * MAX_PIECES``, and a keyed Feistel network over the next power of four, walked along its cycle
+``n_ids * MAX_PIECES`` (ids may be any 64-bit numbers), and a keyed Feistel network over the next power of four, walked along its cycle
 until the value is below that bound, permutes these numbers. The slot of a sequence is the rank of its
 permuted number among those that exist: it depends on the key and the documents alone, not on the
 number of partitions or shards. Equal parts of the permuted range are the shards, so one shuffle brings
@@ -33,26 +33,56 @@ ROUNDS = 6
 #: A text has at most 2**31 bytes, an id covers at least one, and the end id is one more.
 MAX_PIECES = 2**31 // STRIDE + 1
 END_ID = 2
+#: A permuted number is two columns, as it has more than 63 bits where doc_ids are far apart.
+LOW_BITS = 62
 
 
 def feistel(values: np.ndarray, domain: int, key: int = KEY) -> np.ndarray:
     """A permutation of [0, domain) that the key selects, applied to many numbers at once."""
-    half = max(1, (max(domain - 1, 1).bit_length() + 1) // 2)
+    half = half_bits(domain)
+    values = values.astype(np.uint64)
+    left, right = permuted(values >> np.uint64(half), values & np.uint64((1 << half) - 1), domain, key)
+    return (left << np.uint64(half)) | right
+
+
+def half_bits(domain: int) -> int:
+    """Bits of each half of a number below the next power of four."""
+    return max(1, (max(domain - 1, 1).bit_length() + 1) // 2)
+
+
+def permuted(left: np.ndarray, right: np.ndarray, domain: int, key: int = KEY) -> tuple[np.ndarray, np.ndarray]:
+    """The same permutation for numbers of any width, given and returned as halves of ``half_bits(domain)`` bits."""
+    half = half_bits(domain)
     low = np.uint64((1 << half) - 1)
+    last_left, last_right = np.uint64((domain - 1) >> half), np.uint64((domain - 1) & int(low))
     seeds = mixed(mixed(np.full(ROUNDS, key % 2**64, dtype=np.uint64)) + np.arange(ROUNDS, dtype=np.uint64))
-    out = values.astype(np.uint64, copy=True)
-    todo = np.arange(len(out))
+    left, right = left.copy(), right.copy()
+    todo = np.arange(len(left))
     while len(todo):
-        left, right = out[todo] >> np.uint64(half), out[todo] & low
+        a, b = left[todo], right[todo]
         for seed in seeds:
-            left, right = right, left ^ (mixed(right ^ seed) & low)
-        out[todo] = (left << np.uint64(half)) | right
-        todo = todo[out[todo] >= np.uint64(domain)]
-    return out
+            a, b = b, a ^ (mixed(b ^ seed) & low)
+        left[todo], right[todo] = a, b
+        todo = todo[(a > last_left) | ((a == last_left) & (b > last_right))]
+    return left, right
+
+
+def numbered(known: np.ndarray, piece: np.ndarray, domain: int) -> tuple[np.ndarray, np.ndarray]:
+    """Halves of ``known * MAX_PIECES + piece``, exact although it may need more than 64 bits."""
+    half, word = half_bits(domain), np.uint64(32)
+    pieces, mask = np.uint64(MAX_PIECES), np.uint64(2**32 - 1)
+    low = (known & mask) * pieces + piece
+    high = (known >> word) * pieces + (low >> word)
+    low &= mask
+    if half <= 32:
+        return (high << np.uint64(32 - half)) | (low >> np.uint64(half)), low & np.uint64((1 << half) - 1)
+    beyond = np.uint64(half - 32)
+    return high >> beyond, ((high & np.uint64((1 << (half - 32)) - 1)) << word) | low
 
 
 def _sequences(path: str, stride: int, first_id: int, domain: int, n_shards: int, key: int):
-    width = -(-domain // n_shards)
+    half = half_bits(domain)
+    lefts = np.uint64(((domain - 1) >> half) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = tokens.encoder(path), zstandard.ZstdCompressor(level=1)
@@ -68,25 +98,29 @@ def _sequences(path: str, stride: int, first_id: int, domain: int, n_shards: int
                         piece.append(k // stride)
                         crcs.append(zlib.crc32(body))
                         packed.append(packer.compress(body))
-                known = np.array([first_id if d is None else d for d in doc_ids], dtype=np.int64) - first_id
-                number = known.astype(np.uint64) * np.uint64(MAX_PIECES) + np.array(piece, dtype=np.uint64)
-                place = feistel(number, domain, key)
+                # Differences of 64-bit ids are exact as unsigned numbers, also where the signed ones wrap.
+                known = np.array([first_id if d is None else d for d in doc_ids], dtype=np.int64).view(np.uint64)
+                known = known - np.array([first_id], dtype=np.int64).view(np.uint64)
+                number = numbered(known, np.array(piece, dtype=np.uint64), domain)
+                left, right = permuted(*number, domain, key)
+                place = ((left << np.uint64(half)) | right) & np.uint64(2**LOW_BITS - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((place // np.uint64(width)).astype(np.int32)),
+                        pa.array((left * np.uint64(n_shards) // lefts).astype(np.int32)),
+                        pa.array((left >> np.uint64(LOW_BITS - half)).astype(np.int64)),
                         pa.array(place.astype(np.int64)),
                         pa.array(doc_ids, pa.int64()),
                         pa.array(piece, pa.int32()),
                         pa.array(crcs, pa.int64()),
                         pa.array(packed, pa.binary()),
                     ],
-                    names=["shard", "place", "doc_id", "piece", "ids_crc32", "ids"],
+                    names=["shard", "place_high", "place", "doc_id", "piece", "ids_crc32", "ids"],
                 )
 
     return run
 
 
-SEQUENCES = "shard int, place long, doc_id long, piece int, ids_crc32 long, ids binary"
+SEQUENCES = "shard int, place_high long, place long, doc_id long, piece int, ids_crc32 long, ids binary"
 WRITTEN = "shard int, record long, doc_id long, piece int, length int, ids_crc32 long, path string"
 
 
@@ -150,12 +184,10 @@ def materialise(
     ends = docs.select(F.col("doc_id").cast("long").alias("i")).agg(F.min("i").alias("a"), F.max("i").alias("b")).first()
     first_id = 0 if ends["a"] is None else ends["a"]
     domain = ((first_id if ends["b"] is None else ends["b"]) - first_id + 1) * MAX_PIECES
-    if domain > 2**62:
-        raise ValueError("doc_id covers too wide a range: number the documents first")
     run = _sequences(path, stride, first_id, domain, n_shards, key)
     sequences = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SEQUENCES)
     shards = sequences.repartitionById(n_shards, F.col("shard")).sortWithinPartitions(
-        "place", "doc_id", "piece", "ids_crc32", "ids"
+        "place_high", "place", "doc_id", "piece", "ids_crc32", "ids"
     )
     index = stored(shards.mapInArrow(_writer(folder, stride), WRITTEN), "shard-index")
     # One number per shard.
