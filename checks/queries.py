@@ -1024,6 +1024,25 @@ def group_forecast_linear(spark, sf):
     return plain(both.select("r_name", "ds", F.round("yhat", 2).alias("yhat"), "actuals"))
 
 
+STIFF = dataclasses.replace(LINEAR, changepoints=25, changepoint_scale=1e-9)
+
+
+@query(
+    "forecast_bounds",
+    f"""WITH d AS ({o.MONTHLY}), t AS (SELECT r_name, max(ds) AS last, {O_LINE},
+1.2815515655446004 * sqrt((regr_syy(y, e) - regr_sxy(y, e) ^ 2 / regr_sxx(y, e)) / count(*)) AS w
+FROM (SELECT *, date_diff('day', DATE '1970-01-01', ds) AS e FROM d) GROUP BY r_name),
+k AS (SELECT r_name, ds FROM d UNION ALL SELECT r_name, CAST(last + to_days(CAST(30 * i AS INT)) AS DATE) FROM t, range(1, 13) x(i))
+SELECT r_name, strftime(ds, '%Y-%m-%d') AS ds, round(p, 2) AS yhat, round(p - w, 2) AS yhat_lower, round(p + w, 2) AS yhat_upper
+FROM (SELECT k.r_name, k.ds, w, b + a * date_diff('day', DATE '1970-01-01', k.ds) AS p FROM k JOIN t USING (r_name))""",
+)
+def forecast_bounds(spark, sf):
+    """A trend that may change at 25 times, but at a price that no change is worth, is the regression line, its bounds as well."""
+    forecast = forecasting.group_forecast(src.monthly_series(spark, sf), ["r_name"], horizon=12, step_days=30, model=STIFF)
+    lines = [F.round(n, 2).alias(n) for n in ("yhat", "yhat_lower", "yhat_upper")]
+    return plain(forecast.select("r_name", "ds", *lines))
+
+
 @query(
     "forecast_future",
     f"""WITH c AS ({o.ltv([2])}), g AS (SELECT brand, acquisition_sku_bucket, acquisition_date AS ds, canceled_day_1 AS y, cohort_size FROM c

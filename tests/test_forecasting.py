@@ -124,3 +124,76 @@ def test_forecast_days_bounds_and_actuals_per_target(spark):
     assert by["b", "canceled_day_1"]["known"] == 500 - 75 and all(r["wrong"] == 0 for r in by.values())
     assert [t for b, t in by if b == "young" and by[b, t]["error"]] == ["ltv_3mo"]
     assert ("young", "ltv_6mo") not in by
+
+
+def descended(design, y, squared, absolute, rounds=20000):
+    """The same minimum one coordinate at a time."""
+    gram, moment = design.T @ design, design.T @ y
+    w = np.zeros(design.shape[1])
+    for _ in range(rounds):
+        before = w.copy()
+        for j in range(len(w)):
+            rest = moment[j] - gram[j] @ w + gram[j, j] * w[j]
+            w[j] = np.sign(rest) * max(abs(rest) - absolute[j], 0) / (gram[j, j] + squared[j])
+        if np.abs(w - before).max() <= 1e-13 * np.abs(w).max():
+            break
+    return w
+
+
+@pytest.mark.parametrize("price", [0.01, 0.3, 3.0, 1e4])
+def test_sparse_fit_finds_the_least_objective(price):
+    rng = np.random.default_rng(3)
+    for _ in range(5):
+        design = np.column_stack([np.ones(80), rng.normal(size=(80, 9))])
+        y = design @ np.where(rng.random(10) < 0.4, rng.normal(size=10) * 3, 0) + rng.normal(size=80)
+        squared, absolute = np.full(10, 1e-6), np.r_[0, 0, np.full(8, price)]
+        best = f.objective(design, y, descended(design, y, squared, absolute), squared, absolute)
+        found = f.sparse_fit(design, y, squared, absolute)
+        assert f.objective(design, y, found, squared, absolute) <= best * (1 + 1e-6)
+        assert price < 1e4 or not found[2:].any()
+
+
+def test_a_planted_break_of_the_trend_is_found():
+    days = np.arange(300, dtype=float)
+    t = days / days[-1]
+    knots = np.linspace(0, 0.8, 26)[1:]
+    y = 5 + 2 * t + 9 * np.maximum(t - knots[11], 0) + np.random.default_rng(4).normal(0, 0.05, 300)
+    design = np.column_stack([np.ones(300), t, np.maximum(t[:, None] - knots, 0)])
+    noise = y.std() ** 2 * 0.01
+    w = f.sparse_fit(design, y, np.full(27, 1e-12), np.r_[0, 0, np.full(25, noise / 0.5)])[2:]
+    assert np.count_nonzero(np.abs(w) > 0.5) <= 3 and abs(np.abs(w).argmax() - 11) <= 1
+    assert w.sum() == pytest.approx(9, rel=0.1)
+
+
+@pytest.mark.parametrize("quiet, least", [(True, 0.5), (False, 0.2)])
+def test_bounds_widen_with_distance_and_hold_more_days(quiet, least):
+    """Held-out days of trends that change at random; ``quiet`` ones do not in the last fifth, where no change is sought."""
+    rng, none = np.random.default_rng(6), np.empty((0, 0))
+    model, days = f.SeriesModel(yearly_order=0, multiplicative=False), np.arange(600, dtype=float)
+    inside = {0: [], f.PATHS: []}
+    for _ in range(40):
+        changes = (rng.random(600) < 0.03) & ((days < 360) | (days >= 450) | (not quiet))
+        y = 100 + np.cumsum(np.cumsum(np.where(changes, rng.laplace(0, 0.3, 600), 0))) + rng.normal(0, 2, 600)
+        lines = {n: f.fit_predict(days[:450], y[:450], none.reshape(450, 0), days, none.reshape(600, 0), model, n) for n in inside}
+        width = lines[f.PATHS][2] - lines[f.PATHS][0]
+        assert np.allclose(width[:450], width[0]) and np.all(np.diff(width) >= -1e-9) and width[-1] > width[0]
+        assert np.array_equal(lines[0][0], lines[f.PATHS][0])
+        for paths, held in inside.items():
+            held.append(np.mean((lines[paths][1] <= y)[450:] & (y <= lines[paths][2])[450:]))
+    assert np.mean(inside[f.PATHS]) > max(2 * np.mean(inside[0]), least), {k: np.mean(v) for k, v in inside.items()}
+
+
+def test_bounds_are_the_same_every_time():
+    a, b = (f.spread_ahead(np.linspace(0, 2, 50), np.array([0.5, 0, -0.2]), 0.1) for _ in range(2))
+    assert np.array_equal(a, b) and (a[:25] == a[0]).all() and a[-1] > a[0]
+    assert (f.spread_ahead(np.linspace(0, 2, 50), np.zeros(3), 0.1) == a[0]).all()
+
+
+@pytest.mark.parametrize("multiplicative", [False, True])
+def test_the_unit_of_a_series_does_not_change_its_trend(multiplicative):
+    days = np.arange(400, dtype=float)
+    y = 50 + 0.1 * days + np.maximum(days - 200, 0) + np.random.default_rng(8).normal(0, 3, 400)
+    model, none = f.SeriesModel(yearly_order=0, multiplicative=multiplicative), np.empty((400, 0))
+    one, hundred = (f.fit_predict(days, y * c, none, days + 100, none, model) for c in (1, 100))
+    for a, b in zip(one, hundred):
+        assert np.allclose(a * 100, b, rtol=1e-4)

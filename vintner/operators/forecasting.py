@@ -2,13 +2,16 @@
 
 A series has one row per day, so a group is bounded by the calendar however many raw rows were behind
 it; each group is one ``applyInPandas`` call and the groups are spread by Spark. The model is the
-published additive one: piecewise-linear trend, Fourier seasonality and regressors, fitted by ridge
-least squares.
+published additive one: piecewise-linear trend, Fourier seasonality and regressors. Changes of the trend
+have an absolute penalty, so that few are made; all else is held back by a squared one. Beyond the last
+day trained on, the bounds take in that the trend may change again as often and as much as it did.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -20,6 +23,9 @@ from vintner.operators.ltv import blackout_days, large_groups
 
 YEAR, WEEK = 365.25, 7.0
 MULTIPLICATIVE_ROUNDS = 5
+SPARSE_ROUNDS = 60
+#: Simulated paths of the trend behind the bounds, and where their numbers begin.
+PATHS, SEED = 400, 11
 
 
 @dataclass(frozen=True)
@@ -45,13 +51,80 @@ def _ridge(design: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray
     return np.linalg.solve(design.T @ design + np.diag(penalty), design.T @ y)
 
 
+def objective(design, y, weights, squared, absolute) -> float:
+    """Half the squared error with the penalties of the weights."""
+    return 0.5 * np.sum((y - design @ weights) ** 2) + 0.5 * squared @ weights**2 + absolute @ np.abs(weights)
+
+
+def sparse_fit(design: np.ndarray, y: np.ndarray, squared: np.ndarray, absolute: np.ndarray) -> np.ndarray:
+    """Weights with the least ``objective``: ridge where ``absolute`` is zero, lasso elsewhere.
+
+    |w| is at most w^2 / 2|v| + |v| / 2 for any v and equal at w = v, so each round minimises a squared penalty at
+    the last weights, on the Gram matrix alone; weights that are not worth their penalty go to zero. Then the signs
+    are known, and one solution of linear equations is exact.
+    """
+    gram, moment = design.T @ design + np.diag(squared), design.T @ y
+    lasso = absolute > 0
+    weights = np.linalg.solve(gram + np.diag(absolute), moment)
+    for _ in range(SPARSE_ROUNDS if lasso.any() else 0):
+        root = np.where(lasso, np.sqrt(np.abs(weights)), 1.0)
+        last, weights = weights, root * np.linalg.solve(root[:, None] * gram * root + np.diag(absolute), root * moment)
+        if np.abs(weights - last).max() <= 1e-9 * np.abs(weights).max():
+            break
+    used = ~lasso | (np.abs(weights) > 1e-4 * np.abs(weights).max())
+    exact = np.zeros_like(weights)
+    pull = (absolute * np.sign(weights))[used]
+    exact[used] = np.linalg.solve(gram[np.ix_(used, used)], moment[used] - pull)
+    choices = (exact, weights) if lasso.any() else (exact,)
+    return min(choices, key=lambda w: objective(design, y, w, squared, absolute))
+
+
+def spread_ahead(ahead: np.ndarray, changes: np.ndarray, noise: float, paths: int = PATHS, factor=None) -> np.ndarray:
+    """Half the width of the 80% interval at times ``ahead`` (history ends at 1): future changes of the trend and noise.
+
+    Along each of the seeded paths the slope changes as often as in the history, at any time, by amounts of the
+    average size of ``changes`` (Laplace). The interval holds 80% of the paths and never narrows with distance,
+    but where the trend's part is multiplied by a ``factor`` per time. Without changes it is that of the noise.
+    """
+    width = np.full(len(ahead), Z_80 * noise)
+    size = np.abs(changes).mean() if len(changes) else 0.0
+    late = np.flatnonzero(ahead > 1)
+    if size <= 0 or not len(late) or not paths:
+        return width
+    order = late[np.argsort(ahead[late], kind="stable")]
+    at, rng = ahead[order], np.random.default_rng(SEED)
+    number = rng.poisson(len(changes) * (at[-1] - 1), paths)
+    path = np.repeat(np.arange(paths), number)
+    when = 1 + (at[-1] - 1) * rng.random(len(path))
+    step = rng.laplace(0, size, len(path))
+    # A change counts from the first of the times after it on: sums of changes, and of changes times their time.
+    cell = path * len(at) + np.searchsorted(at, when)
+    slopes, offsets = (
+        np.bincount(cell, w, paths * len(at)).reshape(paths, len(at)).cumsum(axis=1) for w in (step, step * when)
+    )
+    drawn = noise * rng.permutation(_normal_quantiles(paths))
+    off = np.abs((slopes * at - offsets) * (1.0 if factor is None else factor[order]) + drawn[:, None])
+    width[order] = np.maximum(np.quantile(off, 0.8, axis=0), Z_80 * noise)
+    if factor is None:
+        width[order] = np.maximum.accumulate(width[order])
+    return width
+
+
+@lru_cache
+def _normal_quantiles(n: int) -> np.ndarray:
+    return np.array([NormalDist().inv_cdf((k + 0.5) / n) for k in range(n)])
+
+
 def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
     angles = 2 * np.pi * np.outer(days, np.arange(1, order + 1)) / period
     return np.hstack([np.sin(angles), np.cos(angles)])
 
 
-def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
-    """Fit on (days, y, regressors x) and return prediction, lower and upper for the future days."""
+def fit_predict(days, y, x, future_days, future_x, model: SeriesModel, paths: int = PATHS):
+    """Fit on (days, y, regressors x) and return prediction, lower and upper for the future days.
+
+    ``paths`` is the number of simulated trends; with 0 the bounds are those of the noise alone.
+    """
     days, y = np.asarray(days, float), np.asarray(y, float)
     future_days = np.asarray(future_days, float)
     if len(y) < 2 or np.ptp(days) == 0:
@@ -80,23 +153,30 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel):
 
     noise = max(z.std(), 0.01 * np.abs(z).mean(), 1e-6) ** 2 * 0.01
     trend, season = parts(days, x)
-    trend_penalty = np.r_[1e-12, 1e-12, np.full(n_knots, noise / model.changepoint_scale**2)]
+    trend_squared = np.r_[1e-12, 1e-12, np.full(n_knots, 1e-12)]
+    # Changes are measured in the largest value, so that a series in cents gets the trend of the same one in euros.
+    unit = 1.0 if model.logistic else max(np.abs(z).max(), 1e-9)
+    trend_absolute = np.r_[0.0, 0.0, np.full(n_knots, noise / (model.changepoint_scale * unit))]
     season_penalty = np.full(season.shape[1], noise / model.season_scale**2 + 1e-8)
-    both = _ridge(np.hstack([trend, season]), z, np.r_[trend_penalty, season_penalty])
+    both = sparse_fit(
+        np.hstack([trend, season]), z, np.r_[trend_squared, season_penalty], np.r_[trend_absolute, np.zeros(season.shape[1])]
+    )
     trend_fit, season_fit = both[: trend.shape[1]], both[trend.shape[1] :]
     if model.multiplicative:
         # y = trend x (1 + season): each factor in turn, given the other
         for _ in range(MULTIPLICATIVE_ROUNDS):
             level = trend @ trend_fit
             season_fit = _ridge(season * level[:, None], z - level, season_penalty)
-            trend_fit = _ridge(trend * (1 + season @ season_fit)[:, None], z, trend_penalty)
+            trend_fit = sparse_fit(trend * (1 + season @ season_fit)[:, None], z, trend_squared, trend_absolute)
 
     def raw(a, b):
         level, swing = a @ trend_fit, b @ season_fit
         return level * (1 + swing) if model.multiplicative else level + swing
 
-    spread = Z_80 * np.std(z - raw(trend, season))
-    centre_line = raw(*parts(future_days, future_x))
+    future = parts(future_days, future_x)
+    factor = 1 + future[1] @ season_fit if model.multiplicative else None
+    spread = spread_ahead((future_days - start) / span, trend_fit[2:], np.std(z - raw(trend, season)), paths, factor)
+    centre_line = raw(*future)
     lines = centre_line, centre_line - spread, centre_line + spread
     return tuple(cap / (1 + np.exp(-np.clip(v, -50, 50))) for v in lines) if model.logistic else lines
 
@@ -157,7 +237,7 @@ def group_forecast(
     return _spread_groups(daily, keys).groupBy(*keys).applyInPandas(keyed, schema)
 
 
-def _cascade(pdf: pd.DataFrame, targets: list[str], model: SeriesModel, date: str, horizon: int):
+def _cascade(pdf: pd.DataFrame, targets: list[str], model: SeriesModel, date: str, horizon: int, paths: int = PATHS):
     """(target, forecast days, prediction with bounds, days trained on, reason of failure) one after another.
 
     ``pdf`` is one group in the order of its days. The first target is predicted ``horizon`` days ahead; a
@@ -177,7 +257,7 @@ def _cascade(pdf: pd.DataFrame, targets: list[str], model: SeriesModel, date: st
             at = np.concatenate([days, days.max() + np.arange(1, horizon + 1)])
             x, ahead = np.empty((len(days), 0)), np.empty((len(at), 0))
         try:
-            lines = fit_predict(days[trained], actual[target][trained], x[trained], at, ahead, model)
+            lines = fit_predict(days[trained], actual[target][trained], x[trained], at, ahead, model, paths)
         except (ValueError, np.linalg.LinAlgError) as problem:
             yield target, at[:0], (at[:0],) * 3, trained, str(problem)
             return
@@ -204,7 +284,7 @@ def cascade_forecast(
         pdf = pdf.sort_values(date).reset_index(drop=True).assign(error=None)
         for t in targets:
             pdf[f"{t}_predicted"] = np.nan
-        for target, _, (yhat, *_), _, problem in _cascade(pdf.copy(), targets, model, date, 0):
+        for target, _, (yhat, *_), _, problem in _cascade(pdf.copy(), targets, model, date, 0, paths=0):
             if problem is None:
                 pdf[f"{target}_predicted"] = yhat
             else:
