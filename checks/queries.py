@@ -236,6 +236,15 @@ def processor_events(spark, sf):
     return events(spark, sf)
 
 
+@query("processor_events_stored", o.events(with_worldpay=True))
+def processor_events_stored(spark, sf):
+    """The history stored bucketed by both ids and opened again, as each later report would."""
+    sources, name = src.risk_sources(spark, sf, with_worldpay=True), f"vintner_{uuid.uuid4().hex}"
+    risk.store_transactions(sources.transactions, name)
+    sources = dataclasses.replace(sources, transactions=risk.open_transactions(spark, name))
+    return risk_report.processor_events(sources, risk.ReportWindow(src.RISK_START), **EXCLUSIONS)
+
+
 @query("processor_events_union", o.events(with_worldpay=True))
 def processor_events_union(spark, sf):
     return events(spark, sf, with_worldpay=True)

@@ -1,8 +1,9 @@
 import random
+import uuid
 
 from pyspark.sql import functions as F
 
-from vintner.operators.joins import hot_keys, spread_left_join
+from vintner.operators.joins import hot_keys, open_side, spread_left_join, store_side
 
 rng = random.Random(7)
 RIGHT = [("hot" if i % 3 == 0 else f"k{i % 40}", i, "same" if i % 2 else None) for i in range(600)] + [(None, -1, "x")] * 5
@@ -60,3 +61,20 @@ def test_hot_rows_land_in_many_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(r[1] for r in placed) == 2000
     assert len(placed) > 1
+
+
+def test_join_with_a_stored_side_equals_a_plain_left_join(spark):
+    left, right = frames(spark)
+    for salts, share, buckets in ((5, 10, 3), (64, 10, None), (5, 1, 8)):
+        name = f"side_{uuid.uuid4().hex}"
+        store_side(right, "k", name, buckets, salts=salts, share=share)
+        joined = spread_left_join(left, open_side(spark, "k", name, salts), "k")
+        assert joined.columns == ["k", "l", "r", "note"]
+        assert sorted(map(tuple, joined.collect()), key=str) == expected()
+
+
+def test_hot_rows_are_stored_in_many_buckets(spark):
+    right = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").alias("r"))
+    stored = store_side(right, "k", f"side_{uuid.uuid4().hex}", 4, salts=16)
+    assert len({f.rsplit("_", 1)[1] for f in stored.rows.inputFiles()}) > 1
+    assert [r["k"] for r in stored.hot.collect()] == ["hot"]

@@ -1,8 +1,10 @@
 import dataclasses
 import datetime as dt
+import uuid
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import queries as q
 from checks import sample_sources as src
@@ -206,3 +208,57 @@ def test_zone_filter_reaches_the_scan(spark):
     )
     plan_text = frame._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan_text
+
+
+def lines_above_scans(plan, table):
+    """For every scan of the table, the nodes between it and the next join above it."""
+    lines = [(len(x) - len(x.lstrip(" :+-")), x.lstrip(" :+-")) for x in plan.splitlines()]
+    for k, (depth, line) in enumerate(lines):
+        if "Scan" in line and table in line:
+            above = []
+            for d, x in reversed(lines[:k]):
+                if d < depth:
+                    above.append(x)
+                    depth = d
+                    if "SortMergeJoin" in x or "ShuffledHashJoin" in x:
+                        break
+            yield above
+
+
+def test_a_stored_history_is_not_shuffled(spark):
+    name = f"history_{uuid.uuid4().hex}"
+    many = [tx(i, f"p{i}") for i in range(300)] + [tx(1000 + i, "hot") for i in range(300)] + [tx(5000)]
+    disputes = [(f"TXN_{i}", "Chargeback", "m", "mc", DAY, False) for i in (3, 7, 5000, 9999)] + [("bad", "Chargeback", "m", "mc", DAY, False)]
+    fraud = [("p5", "m", "Visa", DAY), ("hot", "m", "Visa", DAY), ("none", "m", "Visa", DAY)]
+    found = sources(spark, many, disputes, fraud)
+    risk.store_transactions(found.transactions, name, 4)
+    stored = dataclasses.replace(found, transactions=risk.open_transactions(spark, name))
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    want = key(run(found).collect())
+    assert len([r for r in want if "hot" in r]) == 300
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = run(stored)
+        assert key(events.collect()) == want
+        plan_text = run(stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for table in ("by_id", "by_processor_id"):
+        (above,) = lines_above_scans(plan_text, f"{name}_{table}[")
+        assert above and "Join" in above[-1] and not any("Exchange" in x for x in above), above
+
+
+def test_a_report_over_a_stored_history_is_cached_until_it_changes(spark, folder):
+    name = f"history_{uuid.uuid4().hex}"
+    found = sources(spark, [tx(7), tx(8, brand="c")], [("7", "Chargeback", "m", "mc", DAY, False)] * 2)
+    as_of = dt.date(2024, 8, 2)
+
+    def brands():
+        stored = dataclasses.replace(found, transactions=risk.open_transactions(spark, name))
+        report = plan.risk_report(stored, as_of, 0, folder)
+        return {r["value"] for r in report.filter("level = 'BRAND_SLUG'").select(F.col("value")).collect()}
+
+    risk.store_transactions(found.transactions, name, 2)
+    assert brands() == brands() == {"b"}
+    risk.store_transactions(found.transactions.withColumn("brand_slug", F.lit("other")), name, 2)
+    assert brands() == {"other"}

@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintner.config import MIN_BAD_COUNT, RISK_DIMENSIONS
@@ -19,7 +19,7 @@ from vintner.functions.dates import since_local_date
 from vintner.functions.safe import label_missing, ratio
 from vintner.functions.text import card_network, joined, merchant_label, transaction_id, unquoted_id
 from vintner.operators.iceberg import frequent_groups
-from vintner.operators.joins import spread_left_join
+from vintner.operators.joins import StoredSide, open_side, spread_left_join, store_side
 from vintner.sources.storage import cut, written
 
 FRAUD, DISPUTE, SETTLEMENT = "fraud", "dispute", "settlement"
@@ -176,6 +176,38 @@ def transaction_columns(transactions: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class StoredTransactions:
+    """The history bucketed by both ids it is looked up by, so that reports are shuffled and the history is not."""
+
+    by_id: StoredSide
+    by_processor_id: StoredSide
+
+
+def _by_id(transactions: DataFrame) -> DataFrame:
+    attributes = transaction_columns(transactions).withColumnRenamed("id", "txn_id")
+    return attributes.drop("payment_processor_id", "payment_option_id")
+
+
+def _by_processor_id(transactions: DataFrame) -> DataFrame:
+    return transaction_columns(transactions).withColumnsRenamed({"payment_processor_id": "ref_txn_id", "id": "txn_id"})
+
+
+def store_transactions(transactions: DataFrame, table: str, buckets: int | None = None) -> StoredTransactions:
+    """Write the two bucketed tables ``<table>_by_id`` and ``<table>_by_processor_id``; earlier ones are replaced."""
+    return StoredTransactions(
+        store_side(_by_id(transactions), "txn_id", f"{table}_by_id", buckets, unique=True),
+        store_side(_by_processor_id(transactions), "ref_txn_id", f"{table}_by_processor_id", buckets, ["txn_id"]),
+    )
+
+
+def open_transactions(spark: SparkSession, table: str) -> StoredTransactions:
+    """The tables that ``store_transactions`` wrote under this name."""
+    return StoredTransactions(
+        open_side(spark, "txn_id", f"{table}_by_id"), open_side(spark, "ref_txn_id", f"{table}_by_processor_id")
+    )
+
+
 def with_dimensions(
     rows: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame | None = None
 ) -> DataFrame:
@@ -199,7 +231,11 @@ def with_dimensions(
 
 
 def events_by_reference(
-    events: DataFrame, transactions: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame
+    events: DataFrame,
+    transactions: DataFrame | StoredTransactions,
+    traffic_sources: DataFrame,
+    plans: DataFrame,
+    payment_options: DataFrame,
 ) -> DataFrame:
     """Attach transactions by the numeric id inside the reference; an unreadable id counts 0.
 
@@ -207,14 +243,18 @@ def events_by_reference(
     the same as a distinct count.
     """
     keyed = events.withColumn("txn_id", transaction_id(F.col("ref_txn_id")))
-    attributes = transaction_columns(transactions).withColumnRenamed("id", "txn_id")
-    met = spread_left_join(keyed, attributes.drop("payment_processor_id", "payment_option_id"), "txn_id", unique=True)
+    history = transactions.by_id if isinstance(transactions, StoredTransactions) else _by_id(transactions)
+    met = spread_left_join(keyed, history, "txn_id", unique=True)
     count = F.when(F.col("txn_id").isNull(), 0).otherwise(1).cast("bigint").alias("count")
     return with_dimensions(met, traffic_sources, plans).select(*EVENT_COLUMNS[:-1], count).distinct()
 
 
 def events_by_processor_id(
-    events: DataFrame, transactions: DataFrame, traffic_sources: DataFrame, plans: DataFrame, payment_options: DataFrame
+    events: DataFrame,
+    transactions: DataFrame | StoredTransactions,
+    traffic_sources: DataFrame,
+    plans: DataFrame,
+    payment_options: DataFrame,
 ) -> DataFrame:
     """Attach transactions by the processor's own id. One id may belong to several transactions.
 
@@ -229,14 +269,15 @@ def events_by_processor_id(
             else F.col("ref_txn_id").isNotNull().cast("bigint"),
         }
     )
-    attributes = transaction_columns(transactions).withColumnsRenamed({"payment_processor_id": "ref_txn_id", "id": "txn_id"})
     derived = {
         "card_network": F.when(F.col("type") == SETTLEMENT, F.col("option_card_network")).otherwise(F.col("card_network")),
         "sku_type_slug": F.when(F.col("_sells_sku"), F.col("sku_type_slug")),
     }
-    met = spread_left_join(
-        events, attributes, "ref_txn_id", keys_of=attributes.select("ref_txn_id"), slice_by=["txn_id"]
-    )
+    if isinstance(transactions, StoredTransactions):
+        met = spread_left_join(events, transactions.by_processor_id, "ref_txn_id")
+    else:
+        history = _by_processor_id(transactions)
+        met = spread_left_join(events, history, "ref_txn_id", keys_of=history.select("ref_txn_id"), slice_by=["txn_id"])
     full = with_dimensions(met, traffic_sources, plans, payment_options)
     return full.select(*(derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS)).distinct()
 

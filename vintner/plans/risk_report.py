@@ -17,7 +17,7 @@ from vintner.sources.cache import load_through
 
 @dataclass(frozen=True)
 class RiskSources:
-    transactions: DataFrame
+    transactions: DataFrame | risk.StoredTransactions
     traffic_sources: DataFrame
     plans: DataFrame
     payment_options: DataFrame
@@ -32,7 +32,7 @@ class RiskSources:
 def processor_events(
     sources: RiskSources, window: risk.ReportWindow, excluded_adyen=None, excluded_braintree=None, excluded_worldpay=None
 ) -> DataFrame:
-    """All reports as one frame of events. Transactions are shuffled once per join key, dimensions meet only events."""
+    """All reports as one frame of events. Transactions are shuffled once per join key, stored ones not at all; dimensions meet only events."""
     tables = sources.transactions, sources.traffic_sources, sources.plans, sources.payment_options
     by_reference = [
         normalise(report, window, excluded_adyen)
@@ -79,14 +79,16 @@ def risk_report(
 ) -> DataFrame:
     """Report over the last six months; events are cached by start date, sources and exclusions when a folder is given."""
     start = months_back(as_of, 6)
-    spark = sources.transactions.sparkSession
+    spark = sources.plans.sparkSession
+    history, *reports = vars(sources).values()
+    tables = [history.by_id.rows, history.by_processor_id.rows] if isinstance(history, risk.StoredTransactions) else [history]
     events = load_through(
         spark,
         cache_folder,
         start.isoformat(),
         lambda: processor_events(sources, risk.ReportWindow(start), **exclusions),
         enabled=cache_folder is not None,
-        sources=list(vars(sources).values()),
+        sources=[*tables, *reports],
         **exclusions,
     )
     report = risk.risk_all_levels(events, min_bad_count=min_bad_count)
