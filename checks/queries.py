@@ -1239,6 +1239,16 @@ def dataset_cache_two_dates(spark, sf):
     return plain(rows)
 
 
+@query("spine_maintained", o.cohort(o.spine(BRAND)))
+def spine_maintained(spark, sf):
+    """Sums per day kept from two earlier dates, when later rows were not there yet."""
+    folder, gross = storage.scratch_path(spark, "days"), src.gross_add_metrics(spark, sf)
+    for as_of in (dt.date(1996, 9, 1), dt.date(1997, 11, 15), src.AS_OF):
+        known = gross.filter(F.col("gross_add__created__day") <= F.lit(as_of)) if as_of < src.AS_OF else gross
+        spine = dataset_plan.maintained_spine(known, BRAND, as_of, src.START, src.EXCLUDED_BRAND, folder=folder)
+    return plain(spine)
+
+
 @query("load_and_store", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def load_and_store(spark, sf):
     sink = sinks.make_sink("parquet", storage.scratch_path(spark, "raw"))

@@ -24,6 +24,7 @@ _WEIGHTED = {
     "avg_recurring_price": "plan__recurring_price",
 }
 _ENTITY = "gross_add__"
+DAY = "gross_add__created__day"
 
 
 def _weight_sum(name: str) -> str:
@@ -42,30 +43,46 @@ def spine_sums(
     excluded_brand: str | None = None,
 ) -> DataFrame:
     """The additive part of the spine: one row per cohort month, promo flag, type and level prefix."""
-    rows = gross_adds.filter(F.col("gross_add__created__day") >= F.lit(start))
-    if excluded_brand is not None:
-        rows = rows.filter(F.col("brand") != excluded_brand)
-    rows = rows.withColumns(
-        {
-            "campaign": F.coalesce("campaign", F.lit(c.MISSING_CAMPAIGN)),
-            c.COHORT_MONTH: month_of(F.col("gross_add__created__day")),
-        }
+    rows = _from_start(gross_adds, start, excluded_brand)
+    weighted = {_weight_sum(name): F.col(source) * F.col(c.GROSS_ADDS) for name, source in _WEIGHTED.items()}
+    return _matured_sums(_with_keys(rows).withColumns(weighted), level, as_of)
+
+
+def _from_start(rows: DataFrame, start: dt.date, excluded_brand: str | None) -> DataFrame:
+    rows = rows.filter(F.col(DAY) >= F.lit(start))
+    return rows if excluded_brand is None else rows.filter(F.col("brand") != excluded_brand)
+
+
+def _with_keys(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {"campaign": F.coalesce("campaign", F.lit(c.MISSING_CAMPAIGN)), c.COHORT_MONTH: month_of(F.col(DAY))}
     )
 
+
+def _matured_sums(rows: DataFrame, level: Level, as_of: dt.date) -> DataFrame:
     def is_matured(days):
-        return matured(F.col("gross_add__created__day"), days, as_of)
+        return matured(F.col(DAY), days, as_of)
 
     return rows.groupBy(*level.keys).agg(
         *[_sum_if(is_matured(n), c.GROSS_ADDS).alias(c.matured_column(n)) for n in c.MATURITY_DAYS],
         F.sum(c.GROSS_ADDS).alias(c.GROSS_ADDS),
         *[_sum_if(is_matured(n), c.canceled_column(n)).alias(c.canceled_column(n)) for n in c.EARLY_DAYS],
-        *[
-            F.sum(F.col(source) * F.col(c.GROSS_ADDS)).alias(_weight_sum(name))
-            for name, source in _WEIGHTED.items()
-        ],
+        *[F.sum(_weight_sum(name)).alias(_weight_sum(name)) for name in _WEIGHTED],
     )
 
 
+def spine_days(gross_adds: DataFrame, level: Level) -> DataFrame:
+    """Sums per day and key of the level, for any date and start: what a folder of days keeps of the raw rows."""
+    counts = [c.GROSS_ADDS, *(c.canceled_column(n) for n in c.EARLY_DAYS)]
+    weights = [F.sum(F.col(x) * F.col(c.GROSS_ADDS)).alias(_weight_sum(name)) for name, x in _WEIGHTED.items()]
+    return _with_keys(gross_adds).groupBy(DAY, *level.keys).agg(*[F.sum(n).alias(n) for n in counts], *weights)
+
+
+def cohort_spine_of_days(days: DataFrame, level: Level, as_of, start, excluded_brand=None) -> DataFrame:
+    """The spine from the sums of ``spine_days``."""
+    return spine_measures(_matured_sums(_from_start(days, start, excluded_brand), level, as_of), level.keys)
+
+
 def spine_measures(sums: DataFrame, keys: list[str]) -> DataFrame:
     """Rates, weighted averages and promo ratios on top of the sums."""
     averages = {name: div0(F.col(_weight_sum(name)), F.col(c.GROSS_ADDS)) for name in _WEIGHTED}

@@ -7,10 +7,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from vintner.config import LEVELS, Level
-from vintner.operators.cohorts import billing_view, clean_dataset, cohort_spine, cross_sell_view, retention_view
+from vintner.config import EARLY_DAYS, LEVELS, Level
+from vintner.operators.cohorts import (
+    DAY,
+    billing_view,
+    clean_dataset,
+    cohort_spine,
+    cohort_spine_of_days,
+    cross_sell_view,
+    retention_view,
+    spine_days,
+)
 from vintner.operators.features import View, dataset, store_dataset, store_view
 from vintner.sources.cache import load_through
+from vintner.sources.increments import load_days
 
 
 @dataclass(frozen=True)
@@ -70,3 +80,20 @@ def load_clean_dataset(
         excluded_brand=excluded_brand,
     )
     return clean_dataset(stored)
+
+
+def maintained_spine(
+    gross_adds: DataFrame,
+    level: Level,
+    as_of: dt.date,
+    start: dt.date,
+    excluded_brand: str | None = None,
+    *,
+    folder: str,
+    settled_days: int = max(EARLY_DAYS) + 30,
+) -> DataFrame:
+    """The spine over sums per day that are kept in a folder: each date reads only the days since the last one, less
+    ``settled_days``. Those are by default the longest time that cancellations are counted for and a month."""
+    spark, make = gross_adds.sparkSession, lambda rows: spine_days(rows, level)
+    days = load_days(spark, folder, level.name, gross_adds, DAY, make, as_of, settled_days, columns=level.columns)
+    return cohort_spine_of_days(days, level, as_of, start, excluded_brand)

@@ -46,3 +46,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, none if there is no such folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(hadoop)] if files.exists(hadoop) else []
