@@ -1033,7 +1033,7 @@ def group_forecast_linear(spark, sf):
     return plain(both.select("r_name", "ds", F.round("yhat", 2).alias("yhat"), "actuals"))
 
 
-STIFF = dataclasses.replace(LINEAR, changepoints=25, changepoint_scale=1e-9)
+STIFF = dataclasses.replace(LINEAR, changepoints=25, changepoint_scale=1e-9, sparse=True)
 
 
 @query(

@@ -169,7 +169,7 @@ def test_a_planted_break_of_the_trend_is_found():
 def test_bounds_widen_with_distance_and_hold_more_days(quiet, least):
     """Held-out days of trends that change at random; ``quiet`` ones do not in the last fifth, where no change is sought."""
     rng, none = np.random.default_rng(6), np.empty((0, 0))
-    model, days = f.SeriesModel(yearly_order=0, multiplicative=False), np.arange(600, dtype=float)
+    model, days = f.SeriesModel(yearly_order=0, multiplicative=False, sparse=True), np.arange(600, dtype=float)
     inside = {0: [], f.PATHS: []}
     for _ in range(40):
         changes = (rng.random(600) < 0.03) & ((days < 360) | (days >= 450) | (not quiet))
@@ -193,7 +193,7 @@ def test_bounds_are_the_same_every_time():
 def test_the_unit_of_a_series_does_not_change_its_trend(multiplicative):
     days = np.arange(400, dtype=float)
     y = 50 + 0.1 * days + np.maximum(days - 200, 0) + np.random.default_rng(8).normal(0, 3, 400)
-    model, none = f.SeriesModel(yearly_order=0, multiplicative=multiplicative), np.empty((400, 0))
+    model, none = f.SeriesModel(yearly_order=0, multiplicative=multiplicative, sparse=True), np.empty((400, 0))
     one, hundred = (f.fit_predict(days, y * c, none, days + 100, none, model) for c in (1, 100))
     for a, b in zip(one, hundred):
         assert np.allclose(a * 100, b, rtol=1e-4)

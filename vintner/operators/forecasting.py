@@ -3,7 +3,7 @@
 A series has one row per day, so a group is bounded by the calendar however many raw rows were behind
 it; each group is one ``applyInPandas`` call and the groups are spread by Spark. The model is the
 published additive one: piecewise-linear trend, Fourier seasonality and regressors. Changes of the trend
-have an absolute penalty, so that few are made; all else is held back by a squared one. Beyond the last
+have an absolute penalty, so that few are made, if the model is sparse; all else is held back by a squared one. Beyond the last
 day trained on, the bounds take in that the trend may change again as often and as much as it did.
 """
 
@@ -33,6 +33,7 @@ class SeriesModel:
     changepoints: int = 25
     changepoint_share: float = 0.8  # part of the history that may hold changepoints
     changepoint_scale: float = 0.5
+    sparse: bool = False  # an absolute penalty on changes of the trend, so that few are made, instead of a squared one
     yearly_order: int | None = 10  # None: 10 when the history spans two years, else 0
     weekly_order: int | None = 0  # None: 3 when the history spans two weeks, else 0
     season_scale: float = 10.0  # usual size of the effects of seasons and regressors; infinite: not held back
@@ -43,8 +44,9 @@ class SeriesModel:
 
 # the growth and flexibility of the cascaded cohort forecast
 CASCADE_MODEL = SeriesModel(
-    changepoint_scale=0.82, yearly_order=None, weekly_order=None, multiplicative=False, logistic=True
+    changepoint_scale=0.82, sparse=True, yearly_order=None, weekly_order=None, multiplicative=False, logistic=True
 )
+GROUP_MODEL = SeriesModel(sparse=True)
 
 
 def _ridge(design: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
@@ -153,10 +155,11 @@ def fit_predict(days, y, x, future_days, future_x, model: SeriesModel, paths: in
 
     noise = max(z.std(), 0.01 * np.abs(z).mean(), 1e-6) ** 2 * 0.01
     trend, season = parts(days, x)
-    trend_squared = np.r_[1e-12, 1e-12, np.full(n_knots, 1e-12)]
+    changes = 1e-12 if model.sparse else noise / model.changepoint_scale**2
+    trend_squared = np.r_[1e-12, 1e-12, np.full(n_knots, changes)]
     # Changes are measured in the largest value, so that a series in cents gets the trend of the same one in euros.
     unit = 1.0 if model.logistic else max(np.abs(z).max(), 1e-9)
-    trend_absolute = np.r_[0.0, 0.0, np.full(n_knots, noise / (model.changepoint_scale * unit))]
+    trend_absolute = np.r_[0.0, 0.0, np.full(n_knots, model.sparse * noise / (model.changepoint_scale * unit))]
     season_penalty = np.full(season.shape[1], noise / model.season_scale**2 + 1e-8)
     both = sparse_fit(
         np.hstack([trend, season]), z, np.r_[trend_squared, season_penalty], np.r_[trend_absolute, np.zeros(season.shape[1])]
@@ -202,7 +205,7 @@ def group_forecast(
     keys: list[str],
     horizon: int = FORECAST_DAYS,
     step_days: int = 1,
-    model: SeriesModel = SeriesModel(),
+    model: SeriesModel = GROUP_MODEL,
 ) -> DataFrame:
     """History and ``horizon`` further points per group: ds, yhat, yhat_lower, yhat_upper, error.
 

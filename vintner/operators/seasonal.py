@@ -89,8 +89,8 @@ class SeasonalRegression:
 
 def fit_seasonal(df: DataFrame, regressors: list[str], model: SeriesModel = SeriesModel()) -> SeasonalRegression:
     """Fit on the rows of (ds, y, regressors) that have a target."""
-    if model.logistic:
-        raise ValueError("logistic growth is a per-group model")
+    if model.logistic or model.sparse:
+        raise ValueError("logistic growth and sparse changes of the trend are for per-group models")
     known = df.filter(F.col("y").isNotNull() & F.col("ds").isNotNull())
     y = F.col("y").cast("double")
     n, first, last, deviation, size = known.agg(
