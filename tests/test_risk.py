@@ -262,3 +262,43 @@ def test_a_report_over_a_stored_history_is_cached_until_it_changes(spark, folder
     assert brands() == brands() == {"b"}
     risk.store_transactions(found.transactions.withColumn("brand_slug", F.lit("other")), name, 2)
     assert brands() == {"other"}
+
+
+def test_events_are_compared_as_a_whole_only_where_an_id_repeats(spark):
+    disputes = [(r, "Chargeback", "m", "mc", DAY, False) for r in ("TXN_7", "7", "8", "bad", None)]
+    fraud = [(p, "m", "Visa", DAY) for p in ("p1", "p2", "none", None)]
+    once = [tx(7, "p1"), tx(8, "p1"), tx(9, "p2")]
+
+    def top(found):
+        """Names of the nodes above the joins."""
+        lines = run(found)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return " ".join(lines[: next(i for i, x in enumerate(lines) if "Join" in x)])
+
+    def rows(found):
+        return sorted(map(str, run(found).collect()))
+
+    unique = sources(spark, once, disputes, fraud)
+    assert "Aggregate" not in top(unique)
+    assert len(rows(unique)) == 5 + 5
+    # a transaction twice, once with another plan that has no offer either; a plan twice; two without an id
+    again = sources(spark, [*once, tx(7, "p1")], disputes, fraud)
+    twice = dataclasses.replace(unique, plans=unique.plans.union(unique.plans))
+    assert rows(again) == rows(twice) == rows(unique)
+    for found in (again, twice):
+        assert "Aggregate" in top(found)
+    other = sources(spark, [tx(7, "p1", plan_id=98), tx(7, "p1", plan_id=99)], disputes, fraud)
+    assert len(rows(other)) == 5 + 4
+    assert len(rows(sources(spark, [tx(None, "p1"), tx(None, "p1")], disputes, fraud))) == 5 + 4
+
+
+def test_repeated_ids_of_a_stored_history_are_seen(spark):
+    for k, (history, unique) in enumerate(
+        [
+            ([tx(1, "p"), tx(2, "p"), tx(None, "p"), tx(3, None)], True),
+            ([tx(1, "p"), tx(1, "q")], False),
+            ([tx(None, "p"), tx(None, "p")], False),
+        ]
+    ):
+        name = f"history_{uuid.uuid4().hex}"
+        frame = spark.createDataFrame(history, TRANSACTIONS)
+        assert risk.one_row_per_id(risk.store_transactions(frame, name, 2)) is unique, k

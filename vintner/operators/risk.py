@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -230,23 +231,45 @@ def with_dimensions(
     return out.join(options, "payment_option_id", "left")
 
 
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1).select("_rows")
+
+
+def one_row_per_id(transactions: DataFrame | StoredTransactions, *dimensions: DataFrame) -> bool:
+    """Whether no id occurs twice in the transactions or in a dimension; runs a job over the ids alone.
+
+    Distinct events then stay distinct when they meet their transactions: those that meet several differ in ``txn_id``.
+    """
+    if isinstance(transactions, StoredTransactions):
+        # stored without shuffles: slices of an id lie together, and NULL ids only in the second table
+        without_id = transactions.by_processor_id.rows.filter(F.col("txn_id").isNull())
+        found = [_repeated(transactions.by_id.rows, "txn_id", "_salt"), _repeated(without_id, "ref_txn_id", "_salt")]
+    else:
+        found = [_repeated(transactions, "id")]
+    found += [_repeated(d.filter(F.col("id").isNotNull()), "id") for d in dimensions]
+    return reduce(DataFrame.unionByName, found).isEmpty()
+
+
 def events_by_reference(
     events: DataFrame,
     transactions: DataFrame | StoredTransactions,
     traffic_sources: DataFrame,
     plans: DataFrame,
     payment_options: DataFrame,
+    unique: bool = False,
 ) -> DataFrame:
     """Attach transactions by the numeric id inside the reference; an unreadable id counts 0.
 
     Grouping by every selected column leaves one row per tuple, so distinct rows with a 0/1 count say
-    the same as a distinct count.
+    the same as a distinct count. ``unique`` says that the events are distinct and ``one_row_per_id`` holds, so the
+    rows already are: whole events then need not be held in memory to compare them.
     """
     keyed = events.withColumn("txn_id", transaction_id(F.col("ref_txn_id")))
     history = transactions.by_id if isinstance(transactions, StoredTransactions) else _by_id(transactions)
     met = spread_left_join(keyed, history, "txn_id", unique=True)
     count = F.when(F.col("txn_id").isNull(), 0).otherwise(1).cast("bigint").alias("count")
-    return with_dimensions(met, traffic_sources, plans).select(*EVENT_COLUMNS[:-1], count).distinct()
+    full = with_dimensions(met, traffic_sources, plans).select(*EVENT_COLUMNS[:-1], count)
+    return full if unique else full.distinct()
 
 
 def events_by_processor_id(
@@ -255,11 +278,13 @@ def events_by_processor_id(
     traffic_sources: DataFrame,
     plans: DataFrame,
     payment_options: DataFrame,
+    unique: bool = False,
 ) -> DataFrame:
     """Attach transactions by the processor's own id. One id may belong to several transactions.
 
     Settlements take the card network of the payment option. The card-file report comes with its own
-    count and has neither a card network nor a SKU type.
+    count and has neither a card network nor a SKU type. ``unique`` as for ``events_by_reference``, where
+    settlements come without a card network of their own.
     """
     events = events.withColumns(
         {
@@ -279,7 +304,8 @@ def events_by_processor_id(
         history = _by_processor_id(transactions)
         met = spread_left_join(events, history, "ref_txn_id", keys_of=history.select("ref_txn_id"), slice_by=["txn_id"])
     full = with_dimensions(met, traffic_sources, plans, payment_options)
-    return full.select(*(derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS)).distinct()
+    full = full.select(*(derived[c].alias(c) if c in derived else F.col(c) for c in EVENT_COLUMNS))
+    return full if unique else full.distinct()
 
 
 def reference_coverage(events: DataFrame) -> DataFrame:

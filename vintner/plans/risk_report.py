@@ -52,16 +52,17 @@ def processor_events(
         )
         if report is not None
     ]
+    if not by_reference and not by_processor_id:
+        raise ValueError("no processor report given")
+    unique = risk.one_row_per_id(*tables)  # each report has its own types or processor, so the stacked rows are distinct
     attached = [
-        attach(_stack(frames), *tables)
+        attach(_stack(frames), *tables, unique=unique)
         for attach, frames in (
             (risk.events_by_reference, by_reference),
             (risk.events_by_processor_id, by_processor_id),
         )
         if frames
     ]
-    if not attached:
-        raise ValueError("no processor report given")
     return risk.clean_networks(_stack(attached))
 
 
