@@ -81,3 +81,16 @@ def test_smallest_parents():
 def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert iceberg.frequent_groups(df, DIMS, [3, 31], "bad", "good", 0).collect() == []
+
+
+def test_rows_are_merged_before_they_enter_combinations(spark):
+    rng = random.Random(3)
+    rows = [(*(rng.choice("abcdef") for _ in DIMS), 1, 1) for _ in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    masks = [sum(1 << i for i in c) for k in range(1, 6) for c in combinations(range(5), k)]
+    start = iceberg.encoded(df, DIMS, iceberg.frequent_values(df, DIMS, "bad", 0), "bad", "good")
+    walked = list(iceberg.levels(start, len(DIMS), masks, 0))
+    entered = sum(x.entered.count() for x in walked)
+    distinct = len({r[:-2] for r in rows})
+    assert entered < 0.4 * distinct * len(masks)
+    assert sum(x.groups.count() for x in walked) == len(brute(rows, masks, 0)) > 10000

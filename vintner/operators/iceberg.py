@@ -1,11 +1,11 @@
-"""Groups of many combinations of dimensions whose weight exceeds a threshold, from few dimensions to many.
-
-A group can exceed the threshold only if each group that holds it does, as weights are not negative. So the
-combinations form a lattice that is walked from single dimensions downwards: a combination's
-groups are built from the stored rows of one of its parents (the combinations with one dimension less),
-and only from rows that lie in a group of that parent above the threshold. Of the parents the one with the fewest
-such rows is taken. Values of a dimension that fall below the threshold by themselves are alike
-for all combinations, so rows that differ only in them are merged at the start.
+"""Groups of many combinations of dimensions whose weight exceeds a threshold, one dimension after the other.
+
+A group can exceed the threshold only if each group that holds it does, as weights are not negative. So rows are
+walked dimension by dimension: each of them enters combinations that add the dimension, if its group there is
+above the threshold, and stays in those that do without it, where rows that differ in it only are merged. A
+combination is thus built from rows of no more dimensions than it and the later ones have, not from all rows, and
+the dimension with most values goes first. Values of a dimension that fall below the threshold by themselves are
+alike for all combinations, so rows that differ only in them are merged at the start.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ class Level:
     """Combinations of ``size`` dimensions."""
 
     size: int
-    #: The rows that were aggregated, one per stored parent row and combination built from it.
+    #: The rows that were aggregated: merged rows of the combinations when they got their last dimension.
     entered: DataFrame
     #: (mask, code of each dimension or 0, weight, other) of every group above the threshold.
     groups: DataFrame
@@ -79,17 +79,6 @@ def _group_key(names: list[str]) -> list[Column]:
     return [F.when(F.col("_mask").bitwiseAND(1 << i) != 0, F.col(c)).otherwise(F.lit(0)).alias(c) for i, c in enumerate(names)]
 
 
-def _explode(rows: DataFrame, children: dict[int, list[int]] | list[int]) -> DataFrame:
-    """A row per combination built from it, if the dimension that it adds has a frequent value there."""
-    if isinstance(children, list):
-        masks = F.lit(children)
-    else:
-        # at most one entry per combination, as many as the configuration has
-        masks = F.create_map(*(x for parent, own in children.items() for x in (F.lit(parent), F.lit(own))))[F.col("_mask")]
-    exploded = rows.withColumn("_mask", F.explode(masks))
-    return exploded.filter(F.col("_alive").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-
-
 def smallest_parents(masks: list[int], sizes: dict[int, int]) -> dict[int, list[int]]:
     """The masks to build from each parent: for every mask the parent with the fewest rows, if all parents have some."""
     out: dict[int, list[int]] = {}
@@ -100,33 +89,59 @@ def smallest_parents(masks: list[int], sizes: dict[int, int]) -> dict[int, list[
     return out
 
 
-def levels(rows: DataFrame, n_dimensions: int, wanted: list[int], least: int) -> Iterator[Level]:
-    """Walk the lattice over encoded rows; masks are sums of 1 << position. Ends where no row is left, after the first level at least."""
+@dataclass(frozen=True)
+class Step:
+    """Combinations whose last dimension is the one of this step: the merged rows that entered, groups above the threshold."""
+
+    entered: DataFrame
+    groups: DataFrame
+
+
+def _advanced(rows: DataFrame, names: list[str], i: int, kept: dict[int, int]) -> DataFrame:
+    """Each row with and without dimension ``i``; ``kept`` has the masks that go on and the dimensions they still need."""
+    bit = 1 << i
+    out = rows.withColumn("_mask", F.explode(F.array(F.col("_mask"), F.col("_mask").bitwiseOR(bit))))
+    has_value = (F.col("_mask").bitwiseAND(bit) == 0) | (F.col(names[i]) > 0)
+    out = out.filter(F.col("_mask").isin(*kept) & has_value)
+    for k, c in enumerate(names):
+        needing = [m for m, dims in kept.items() if dims >> k & 1]
+        if len(needing) < len(kept):
+            out = out.withColumn(c, F.when(F.col("_mask").isin(*needing), F.col(c)).otherwise(F.lit(0)) if needing else F.lit(0).cast("bigint"))
+    return out.groupBy("_mask", *names).agg(*_sums())
+
+
+def steps(rows: DataFrame, n_dimensions: int, wanted: list[int], least: int) -> Iterator[Step]:
+    """Walk the dimensions over encoded rows, that with most values first; masks are sums of 1 << position."""
     names = _codes(n_dimensions)
-    needed = {m for m in range(1, 1 << n_dimensions) if any(m & w == m for w in wanted)}
-    by_size: dict[int, list[int]] = {}
-    for m in sorted(needed):
-        by_size.setdefault(m.bit_count(), []).append(m)
-    # One dimension: the codes already tell what is above the threshold.
-    first = _explode(rows, by_size[1])
-    yield Level(1, first, _kept_groups(first, names, least))
-    alive, sizes = rows, {}
-    for size in sorted(by_size)[1:]:
-        if size == 2:
-            entered = _explode(rows, by_size[2])
-        else:
-            children = smallest_parents(by_size[size], sizes)
-            if not children:
-                return
-            entered = _explode(alive, children)
+    used = [i for i in range(n_dimensions) if any(w >> i & 1 for w in wanted)]
+    sizes = rows.agg(*(F.approx_count_distinct(names[i]) for i in used)).first()
+    state, passed = rows.withColumn("_mask", F.lit(0)).select("_mask", *names, "_weight", "_other"), 0
+    for _, i in sorted(zip(sizes, used, strict=True), key=lambda x: (-x[0], x[1])):
+        passed |= 1 << i
+        needs: dict[int, int] = {}
+        for w in wanted:
+            needs[w & passed] = needs.get(w & passed, 0) | w
+        going = [m for m, dims in needs.items() if dims & ~passed]
+        merged = written(_advanced(state, names, i, {m: d for m, d in needs.items() if m >> i & 1 or m in going}), "iceberg-rows")
+        own = F.col("_mask").bitwiseAND(1 << i) != 0
+        entered = merged.filter(own)
         groups = written(_kept_groups(entered, names, least), "iceberg-groups")
-        yield Level(size, entered, groups)
-        parents = {m for m in by_size[size] if any(m & w == m for w in by_size.get(size + 1, ()))}
-        if not parents:
-            return
-        keys = groups.filter(F.col("_mask").isin(*parents)).select("_mask", *(F.col(c).alias(f"_k{i}") for i, c in enumerate(names)))
-        alive = written(_semi(entered, keys, names), "iceberg-rows")
-        sizes = dict(alive.groupBy("_mask").count().collect())  # one row per combination
+        yield Step(entered, groups)
+        on = F.col("_mask").isin(*going)
+        keys = groups.filter(on).select("_mask", *(F.col(c).alias(f"_k{k}") for k, c in enumerate(names)))
+        state = merged.filter(on & ~own).unionByName(_semi(entered.filter(on), keys, names))
+
+
+def levels(rows: DataFrame, n_dimensions: int, wanted: list[int], least: int) -> Iterator[Level]:
+    """The wanted combinations over encoded rows by their number of dimensions, from few to many."""
+    walked = list(steps(rows, n_dimensions, wanted, least))
+    for size in sorted({m.bit_count() for m in wanted}):
+        of_size = F.col("_mask").isin(*(m for m in wanted if m.bit_count() == size))
+        yield Level(
+            size,
+            reduce(DataFrame.unionByName, [x.entered for x in walked]).filter(of_size),
+            reduce(DataFrame.unionByName, [x.groups for x in walked]).filter(of_size),
+        )
 
 
 def _semi(entered: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
@@ -153,10 +168,7 @@ def frequent_groups(rows: DataFrame, dimensions: list[str], wanted: list[int], w
     """
     values = frequent_values(rows, dimensions, weight, least)
     start = written(encoded(rows, dimensions, values, weight, other), "encoded-rows")
-    sizes = {m.bit_count() for m in wanted}
-    walked = list(levels(start, len(dimensions), wanted, least))
-    none = walked[0].groups.limit(0)
-    groups = reduce(DataFrame.unionByName, [x.groups for x in walked if x.size in sizes], none)
-    groups = groups.filter(F.col("_mask").isin(*wanted))
+    walked = steps(start, len(dimensions), wanted, least)
+    groups = reduce(DataFrame.unionByName, [x.groups for x in walked]).filter(F.col("_mask").isin(*wanted))
     out = decoded(groups, dimensions, values)
     return out.select("_mask", *dimensions, F.col("_weight").alias(weight), F.col("_other").alias(other))
